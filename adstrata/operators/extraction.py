@@ -138,17 +138,21 @@ def _candidates_joined(rows: DataFrame, entries: DataFrame) -> DataFrame:
     Only (key, token) pairs travel to the dictionary; the text rejoins by key afterwards.
     Adaptive execution broadcasts the dictionary when its measured size allows.
     """
-    tokens = F.array_distinct(
-        F.concat(
-            "_listed_words",
-            "_text_words",
-            F.split("_listed", f"[^{ALNUM}]+"),
-            F.split("_text", f"[^{ALNUM}]+"),
+
+    def tokens(pattern: str, loose: bool) -> Column:
+        pieces = F.concat(F.split("_listed", pattern), F.split("_text", pattern))
+        return F.transform(
+            F.array_distinct(pieces),
+            lambda w: F.struct(w.alias("anchor"), F.lit(loose).alias("loose")),
         )
+
+    # Punctuation-edged aliases have their own idea of a boundary, hence their own tokens.
+    pairs = rows.select(
+        "_key",
+        F.inline(F.concat(tokens(f"[^{WORD}]+", False), tokens(f"[^{ALNUM}]+", True))),
     )
-    pairs = rows.select("_key", F.explode(tokens).alias("anchor"))
     per_row = (
-        pairs.join(entries.where(F.col("anchor").isNotNull()), "anchor")
+        pairs.join(entries.where(F.col("anchor").isNotNull()), ["anchor", "loose"])
         .groupBy("_key")
         .agg(F.collect_list(F.struct(*_FIELDS)).alias("_joined"))
     )
