@@ -1,8 +1,8 @@
 """Dictionary term extraction from two text fields, one row per (ad, term).
 
-Everything happens inside the ad's own row: the text is cut into words once, the words that can
-start a dictionary hit are intersected with the dictionary, the few candidates are confirmed,
-and the longest alias of each term is kept. No row id, no shuffle, no regex scan per alias.
+Everything happens inside the ad's own row: the text is cut into words once, words unknown to the
+dictionary are dropped by hash lookup, the few candidates are confirmed, and the longest alias of
+each term is kept. No row id, no shuffle, no regex scan per alias.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ _ENTRY = (
     "pattern:string,loose:boolean,plain:boolean>"
 )
 _FIELDS = ["skill", "prio", "famille", "alias", "pattern", "loose", "plain"]
-_SEP = "\x01"
 
 BOTH, RAW_ONLY, TEXT_ONLY = "both", "competences_brut", "description"
 
@@ -65,10 +64,9 @@ def extract_terms(
     ).select(*_FIELDS, "anchor")
     small = entries.limit(inline_limit + 1).collect()
 
-    kept = {name: F.col(col) for name, col in context.items()}
     rows = ads.select(
         F.col(ad_id).alias("id_offre"),
-        *[col.alias(name) for name, col in kept.items()],
+        *[F.col(col).alias(name) for name, col in context.items()],
         *([F.col(row_key).alias("_key")] if row_key else []),
         F.lower(F.coalesce(F.col(listed), F.lit(""))).alias("_listed"),
         F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_text"),
@@ -89,9 +87,15 @@ def extract_terms(
     term = found.withColumn("_t", F.explode_outer("_winners"))
     if not keep_unmatched:
         term = term.where(F.col("_t").isNotNull())
-    in_listed = _found_in("_listed", "_listed_words")
-    in_text = _found_in("_text", "_text_words")
-    return term.select(
+    # One pass over the words per winner: presence in the text follows from the count.
+    counted = term.withColumns(
+        {
+            "_in_listed": _found_in("_listed", "_listed_words"),
+            "_mentions": _mentions("_text", "_text_words"),
+        }
+    )
+    in_listed, in_text = F.col("_in_listed"), F.col("_mentions") > 0
+    return counted.select(
         "id_offre",
         F.col("_t.skill").alias("skill_normalise"),
         F.col("_t.famille").alias("famille"),
@@ -100,8 +104,8 @@ def extract_terms(
         .when(in_listed, RAW_ONLY)
         .when(in_text, TEXT_ONLY)
         .alias("source"),
-        _mentions("_text", "_text_words").alias("nb_mentions_desc"),
-        *kept,
+        F.col("_mentions").alias("nb_mentions_desc"),
+        *context,
     )
 
 
@@ -122,13 +126,18 @@ def _candidates_inline(rows: DataFrame, entries: list) -> DataFrame:
         by_anchor = F.from_json(
             F.lit(json.dumps(anchored, ensure_ascii=False)), f"map<string,array<{_ENTRY}>>"
         )
-        anchors = F.split(F.lit(_SEP.join(anchored)), _SEP)
-        rows = rows.withColumn(
-            "_hits", F.array_intersect(F.concat("_listed_words", "_text_words"), anchors)
-        )
-        candidates = F.flatten(
-            F.transform("_hits", lambda w: F.try_element_at(by_anchor, w))
+        # A long literal list is looked up by hash. Repeats are kept: they are the mentions.
+        def known(words: str) -> Column:
+            return F.filter(words, lambda w: w.isin(list(anchored)))
+
+        rows = rows.withColumns(
+            {"_listed_words": known("_listed_words"), "_text_words": known("_text_words")}
         )
+        hits = F.array_distinct(F.concat("_listed_words", "_text_words"))
+        candidates = F.flatten(F.transform(hits, lambda w: F.try_element_at(by_anchor, w)))
+    else:
+        none = F.array().cast("array<string>")
+        rows = rows.withColumns({"_listed_words": none, "_text_words": none})
     return rows.withColumn("_candidates", _with_loose(candidates, loose))
 
 
@@ -216,7 +225,9 @@ def _found_in(field: str, words: str) -> Column:
 def _mentions(field: str, words: str) -> Column:
     t = F.col("_t")
     by_word = F.size(words) - F.size(F.array_remove(F.col(words), t["alias"]))
-    by_pattern = F.regexp_count(F.col(field), t["pattern"])
+    by_pattern = F.when(
+        F.contains(F.col(field), t["alias"]), F.regexp_count(F.col(field), t["pattern"])
+    ).otherwise(F.lit(0))
     return F.when(t["plain"], by_word).otherwise(by_pattern).cast("int")
 
 
