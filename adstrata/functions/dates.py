@@ -8,9 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adstrata import dictionaries as D
-from adstrata.functions.text import ascii_digits, strip
+from adstrata.functions.text import digits_text, strip
 
-_YEAR, _MONTH, _DAY = "([0-9]{4})", "(1[0-2]|0?[1-9])", "(3[01]|[12][0-9]|0?[1-9]| [1-9])"
+_YEAR, _MONTH, _DAY = "((?!0000)[0-9]{4})", "(1[0-2]|0?[1-9])", "(3[01]|[12][0-9]|0?[1-9]| [1-9])"
 
 
 def _separators(layouts: Sequence[tuple[str, str]], order: str) -> str:
@@ -18,7 +18,9 @@ def _separators(layouts: Sequence[tuple[str, str]], order: str) -> str:
 
 
 def parse_date(
-    raw: Column, layouts: Sequence[tuple[str, str]] = tuple(D.DATE_LAYOUTS)
+    raw: Column,
+    layouts: Sequence[tuple[str, str]] = tuple(D.DATE_LAYOUTS),
+    text: Column | None = None,
 ) -> Column:
     """DATE from text in any of the layouts, null when none fits the whole stripped text.
 
@@ -26,7 +28,7 @@ def parse_date(
     does not matter. The text is rewritten to ISO form and cast, which (unlike a pattern-based
     timestamp parser tried once per layout) throws no exception for the rows that do not fit.
     """
-    text = ascii_digits(strip(raw))
+    text = digits_text(raw) if text is None else text
     iso = F.lit(None).cast("string")
     for order, pattern, rewrite in (
         ("dmy", "^{d}([{s}]){m}\\2{y}$", "$4-$3-$1"),
@@ -36,8 +38,7 @@ def parse_date(
         if seps:
             full = pattern.format(d=_DAY, m=_MONTH, y=_YEAR, s=seps)
             iso = F.when(text.rlike(full), F.regexp_replace(text, full, rewrite)).otherwise(iso)
-    parsed = F.replace(iso, F.lit(" "), F.lit("")).try_cast("date")
-    return F.when(F.year(parsed) > 0, parsed)
+    return F.replace(iso, F.lit(" "), F.lit("")).try_cast("date")
 
 
 def month_key(raw: Column, unknown: str = D.UNKNOWN_MONTH) -> Column:

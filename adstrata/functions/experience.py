@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adstrata import dictionaries as D
-from adstrata.functions.text import WS, any_of, ascii_digits, contains_any, fold
+from adstrata.functions.text import WS, any_of, contains_any, digits_text
 
 _GAP = f"[{WS}]*"
 YEARS_RANGE = f"([0-9]+){_GAP}[-àa]{_GAP}([0-9]+){_GAP}an"
@@ -17,7 +17,10 @@ YEARS_FROM = f"([0-9]+){_GAP}an"
 
 
 def parse_experience(
-    raw: Column, beginner: Sequence[str] = tuple(D.BEGINNER_WORDS), strict: bool = False
+    raw: Column,
+    beginner: Sequence[str] = tuple(D.BEGINNER_WORDS),
+    strict: bool = False,
+    text: Column | None = None,
 ) -> Column:
     """STRUCT(min INT, max INT) of years.
 
@@ -25,7 +28,7 @@ def parse_experience(
     counts as entry level. ``strict=True`` requires that no digit stands before or after the
     word.
     """
-    text = ascii_digits(fold(raw))
+    text = F.lower(digits_text(raw)) if text is None else text
 
     def years(pattern: str, i: int) -> Column:
         return F.regexp_extract(text, pattern, i).try_cast("int")

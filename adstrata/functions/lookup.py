@@ -39,32 +39,45 @@ def first_class_containing(
 
 
 def classify(
-    raw: Column, classes: Mapping[str, Sequence[str]], default: str
+    raw: Column,
+    classes: Mapping[str, Sequence[str]],
+    default: str,
+    folded: Column | None = None,
 ) -> Column:
     """Ordered keyword classifier over raw text; null, empty or no hit gives ``default``.
 
-    The order of the classes decides; keyword length does not.
+    The order of the classes decides; keyword length does not. ``folded`` takes the folded text
+    from a column that already holds it, so that the branches do not each fold it again.
     """
-    return F.coalesce(first_class_containing(fold(raw), classes), F.lit(default))
+    folded = fold(raw) if folded is None else folded
+    return F.coalesce(first_class_containing(folded, classes), F.lit(default))
 
 
 def normalise_exact(
-    raw: Column, spellings: Mapping[str, Sequence[str]], missing: str, other: str
+    raw: Column,
+    spellings: Mapping[str, Sequence[str]],
+    missing: str,
+    other: str,
+    folded: Column | None = None,
 ) -> Column:
     """Whole-value dictionary match: null/empty gives ``missing``, no match gives ``other``."""
-    hit = map_lookup(fold(raw), invert(spellings), other)
+    hit = map_lookup(fold(raw) if folded is None else folded, invert(spellings), other)
     return F.when(is_empty(raw), F.lit(missing)).otherwise(hit)
 
 
 def normalise_with_fallback(
-    raw: Column, spellings: Mapping[str, Sequence[str]], missing: str, other: str
+    raw: Column,
+    spellings: Mapping[str, Sequence[str]],
+    missing: str,
+    other: str,
+    folded: Column | None = None,
 ) -> Column:
     """Whole-value match first, then the first spelling in dictionary order found inside.
 
     Spellings of one standard value are adjacent in the dictionary, so testing a group at a
     time keeps the dictionary order.
     """
-    folded = fold(raw)
+    folded = fold(raw) if folded is None else folded
     hit = F.coalesce(
         map_lookup(folded, invert(spellings)),
         first_class_containing(folded, spellings),

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adstrata import dictionaries as D
-from adstrata.functions.text import WS, ascii_digits, contains_any, is_empty, strip
+from adstrata.functions.text import WS, contains_any, digits_text, is_empty
 
 # Building blocks of the accepted forms.
 _GAP = f"[{WS}]*"
@@ -38,14 +38,17 @@ def parse_salary(
     confidential: Sequence[str] = tuple(D.CONFIDENTIAL_WORDS),
     eur_rate: float = D.EUR_TO_MAD,
     eur_step: int = D.EUR_ROUNDING_STEP,
+    text: Column | None = None,
+    lowered: Column | None = None,
 ) -> Column:
     """STRUCT(min INT, max INT, currency STRING) from one salary text.
 
     Forms are tried in order and the first that occurs anywhere in the text wins. Converted
-    amounts are rounded half-even to ``eur_step``. Amounts beyond INT become null.
+    amounts are rounded half-even to ``eur_step``. Amounts beyond INT become null. ``text`` and
+    ``lowered`` take the prepared text from columns, so that it is prepared once per row.
     """
-    text = ascii_digits(strip(raw))
-    lowered = F.lower(text)
+    text = digits_text(raw) if text is None else text
+    lowered = F.lower(text) if lowered is None else lowered
     has_eur = F.contains(lowered, F.lit("eur"))
     has_k = F.contains(lowered, F.lit("k"))
 

@@ -37,6 +37,11 @@ def ascii_digits(col: Column) -> Column:
     return F.translate(col, _ARABIC_DIGITS, _ASCII_DIGITS)
 
 
+def digits_text(raw: Column) -> Column:
+    """Stripped text with ASCII digits: what the numeric and date parsers read."""
+    return ascii_digits(strip(raw))
+
+
 def is_empty(col: Column) -> Column:
     """Null or zero-length (blank text is *not* empty)."""
     return col.isNull() | (col == F.lit(""))

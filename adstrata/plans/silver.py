@@ -17,7 +17,7 @@ from adstrata.functions.lookup import (
     normalise_with_fallback,
 )
 from adstrata.functions.salary import is_implausible, is_inverted, midpoint, parse_salary
-from adstrata.functions.text import is_empty
+from adstrata.functions.text import digits_text, fold, is_empty
 from adstrata.schemas import CLEAN_ADS, QUALITY
 
 SEPARATOR = ", "
@@ -39,27 +39,52 @@ class SilverRules:
 def clean_ads(raw: DataFrame, rules: SilverRules | None = None) -> DataFrame:
     """The 33 clean columns, one row per raw ad.
 
-    Written as three projections so that each parser runs once per row and the generated code
-    of each step stays small enough to be compiled.
+    Written as successive projections: texts are prepared once, each parser runs once on them,
+    and the repairs read the parsed values.
     """
     rules = rules or SilverRules()
     c = F.col
 
-    parsed = raw.withColumns(
+    prepared = raw.withColumns(
         {
-            "_profile": classify(c("titre_poste"), rules.titles, D.UNCLASSIFIED),
+            "_title_text": fold(c("titre_poste")),
+            "_city_text": fold(c("ville")),
+            "_contract_text": fold(c("type_contrat")),
+            "_pay_text": digits_text(c("salaire_brut")),
+            "_years_text": F.lower(digits_text(c("experience_requise"))),
+            "_published_text": digits_text(c("date_publication")),
+            "_expires_text": digits_text(c("date_expiration")),
+        }
+    ).withColumn("_pay_lowered", F.lower("_pay_text"))
+    parsed = prepared.withColumns(
+        {
+            "_profile": classify(
+                c("titre_poste"), rules.titles, D.UNCLASSIFIED, c("_title_text")
+            ),
             "_city": normalise_with_fallback(
-                c("ville"), rules.cities, D.UNKNOWN_CITY, D.OTHER
+                c("ville"), rules.cities, D.UNKNOWN_CITY, D.OTHER, c("_city_text")
             ),
             "_contract": normalise_exact(
-                c("type_contrat"), rules.contracts, D.UNSPECIFIED_CONTRACT, D.OTHER
+                c("type_contrat"),
+                rules.contracts,
+                D.UNSPECIFIED_CONTRACT,
+                D.OTHER,
+                c("_contract_text"),
+            ),
+            "_salary": parse_salary(
+                c("salaire_brut"),
+                rules.confidential,
+                text=c("_pay_text"),
+                lowered=c("_pay_lowered"),
             ),
-            "_salary": parse_salary(c("salaire_brut"), rules.confidential),
             "_experience": parse_experience(
-                c("experience_requise"), rules.beginner, rules.strict_experience
+                c("experience_requise"),
+                rules.beginner,
+                rules.strict_experience,
+                c("_years_text"),
             ),
-            "_published": parse_date(c("date_publication")),
-            "_expires": parse_date(c("date_expiration")),
+            "_published": parse_date(c("date_publication"), text=c("_published_text")),
+            "_expires": parse_date(c("date_expiration"), text=c("_expires_text")),
         }
     )
     low, high = c("_salary.min"), c("_salary.max")

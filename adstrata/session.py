@@ -15,6 +15,9 @@ def local_session(cores: int | str = 8, app: str = "adstrata", **conf: str) -> S
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # HotSpot does not compile methods beyond 8000 bytes of bytecode; the wide Silver
+        # projection runs faster outside whole-stage code generation than interpreted inside it.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +59,7 @@ def messy_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(fmt == 9, F.lit(None))
         .when(
             fmt == 10,
-            F.concat(kilo(low), F.lit(" "), F.lpad(text(low % 1000), 3, "0"), F.lit(" dhs")),
+            F.concat(kilo(low), F.lit("\u00a0"), F.lpad(text(low % 1000), 3, "0"), F.lit(" dhs")),
         )
         .otherwise(F.concat(text(low * 10), F.lit(" MAD")))
     )
@@ -119,3 +120,18 @@ def messy_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(K.REMOTE, k + c).alias("teletravail"),
         F.array(F.lit("Français"), F.lit("Anglais")).alias("langue_requise"),
     )
+
+
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]
+) -> DataFrame:
+    """A derived table written once per application and read back, as between job steps."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = scratch(spark, name)
+        build(spark, sf_dir).write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])

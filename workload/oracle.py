@@ -72,7 +72,7 @@ raw AS (
       WHEN 7 THEN 'Selon profil'
       WHEN 8 THEN 'A négocier'
       WHEN 9 THEN NULL
-      WHEN 10 THEN (lo // 1000) || ' ' || lpad(CAST(lo % 1000 AS VARCHAR), 3, '0') || ' dhs'
+      WHEN 10 THEN (lo // 1000) || chr(160) || lpad(CAST(lo % 1000 AS VARCHAR), 3, '0') || ' dhs'
       ELSE (lo * 10) || ' MAD'
     END AS salaire_brut_original,
     CASE k % 12
@@ -137,7 +137,7 @@ raw AS (
 )"""
 
 CLEAN = """
-clean AS (
+clean AS MATERIALIZED (
   SELECT *,
     CAST(smin AS INTEGER) AS salaire_min_mad,
     CAST(smax AS INTEGER) AS salaire_max_mad,
@@ -170,8 +170,8 @@ _WORD = r"\p{L}\p{N}_"
 _ASCII = "a-zA-Z0-9"
 
 
-def _dictionary(families) -> str:
-    """VALUES rows (skill, famille, alias, prio, edge, pattern) in search order."""
+def _entries(families) -> list[tuple[int, str, str, str]]:
+    """(prio, skill, family, alias) in search order."""
     entries = [
         (skill, family, alias.strip().lower())
         for family, skills in families.items()
@@ -180,56 +180,68 @@ def _dictionary(families) -> str:
         if alias.strip()
     ]
     entries.sort(key=lambda e: -len(e[2]))
-    rows = []
-    for prio, (skill, family, alias) in enumerate(entries):
-        loose = bool(re.search(r"^[^\w\s]|[^\w\s]$", alias))
-        inside = _ASCII if loose else _WORD
-        # The text has every character outside the class doubled, so neighbouring hits do not
-        # compete for the separator between them; the literal is doubled the same way.
-        literal = ""
-        for ch in alias:
-            boundary = not re.match(r"[a-zA-Z0-9]" if loose else r"\w", ch)
-            escaped = re.sub(r"([^\w\s])", r"\\\1", ch)
-            literal += escaped * 2 if boundary else escaped
-        pattern = f"(?:^|[^{inside}]){literal}(?:$|[^{inside}])"
-        rows.append(
-            f"({q(skill)}, {q(family)}, {q(alias)}, {prio}, {str(loose).upper()}, {q(pattern)})"
-        )
-    return "(VALUES " + ", ".join(rows) + ") AS t(skill, famille, alias, prio, loose, pattern)"
+    return [(prio, *entry) for prio, entry in enumerate(entries)]
 
 
 def terms(source: str, row: str, listed: str, text: str, carry: str, families) -> tuple[str, ...]:
-    """CTEs ending in ``terms``: one row per (row, skill) with its winning alias."""
+    """CTEs ending in ``terms``: one row per (row, skill) with its winning alias.
+
+    Every word of the text is put between two marks, so an alias with word edges occurs exactly
+    where its bracketed form is a substring and plain replacement counts it. The few aliases
+    with punctuation at an edge are counted by one constant pattern each, over text in which the
+    characters that may delimit them are doubled (so that two hits never share one).
+    """
+    entries = _entries(families)
+    loose = [e for e in entries if re.search(r"^[^\w\s]|[^\w\s]$", e[3])]
+    plain = [e for e in entries if e not in loose]
+
+    def bracketed(alias: str) -> str:
+        return re.sub(r"\w+", lambda m: "\x01" + m.group() + "\x02", alias)
+
+    values = ", ".join(
+        f"({prio}, {q(skill)}, {q(family)}, {q(alias)}, {q(bracketed(alias))})"
+        for prio, skill, family, alias in plain
+    )
+
+    def count(field: str) -> str:
+        return f"(length({field}) - length(replace({field}, form, ''))) // length(form)"
+
+    branches = [
+        f"""SELECT texts.* EXCLUDE (a, b, aw, bw), prio, skill, famille, alias,
+    {count('aw')} AS na, {count('bw')} AS nb
+  FROM texts JOIN (VALUES {values}) AS t(prio, skill, famille, alias, form)
+    ON contains(aw, form) OR contains(bw, form)"""
+    ]
+    for prio, skill, family, alias in loose:
+        literal = "".join(
+            re.escape(ch) if re.match("[a-z0-9]", ch) else re.escape(ch) * 2 for ch in alias
+        )
+        pattern = q(f"(?:^|[^{_ASCII}]){literal}(?:$|[^{_ASCII}])")
+
+        def hits(field: str, pattern: str = pattern) -> str:
+            double = f"regexp_replace({field}, '([^{_ASCII}])', '\\1\\1', 'g')"
+            return f"len(regexp_extract_all({double}, {pattern}))"
+
+        branches.append(
+            f"""SELECT texts.* EXCLUDE (a, b, aw, bw), {prio}, {q(skill)}, {q(family)}, {q(alias)},
+    {hits('a')}, {hits('b')}
+  FROM texts WHERE contains(a, {q(alias)}) OR contains(b, {q(alias)})"""
+        )
+    wrap = f"'([{_WORD}]+)', chr(1) || '\\1' || chr(2), 'g'"
     return (
-        f"dictionary AS (SELECT * FROM {_dictionary(families)})",
         f"""
-texts AS (
+lowered AS (
   SELECT {row} AS row_id, {carry}, lower(coalesce({listed}, '')) AS a,
          lower(coalesce({text}, '')) AS b
   FROM {source}
 )""",
         f"""
-doubled AS (
-  SELECT *,
-    regexp_replace(a, '([^{_WORD}])', '\\1\\1', 'g') AS aw,
-    regexp_replace(b, '([^{_WORD}])', '\\1\\1', 'g') AS bw,
-    regexp_replace(a, '([^{_ASCII}])', '\\1\\1', 'g') AS al,
-    regexp_replace(b, '([^{_ASCII}])', '\\1\\1', 'g') AS bl
-  FROM texts
-)""",
-        """
-hits AS (
-  SELECT doubled.* EXCLUDE (a, b, aw, bw, al, bl), skill, famille, alias, prio,
-    CASE WHEN contains(a, alias)
-         THEN len(regexp_extract_all(CASE WHEN loose THEN al ELSE aw END, pattern))
-         ELSE 0 END AS na,
-    CASE WHEN contains(b, alias)
-         THEN len(regexp_extract_all(CASE WHEN loose THEN bl ELSE bw END, pattern))
-         ELSE 0 END AS nb
-  FROM doubled JOIN dictionary ON contains(a, alias) OR contains(b, alias)
+texts AS MATERIALIZED (
+  SELECT *, regexp_replace(a, {wrap}) AS aw, regexp_replace(b, {wrap}) AS bw FROM lowered
 )""",
+        "hits AS (\n  " + "\n  UNION ALL\n  ".join(branches) + "\n)",
         """
-terms AS (
+terms AS MATERIALIZED (
   SELECT * EXCLUDE (skill, alias, na, nb, prio),
     skill AS skill_normalise, alias AS alias_trouve,
     CASE WHEN na > 0 AND nb > 0 THEN 'both' WHEN na > 0 THEN 'competences_brut'
