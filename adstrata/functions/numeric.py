@@ -12,12 +12,12 @@ def round_to(value: Column, digits: int) -> Column:
     """Scale, round half away from zero, scale back, all in double arithmetic.
 
     Spark's ``round(double, n)`` rounds the shortest decimal text instead, which differs on
-    values such as 1.005.
+    values such as 1.005. Negative values that round to zero stay negative zero, as in SQL
+    engines that round in binary.
     """
-    if digits == 0:
-        return F.round(value.cast("double"), 0)
-    scale = F.lit(float(10**digits))
-    return F.round(value.cast("double") * scale, 0) / scale
+    scaled = value.cast("double") if digits == 0 else value.cast("double") * F.lit(10.0**digits)
+    rounded = F.abs(F.round(scaled, 0)) * F.signum(scaled)
+    return rounded if digits == 0 else rounded / F.lit(10.0**digits)
 
 
 def share_pct(part: Column, whole: Column, digits: int | None = None) -> Column:
