@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from adstrata.operators.extraction import extract_terms
+from adstrata.operators.spread import spread_small
 from adstrata.plans import gold, silver
 from adstrata.schemas import CLEAN_ADS, QUALITY, SKILLS
 from adstrata.sources import bronze, tables
@@ -83,7 +84,8 @@ def run_silver(
     """Clean the ads of Bronze (all of it, or some partitions)."""
     landed = bronze.read_bronze(spark, lake.bronze, sources, months)
     _require_rows(landed, lake.bronze)
-    tables.write_table(silver.clean_ads(typed_ads(landed), rules), lake.ads, MONTH)
+    raw = typed_ads(spread_small(landed, "raw"))
+    tables.write_table(silver.clean_ads(raw, rules), lake.ads, MONTH)
     ads = tables.read_table(spark, lake.ads, CLEAN_ADS)
     tables.write_table(silver.quality_rows(ads), lake.quality)
     return ads.count()
@@ -92,7 +94,8 @@ def run_silver(
 def run_terms(spark: SparkSession, lake: Lake, dictionary: str) -> int:
     """Extract dictionary terms from the clean ads."""
     ads = tables.read_table(spark, lake.ads, CLEAN_ADS)
-    found = extract_terms(ads, read_dictionary(spark, dictionary))
+    spread = spread_small(ads, "id_offre", "description")
+    found = extract_terms(spread, read_dictionary(spark, dictionary))
     tables.write_table(found.select(*SKILLS.fieldNames()), lake.skills)
     written = tables.read_table(spark, lake.skills, SKILLS)
     _require_rows(written, lake.skills)

@@ -47,10 +47,12 @@ def write_partitioned(
 
 def ingest(records: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write (raw, file) records to Bronze with their metadata, the record text untouched."""
+    # One parse per record for both keys; the record itself is written as it came.
+    keys = F.from_json("raw", "source string, date_publication string")
     keyed = with_partition_keys(
-        records,
-        F.get_json_object("raw", "$.source"),
-        F.get_json_object("raw", "$.date_publication"),
+        records.withColumn("_keys", keys),
+        F.col("_keys.source"),
+        F.col("_keys.date_publication"),
     )
     rows = keyed.select(
         "raw",

@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from adstrata.operators.extraction import extract_terms  # noqa: E402
+from adstrata.operators.spread import spread_small  # noqa: E402
 from adstrata.plans import analytics, gold, job, silver  # noqa: E402
 from adstrata.session import local_session  # noqa: E402
 from adstrata.sources import bronze, tables  # noqa: E402
@@ -76,10 +77,17 @@ def main() -> None:
     landed = bronze.read_bronze(spark, lake.bronze)
     timed(
         "silver_transform",
-        lambda: tables.write_table(silver.clean_ads(typed_ads(landed)), lake.ads, job.MONTH),
+        lambda: tables.write_table(
+            silver.clean_ads(typed_ads(spread_small(landed, "raw"))), lake.ads, job.MONTH
+        ),
     )
     ads = tables.read_table(spark, lake.ads, job.CLEAN_ADS)
-    timed("ad_terms", lambda: tables.write_table(extract_terms(ads, terms), lake.skills))
+    timed(
+        "ad_terms",
+        lambda: tables.write_table(
+            extract_terms(spread_small(ads, "id_offre", "description"), terms), lake.skills
+        ),
+    )
     found = tables.read_table(spark, lake.skills, job.SKILLS)
     for name, mart in gold.build_marts(ads, found).items():
         timed(f"gold_{name}", lambda m=mart, n=name: tables.write_table(m, lake.mart(n)))

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adstrata.operators.spread import spread_small
 from workload import cases as K
 
 
@@ -32,8 +33,11 @@ def _pick(values: list, index: Column) -> Column:
 
 def messy_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-ad columns built from orders joined with customer."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate"
+    orders = spread_small(
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate"
+        ),
+        "o_orderkey",
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))

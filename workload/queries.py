@@ -44,7 +44,8 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extract_ad_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return extract_terms(clean(spark, sf), dictionary_from_mapping(spark, K.AD_TERMS))
+    ads = spread_small(clean(spark, sf), "id_offre")
+    return extract_terms(ads, dictionary_from_mapping(spark, K.AD_TERMS))
 
 
 def ad_terms(spark: SparkSession, sf: str) -> DataFrame:
