@@ -30,7 +30,7 @@ def _int(text: Column) -> Column:
 
 
 def _joined_int(text: Column) -> Column:
-    return _int(F.regexp_replace(text, f"[{WS}]", ""))
+    return _int(F.regexp_replace(text, f"[{WS}]+", ""))
 
 
 def parse_salary(
@@ -51,6 +51,7 @@ def parse_salary(
     lowered = F.lower(text) if lowered is None else lowered
     has_eur = F.contains(lowered, F.lit("eur"))
     has_k = F.contains(lowered, F.lit("k"))
+    has_dash = F.contains(text, F.lit("-")) | F.contains(text, F.lit("–"))
 
     def group(pattern: str, i: int) -> Column:
         return F.regexp_extract(text, pattern, i)
@@ -93,7 +94,7 @@ def parse_salary(
             result(thousands(group(K_SINGLE, 1)), thousands(group(K_SINGLE, 1)), D.CURRENCY_MAD),
         )
         .when(
-            text.rlike(PLAIN_RANGE),
+            has_dash & text.rlike(PLAIN_RANGE),
             result(
                 _joined_int(group(PLAIN_RANGE, 1)),
                 _joined_int(group(PLAIN_RANGE, 2)),

@@ -15,8 +15,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same set as a regex class body, for use inside [...].
-WS = WHITESPACE
+# The same set as a regex class body, for use inside [...]. Ranges keep the class quick to test.
+WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 _ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹"
 _ASCII_DIGITS = "01234567890123456789"
