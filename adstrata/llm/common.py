@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,8 @@ WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isdigit() or 97 <= b <= 122 else 32
     for b in range(256)
 )
-#: The same words as a separator pattern of the JVM (and of DuckDB).
+#: The same words in a text whose case is not folded yet, and as a separator pattern of the JVM (and of DuckDB).
+RAW_WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 

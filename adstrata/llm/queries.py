@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import licenses, linededup, warc
+from . import decontam, licenses, linededup, mixing, secrets, toxicity, warc
 from .common import sha256_text, table
-from pyspark.sql import functions as F
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,35 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: The tree of the mix: form of the text, language, source. Children without a weight have weight 1.
+MIX_LEVELS = ("domain", "lang", "source")
+MIX_WEIGHTS = {"domain": {"brief": 1, "article": 3, "long": 2}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
+MIX_SHARE = 0.6
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    n = F.length(F.coalesce("text", F.lit("")))
+    return docs.withColumn("domain", F.when(n < 1000, "brief").when(n < 8000, "article").otherwise("long"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents")).withColumn("id", F.col("doc_id"))
+    mixed = mixing.mix(docs, MIX_LEVELS, budget_share=MIX_SHARE, weights=MIX_WEIGHTS)
+    return mixed.select("doc_id", "domain", "lang", "source", "epoch", mixing.n_tokens(F.col("text")).alias("n_tokens"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -28,4 +57,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_warc, op9_licenses, op10_line_dedup)}
+    return {f.__name__: f for f in (
+        op2_secrets, op5_warc, op6_decontamination, op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup,
+    )}
