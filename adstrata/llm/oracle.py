@@ -2,6 +2,20 @@
 
 from __future__ import annotations
 
+OP1 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+)
+select query_id, cast(rank as int) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+) where rank <= 20
+"""
+
 OP5 = """
 with p as (
   select page_id, coalesce(html, '') as body, sha256(coalesce(html, '')) as digest from pages
@@ -16,4 +30,4 @@ from q
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": OP5}
+    return {"op1_top_k": OP1, "op5_warc": OP5}

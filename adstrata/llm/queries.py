@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, linededup, mixing, secrets, toxicity, warc
+from . import decontam, licenses, linededup, mixing, secrets, topk, toxicity, warc
 from .common import sha256_text, table
 
 
@@ -18,6 +18,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -58,5 +62,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_secrets, op5_warc, op6_decontamination, op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup,
+        op1_top_k, op2_secrets, op5_warc, op6_decontamination, op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup,
     )}
