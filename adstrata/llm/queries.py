@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, licenses, linededup, mixing, secrets, topk, toxicity, warc
+from . import decontam, jaccard, licenses, linededup, mixing, secrets, topk, toxicity, warc
 from .common import sha256_text, table
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_archives(manifest, with_payload=False).select(
@@ -62,5 +66,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_top_k, op2_secrets, op5_warc, op6_decontamination, op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup,
+        op1_top_k, op2_secrets, op4_jaccard_join, op5_warc, op6_decontamination, op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup,
     )}

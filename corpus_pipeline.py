@@ -4,9 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from adstrata.llm import decontam, jaccard, linededup, mixing, toxicity
 from adstrata.llm.common import stored, table
+from adstrata.llm.queries import MIX_LEVELS, MIX_SHARE, MIX_WEIGHTS, with_domain
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model scores below 0.5."""
+    return toxicity.clean(docs, table(spark, sf_dir, "labels"))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without chunks of lines that stand elsewhere before; documents of which nothing is left go."""
+    done = linededup.dedup_lines(docs)
+    kept = done.where("n_removed = 0 or n_removed < n_lines")
+    return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(
+        *docs.columns
+    )
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates (all those without words)."""
+    found = jaccard.link(docs.select("doc_id", "text"))
+    # Rows of one id are one document: repeated rows stay or go together.
+    gone = found.where("doc_id > component_id").select("doc_id").distinct()
+    kept = docs.join(stored(gone, "near-gone").hint("shuffle_hash"), "doc_id", "left_anti")
+    return kept.select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of the benchmark occurs."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix, once per epoch that takes them."""
+    return mixing.mix(with_domain(docs), MIX_LEVELS, budget_share=MIX_SHARE, weights=MIX_WEIGHTS)
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("near_duplicates", keep_one_of_each_group),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
 
 #: A learned score, a similarity join and its components are not expressible in SQL.
 ORACLE_SQL = None
