@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, licenses, linededup, mixing, secrets, topk, toxicity, warc
+from . import brown, decontam, jaccard, licenses, linededup, mixing, secrets, topk, toxicity, warc
 from .common import sha256_text, table
 
 
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
+    return brown.score(table(spark, sf_dir, "documents"), held_out)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents"))
 
@@ -66,5 +71,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_top_k, op2_secrets, op4_jaccard_join, op5_warc, op6_decontamination, op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup,
+        op1_top_k, op2_secrets, op3_class_lm, op4_jaccard_join, op5_warc, op6_decontamination,
+        op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup,
     )}
