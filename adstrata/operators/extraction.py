@@ -16,16 +16,12 @@ from pyspark.sql import functions as F
 from adstrata.functions.numeric import share_pct
 from adstrata.sources.terms import ALNUM, WORD
 
-# Dictionaries up to this many aliases become a literal of the expression; larger ones are
-# joined as a table.
-INLINE_LIMIT = 1000
-
 # Field order matters: candidates are sorted by it, so skill then prio.
 _ENTRY = (
-    "struct<skill:string,prio:int,famille:string,alias:string,"
-    "pattern:string,loose:boolean,plain:boolean>"
+    "struct<skill:string,prio:struct<len:int,f:int,s:int,a:int>,famille:string,alias:string,"
+    "pattern:string,loose:boolean,plain:boolean,anchor:string>"
 )
-_FIELDS = ["skill", "prio", "famille", "alias", "pattern", "loose", "plain"]
+_FIELDS = ["skill", "prio", "famille", "alias", "pattern", "loose", "plain", "anchor"]
 
 BOTH, RAW_ONLY, TEXT_ONLY = "both", "competences_brut", "description"
 
@@ -47,27 +43,29 @@ def extract_terms(
     listed: str = "competences_brut",
     text: str = "description",
     context: Mapping[str, str] | None = None,
-    row_key: str | None = None,
     keep_unmatched: bool = False,
-    inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """Terms found in ``listed`` or ``text`` of each row.
 
     Per (row, skill) the longest alias found in *either* field wins, ties by dictionary order;
     ``source`` and ``nb_mentions_desc`` describe the winning alias only. ``context`` columns are
-    carried along. A dictionary above ``inline_limit`` aliases is joined, which needs a unique
-    ``row_key``. ``keep_unmatched`` keeps rows without any term, with null term columns.
+    carried along. ``keep_unmatched`` keeps rows without any term, with null term columns.
+
+    The dictionary is one JSON document, read by one task, so it always fits a task and becomes a
+    literal of the expression: entries in hash slots of their anchor word, of which a hit word reads
+    one. Whatever its size, no text is shuffled.
     """
     context = dict(AD_CONTEXT if context is None else context)
     entries = dictionary.withColumn(
         "plain", ~F.col("loose") & (F.col("alias") == F.col("anchor"))
-    ).select(*_FIELDS, "anchor")
-    small = entries.limit(inline_limit + 1).collect()
+    ).select(*_FIELDS)
+    small = [r.asDict(recursive=True) for r in entries.collect()]
+    anchors = {(r["anchor"], r["loose"]) for r in small if r["anchor"] is not None}
+    slots = _slots(entries, len(anchors)) if anchors else {}
 
     rows = ads.select(
         F.col(ad_id).alias("id_offre"),
         *[F.col(col).alias(name) for name, col in context.items()],
-        *([F.col(row_key).alias("_key")] if row_key else []),
         F.lower(F.coalesce(F.col(listed), F.lit(""))).alias("_listed"),
         F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_text"),
     ).withColumns(
@@ -76,12 +74,7 @@ def extract_terms(
             "_text_words": F.split("_text", f"[^{WORD}]+"),
         }
     )
-    if len(small) <= inline_limit:
-        rows = _candidates_inline(rows, small)
-    elif row_key is None:
-        raise ValueError("a dictionary above inline_limit needs a unique row_key column")
-    else:
-        rows = _candidates_joined(rows, entries)
+    rows = _candidates(rows, small, slots)
     found = _winners(rows)
 
     term = found.withColumn("_t", F.explode_outer("_winners"))
@@ -109,83 +102,63 @@ def extract_terms(
     )
 
 
-def _literal_entries(rows) -> str:
-    return json.dumps([{f: r[f] for f in _FIELDS} for r in rows], ensure_ascii=False)
+def _slots(entries: DataFrame, n: int) -> dict[str, int]:
+    """Hash slot of every anchor, numbered as the scan will number its words."""
+    numbered = entries.where("anchor is not null").select("anchor", _slot(F.col("anchor"), n).alias("slot"))
+    return {r["anchor"]: r["slot"] for r in numbered.distinct().collect()}
 
 
-def _candidates_inline(rows: DataFrame, entries: list) -> DataFrame:
-    """Candidates from the dictionary held as a literal map anchor -> entries."""
-    anchored = {}
-    for r in entries:
-        if not r["loose"] and r["anchor"] is not None:
-            anchored.setdefault(r["anchor"], []).append({f: r[f] for f in _FIELDS})
-    loose = [r for r in entries if r["loose"] or r["anchor"] is None]
-
-    candidates = F.lit(None).cast(f"array<{_ENTRY}>")
-    if anchored:
-        by_anchor = F.from_json(
-            F.lit(json.dumps(anchored, ensure_ascii=False)), f"map<string,array<{_ENTRY}>>"
-        )
-        # A long literal list is looked up by hash. Repeats are kept: they are the mentions.
-        def known(words: str) -> Column:
-            return F.filter(words, lambda w: w.isin(list(anchored)))
-
-        rows = rows.withColumns(
-            {"_listed_words": known("_listed_words"), "_text_words": known("_text_words")}
-        )
-        hits = F.array_distinct(F.concat("_listed_words", "_text_words"))
-        candidates = F.flatten(F.transform(hits, lambda w: F.try_element_at(by_anchor, w)))
-    else:
-        none = F.array().cast("array<string>")
-        rows = rows.withColumns({"_listed_words": none, "_text_words": none})
-    return rows.withColumn("_candidates", _with_loose(candidates, loose))
+def _slot(word: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(n)).cast("int")
 
 
-def _candidates_joined(rows: DataFrame, entries: DataFrame) -> DataFrame:
-    """Candidates by joining the distinct tokens of each row with a dictionary table.
+def _candidates(rows: DataFrame, entries: list[dict], slots: dict[str, int]) -> DataFrame:
+    """Entries whose anchor word stands in a row, and those without anchor whose literal does."""
+    anchored = [r for r in entries if r["anchor"] is not None]
+    free = [r for r in entries if r["anchor"] is None]
+    n = len({(r["anchor"], r["loose"]) for r in anchored})
+    table: list[list[dict]] = [[] for _ in range(n)]
+    for r in anchored:
+        table[slots[r["anchor"]]].append(r)
+    literal = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), f"array<array<{_ENTRY}>>")
 
-    Only (key, token) pairs travel to the dictionary; the text rejoins by key afterwards.
-    Adaptive execution broadcasts the dictionary when its measured size allows.
-    """
-
-    def tokens(pattern: str, loose: bool) -> Column:
-        pieces = F.concat(F.split("_listed", pattern), F.split("_text", pattern))
-        return F.transform(
-            F.array_distinct(pieces),
-            lambda w: F.struct(w.alias("anchor"), F.lit(loose).alias("loose")),
+    def known(words: Column, loose: bool) -> Column:
+        # A long literal list is looked up by hash. Repeats are kept: they are the mentions.
+        names = [r["anchor"] for r in anchored if r["loose"] == loose]
+        return F.filter(words, lambda w: w.isin(names)) if names else F.array().cast("array<string>")
+
+    def announced(words: Column, loose: bool) -> Column:
+        return F.flatten(
+            F.transform(
+                F.array_distinct(words),
+                lambda w: F.filter(F.get(literal, _slot(w, n)), lambda e: (e["anchor"] == w) & (e["loose"] == F.lit(loose))),
+            )
         )
 
-    # Punctuation-edged aliases have their own idea of a boundary, hence their own tokens.
-    pairs = rows.select(
-        "_key",
-        F.inline(F.concat(tokens(f"[^{WORD}]+", False), tokens(f"[^{ALNUM}]+", True))),
-    )
-    per_row = (
-        pairs.join(entries.where(F.col("anchor").isNotNull()), ["anchor", "loose"])
-        .groupBy("_key")
-        .agg(F.collect_list(F.struct(*_FIELDS)).alias("_joined"))
-    )
-    unanchored = entries.where(F.col("anchor").isNull()).collect()
-    return rows.join(per_row, "_key", "left").withColumn(
-        "_candidates", _with_loose(F.col("_joined"), unanchored)
-    )
-
-
-def _with_loose(candidates: Column, loose: list) -> Column:
-    """Add the entries no word can announce (punctuation-edged), if their literal occurs."""
-    none = F.array().cast(f"array<{_ENTRY}>")
-    base = F.coalesce(candidates.cast(f"array<{_ENTRY}>"), none)
-    if not loose:
-        return base
-    literal = F.from_json(F.lit(_literal_entries(loose)), f"array<{_ENTRY}>")
-    return F.concat(
-        base,
-        F.filter(
-            literal,
-            lambda e: F.contains(F.col("_listed"), e["alias"])
-            | F.contains(F.col("_text"), e["alias"]),
-        ),
+    rows = rows.withColumns(
+        {
+            "_listed_words": known(F.col("_listed_words"), False),
+            "_text_words": known(F.col("_text_words"), False),
+        }
     )
+    found = [F.array().cast(f"array<{_ENTRY}>")]
+    if any(not r["loose"] for r in anchored):
+        found.append(announced(F.concat("_listed_words", "_text_words"), False))
+    if any(r["loose"] for r in anchored):
+        # Punctuation-edged aliases have their own idea of a boundary, hence their own words.
+        pieces = F.concat(F.split("_listed", f"[^{ALNUM}]+"), F.split("_text", f"[^{ALNUM}]+"))
+        found.append(announced(known(pieces, True), True))
+    if free:
+        # No word can announce them: all their characters are punctuation.
+        marks = F.from_json(F.lit(json.dumps(free, ensure_ascii=False)), f"array<{_ENTRY}>")
+        found.append(
+            F.filter(
+                marks,
+                lambda e: F.contains(F.col("_listed"), e["alias"])
+                | F.contains(F.col("_text"), e["alias"]),
+            )
+        )
+    return rows.withColumn("_candidates", F.concat(*found))
 
 
 def _winners(rows: DataFrame) -> DataFrame:
@@ -234,22 +207,23 @@ def _mentions(field: str, words: str) -> Column:
 # --- Statistics over the long table -------------------------------------------------------
 
 
-def coverage(
-    matches: DataFrame, ads: DataFrame, ad_id: str = "id_offre"
-) -> DataFrame:
-    """One row: matches, ads, ads with at least one term, ads without, terms, averages."""
+def coverage(matches: DataFrame, ads: DataFrame) -> DataFrame:
+    """One row: matches, ads, ads with at least one term, ads without, terms, averages.
+
+    Ads are counted as rows, so repeated ids stay apart; ``matches`` must come from
+    ``extract_terms(..., keep_unmatched=True)``.
+    """
     total = ads.agg(F.count(F.lit(1))).scalar()
-    with_term = matches.agg(F.count_distinct(ad_id)).scalar()
+    per_term = matches.groupBy("skill_normalise").agg(F.count(F.lit(1)).alias("n"))
+    is_term = F.col("skill_normalise").isNotNull()
     return (
-        matches.groupBy("skill_normalise")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("nb_correspondances"),
-            F.count(F.lit(1)).alias("nb_competences"),
+        per_term.agg(
+            F.coalesce(F.sum(F.when(is_term, F.col("n"))), F.lit(0)).alias("nb_correspondances"),
+            F.count_if(is_term).alias("nb_competences"),
+            F.coalesce(F.sum(F.when(~is_term, F.col("n"))), F.lit(0)).alias("nb_offres_sans"),
         )
         .withColumn("nb_offres", total)
-        .withColumn("nb_offres_avec", with_term)
-        .withColumn("nb_offres_sans", F.col("nb_offres") - F.col("nb_offres_avec"))
+        .withColumn("nb_offres_avec", F.col("nb_offres") - F.col("nb_offres_sans"))
         .withColumn(
             "moyenne_par_offre",
             F.try_divide(F.col("nb_correspondances").cast("double"), F.col("nb_offres")),

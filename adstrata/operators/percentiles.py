@@ -85,7 +85,8 @@ def exact_percentiles(
 
         low, high = at(lower), at(F.ceil(position))
         fraction = F.max(position - lower)
-        return low + (high - low) * fraction
+        # Equal neighbours are returned as they are: infinity minus infinity is no number.
+        return F.when(low == high, low).otherwise(low + (high - low) * fraction)
 
     result = ranked.groupBy(*keys).agg(
         *[interpolated(i, p).alias(name) for i, (name, p) in enumerate(probs.items())]

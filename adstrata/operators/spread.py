@@ -1,24 +1,14 @@
-"""Parallelism for inputs too small to be split."""
+"""Parallelism for inputs that arrive in few large splits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-SMALL_BYTES = 512 * 1024 * 1024
 
+def spread(df: DataFrame, partitions: int | None, *keys: str) -> DataFrame:
+    """Rows dealt over ``partitions`` tasks by key; unchanged when ``partitions`` is None.
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; for a file scan, the size of the files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, *keys: str, limit: int = SMALL_BYTES) -> DataFrame:
-    """Spread the rows of a small input over all cores before heavy per-row work.
-
-    A Parquet file of one row group is one task however many cores wait. Beyond ``limit`` the
-    scan already has enough tasks and shuffling the text would cost more than it gains, so the
-    input is returned as it is. Hashing by key keeps the split the same on a retry.
+    Worth its shuffle where a file of one row group would keep one task busy with heavy per-row
+    work while others wait. Hashing by key keeps the split the same on a retry.
     """
-    if estimated_bytes(df) > limit:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+    return df if partitions is None else df.repartition(partitions, *keys)

@@ -11,18 +11,17 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from adstrata.operators.extraction import extract_terms
-from adstrata.operators.spread import spread_small
+from adstrata.operators.spread import spread
 from adstrata.plans import gold, silver
 from adstrata.schemas import CLEAN_ADS, QUALITY, SKILLS
 from adstrata.sources import bronze, tables
 from adstrata.sources.envelope import read_raw, typed_ads
 from adstrata.sources.terms import read_dictionary
 
-MONTH = ["annee_publication", "mois_publication"]
-
 
 @dataclass(frozen=True)
 class Lake:
@@ -34,6 +33,10 @@ class Lake:
     def bronze(self) -> str:
         return f"{self.root}/bronze"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/bronze_rejets"
+
     @property
     def manifest(self) -> str:
         return f"{self.root}/bronze_manifest"
@@ -59,6 +62,7 @@ class Step:
     name: str
     rows: int
     seconds: float
+    rejected: int = 0
 
 
 def _require_rows(df: DataFrame, what: str) -> None:
@@ -66,36 +70,76 @@ def _require_rows(df: DataFrame, what: str) -> None:
         raise ValueError(f"no rows in {what}")
 
 
-def run_bronze(spark: SparkSession, lake: Lake, source: str, layout: str = "envelope") -> int:
-    """Land the raw records and write the manifest; returns the rows in Bronze."""
-    bronze.ingest(read_raw(spark, source, layout), lake.bronze)
+def run_bronze(
+    spark: SparkSession, lake: Lake, source: str, layout: str = "envelope",
+    feed: str = bronze.DEFAULT_FEED, corrupt: str = "raise",
+) -> int:
+    """Land the raw records of one feed and write the manifest; returns the rows in Bronze.
+
+    Records that are not one JSON object go to ``lake.rejects``.
+    """
+    records = read_raw(spark, source, layout, corrupt)
+    bronze.ingest(records, lake.bronze, feed=feed, rejects=lake.rejects)
     landed = bronze.read_bronze(spark, lake.bronze)
     tables.write_table(bronze.manifest(landed), lake.manifest)
     return landed.count()
 
 
+def count_rejects(spark: SparkSession, lake: Lake) -> int:
+    """Records of all feeds that Bronze turned away."""
+    return spark.read.parquet(lake.rejects).count()
+
+
 def run_silver(
     spark: SparkSession,
     lake: Lake,
     rules: silver.SilverRules | None = None,
     sources: list[str] | None = None,
     months: tuple[str, str] | None = None,
+    partitions: int | None = None,
 ) -> int:
-    """Clean the ads of Bronze (all of it, or some partitions)."""
+    """Clean the ads of Bronze (all of it, or some partitions).
+
+    Silver has the partitions of Bronze, so a partial run replaces exactly what it read again. A
+    partial run that finds a Silver partition which Bronze no longer has becomes a whole run, as
+    such a partition cannot be replaced by rows.
+    """
+    part = sources is not None or months is not None
+    if part and _has_stale(spark, lake, sources, months):
+        sources = months = None
+        part = False
     landed = bronze.read_bronze(spark, lake.bronze, sources, months)
     _require_rows(landed, lake.bronze)
-    raw = typed_ads(spread_small(landed, "raw"))
-    tables.write_table(silver.clean_ads(raw, rules), lake.ads, MONTH)
+    keep = tuple(bronze.PARTITION)
+    raw = typed_ads(spread(landed, partitions, "raw"), keep=keep)
+    clean = silver.clean_ads(raw, rules, keep)
+    tables.write_table(clean, lake.ads, bronze.PARTITION, replaces="dynamic" if part else "static")
     ads = tables.read_table(spark, lake.ads, CLEAN_ADS)
     tables.write_table(silver.quality_rows(ads), lake.quality)
     return ads.count()
 
 
-def run_terms(spark: SparkSession, lake: Lake, dictionary: str) -> int:
+def _has_stale(
+    spark: SparkSession, lake: Lake, sources: list[str] | None, months: tuple[str, str] | None
+) -> bool:
+    """Whether Silver holds a selected partition without a row in Bronze."""
+    keys = bronze.PARTITION
+    try:
+        written = spark.read.parquet(lake.ads)
+    except AnalysisException:  # no Silver yet
+        return False
+    have = bronze.selected(written, sources, months).select(*keys).distinct()
+    want = bronze.read_bronze(spark, lake.bronze, sources, months).select(*keys).distinct()
+    return not have.join(want, keys, "left_anti").isEmpty()
+
+
+def run_terms(
+    spark: SparkSession, lake: Lake, dictionary: str, partitions: int | None = None
+) -> int:
     """Extract dictionary terms from the clean ads."""
     ads = tables.read_table(spark, lake.ads, CLEAN_ADS)
-    spread = spread_small(ads, "id_offre", "description")
-    found = extract_terms(spread, read_dictionary(spark, dictionary))
+    dealt = spread(ads, partitions, "id_offre", "description")
+    found = extract_terms(dealt, read_dictionary(spark, dictionary))
     tables.write_table(found.select(*SKILLS.fieldNames()), lake.skills)
     written = tables.read_table(spark, lake.skills, SKILLS)
     _require_rows(written, lake.skills)
@@ -118,21 +162,27 @@ def read_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
 
 
 def run(
-    spark: SparkSession, source: str, root: str, dictionary: str, layout: str = "envelope"
+    spark: SparkSession, source: str, root: str, dictionary: str, layout: str = "envelope",
+    feed: str = bronze.DEFAULT_FEED, corrupt: str = "raise", partitions: int | None = None,
 ) -> list[Step]:
-    """All steps in order; the first failure stops the run by raising."""
+    """All steps in order; the first failure stops the run by raising.
+
+    ``layout``: an envelope file is one task by nature, so land large feeds as ``lines``.
+    ``partitions``: tasks over which Silver and extraction deal the rows; None leaves the scan's.
+    """
     lake = Lake(root)
     steps: list[tuple[str, Callable[[], int]]] = [
-        ("bronze", lambda: run_bronze(spark, lake, source, layout)),
-        ("silver", lambda: run_silver(spark, lake)),
-        ("terms", lambda: run_terms(spark, lake, dictionary)),
+        ("bronze", lambda: run_bronze(spark, lake, source, layout, feed, corrupt)),
+        ("silver", lambda: run_silver(spark, lake, partitions=partitions)),
+        ("terms", lambda: run_terms(spark, lake, dictionary, partitions)),
         ("gold", lambda: run_gold(spark, lake)),
     ]
     done = []
     for name, action in steps:
         started = time.monotonic()
         rows = action()
-        done.append(Step(name, rows, time.monotonic() - started))
+        rejected = count_rejects(spark, lake) if name == "bronze" else 0
+        done.append(Step(name, rows, time.monotonic() - started, rejected))
     return done
 
 
@@ -143,10 +193,17 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lake", required=True)
     parser.add_argument("--dictionary", required=True)
     parser.add_argument("--layout", choices=["envelope", "lines"], default="envelope")
+    parser.add_argument("--feed", default=bronze.DEFAULT_FEED)
+    parser.add_argument("--corrupt", choices=["raise", "skip"], default="raise")
+    parser.add_argument("--partitions", type=int)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("adstrata").getOrCreate()
-    for step in run(spark, args.source, args.lake, args.dictionary, args.layout):
-        print(f"{step.name:<8} {step.rows:>12} rows  {step.seconds:8.1f} s")
+    steps = run(
+        spark, args.source, args.lake, args.dictionary, args.layout, args.feed, args.corrupt,
+        args.partitions,
+    )
+    for step in steps:
+        print(f"{step.name:<8} {step.rows:>12} rows  {step.seconds:8.1f} s  {step.rejected} rejected")
 
 
 if __name__ == "__main__":

@@ -36,8 +36,10 @@ class SilverRules:
     strict_experience: bool = False
 
 
-def clean_ads(raw: DataFrame, rules: SilverRules | None = None) -> DataFrame:
-    """The 33 clean columns, one row per raw ad.
+def clean_ads(
+    raw: DataFrame, rules: SilverRules | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """The 33 clean columns, one row per raw ad; ``keep`` names columns to carry along.
 
     Written as successive projections: texts are prepared once, each parser runs once on them,
     and the repairs read the parsed values.
@@ -116,6 +118,7 @@ def clean_ads(raw: DataFrame, rules: SilverRules | None = None) -> DataFrame:
     names = F.concat_ws(SEPARATOR, *[F.when(flag, F.lit(name)) for name, flag in flags.items()])
 
     return repaired.select(
+        *keep,
         "id_offre",
         "source",
         c("titre_poste").alias("titre_poste_original"),
@@ -149,7 +152,7 @@ def clean_ads(raw: DataFrame, rules: SilverRules | None = None) -> DataFrame:
         "langue_requise",
         count.alias("nb_anomalies"),
         names.alias("anomalies"),
-    ).select(*CLEAN_ADS.fieldNames())
+    ).select(*CLEAN_ADS.fieldNames(), *keep)
 
 
 def quality_rows(clean: DataFrame) -> DataFrame:

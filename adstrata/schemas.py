@@ -61,6 +61,7 @@ BRONZE = _struct(
     ("source_fichier", _S),
     ("date_ingestion", T.TimestampType()),
     ("schema_version", _S),
+    ("flux_part", _S),
     ("source_part", _S),
     ("mois_part", _S),
 )

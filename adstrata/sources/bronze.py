@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,12 @@ from adstrata import dictionaries as D
 from adstrata.functions.dates import month_key
 from adstrata.functions.numeric import share_pct
 from adstrata.schemas import BRONZE
+from adstrata.sources.envelope import is_record
 
 SCHEMA_VERSION = "1.0"
 PARTITION = ["source_part", "mois_part"]
+FEED = "flux_part"
+DEFAULT_FEED = "principal"
 
 
 def source_key(source: Column, unknown: str = D.UNKNOWN_SOURCE) -> Column:
@@ -28,9 +33,12 @@ def with_partition_keys(df: DataFrame, source: Column, published: Column) -> Dat
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition: list[str], mode: str = "overwrite"
+    df: DataFrame, path: str, partition: list[str], mode: str = "overwrite",
+    replaces: str = "dynamic",
 ) -> None:
-    """Snappy Parquet, one directory per key; ``overwrite`` replaces only the keys written.
+    """Snappy Parquet, one directory per key.
+
+    ``overwrite`` replaces only the keys written (``dynamic``) or the whole table (``static``).
 
     REBALANCE groups rows of a key into few files, and lets adaptive execution split a key that
     holds a large share of the rows over several tasks.
@@ -38,15 +46,38 @@ def write_partitioned(
     (
         df.hint("rebalance", *partition)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", replaces)
         .option("compression", "snappy")
         .partitionBy(*partition)
         .parquet(path)
     )
 
 
-def ingest(records: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write (raw, file) records to Bronze with their metadata, the record text untouched."""
+def feed_path(path: str, feed: str) -> str:
+    """Folder of one feed in a zone."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", feed):
+        raise ValueError(f"a feed id is made of letters, digits, '_', '.' and '-': {feed!r}")
+    return f"{path}/{FEED}={feed}"
+
+
+def ingest(
+    records: DataFrame, path: str, mode: str = "overwrite", feed: str = DEFAULT_FEED,
+    rejects: str | None = None,
+) -> None:
+    """Write (raw, file) records to Bronze with their metadata, the record text untouched.
+
+    Each feed has its own folder: landing it again replaces it as a whole, so a record whose month
+    changed leaves no older copy, and no other feed is touched. With ``rejects``, records that are
+    not one JSON object go to that zone instead.
+    """
+    if rejects is not None:
+        (
+            records.where(~is_record())
+            .select("raw", F.col("file").alias("source_fichier"),
+                    F.current_timestamp().alias("date_ingestion"))
+            .write.mode(mode).parquet(feed_path(rejects, feed))
+        )
+        records = records.where(is_record())
     # One parse per record for both keys; the record itself is written as it came.
     keys = F.from_json("raw", "source string, date_publication string")
     keyed = with_partition_keys(
@@ -61,7 +92,7 @@ def ingest(records: DataFrame, path: str, mode: str = "overwrite") -> None:
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         *PARTITION,
     )
-    write_partitioned(rows, path, PARTITION, mode)
+    write_partitioned(rows, feed_path(path, feed), PARTITION, mode, "static")
 
 
 def read_bronze(
@@ -70,8 +101,15 @@ def read_bronze(
     sources: list[str] | None = None,
     months: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Bronze rows; ``sources`` and an inclusive ``months`` range prune partitions."""
+    """Bronze rows of all feeds; ``sources`` and an inclusive ``months`` range prune partitions."""
     rows = spark.read.schema(BRONZE).parquet(path)
+    return selected(rows, sources, months)
+
+
+def selected(
+    rows: DataFrame, sources: list[str] | None = None, months: tuple[str, str] | None = None
+) -> DataFrame:
+    """The rows of some partitions."""
     if sources is not None:
         rows = rows.where(F.col("source_part").isin(list(sources)))
     if months is not None:
@@ -134,7 +172,7 @@ def integrity_report(bronze: DataFrame) -> DataFrame:
     """
     per_partition = bronze.groupBy(*PARTITION).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.json_object_keys("raw").isNull()).alias("corrupt"),
+        F.count_if(~is_record()).alias("corrupt"),
     )
     return per_partition.agg(
         F.count(F.lit(1)).alias("partitions_found"),

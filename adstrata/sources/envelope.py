@@ -51,11 +51,23 @@ def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def read_envelope_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(raw, file) rows from envelope files; a missing record list gives no rows."""
-    return read_envelopes(spark, path).where(~F.col("corrupt")).select(
-        F.explode("offres").alias("raw"), "file"
-    )
+def read_envelope_records(
+    spark: SparkSession, path: str | list[str], corrupt: str = "raise"
+) -> DataFrame:
+    """(raw, file) rows from envelope files; a missing record list gives no rows.
+
+    A file that is no JSON document stops the job (``raise``) or is left out (``skip``; list such
+    files with ``bronze.corrupt_files``).
+    """
+    if corrupt not in ("raise", "skip"):
+        raise ValueError(f"corrupt must be raise or skip, not {corrupt!r}")
+    files = read_envelopes(spark, path)
+    if corrupt == "skip":
+        offres = F.when(F.col("corrupt"), F.array().cast("array<string>")).otherwise(F.col("offres"))
+    else:
+        stop = F.raise_error(F.concat(F.lit("corrupt envelope: "), F.col("file")))
+        offres = F.when(F.col("corrupt"), stop.cast("array<string>")).otherwise(F.col("offres"))
+    return files.select(F.explode(offres).alias("raw"), "file")
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -67,10 +79,22 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, path: str | list[str], layout: str = "envelope") -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str | list[str], layout: str = "envelope", corrupt: str = "raise"
+) -> DataFrame:
     """(raw, file) rows in either layout: ``envelope`` or ``lines``."""
-    readers = {"envelope": read_envelope_records, "lines": read_lines}
-    return readers[layout](spark, path)
+    if layout == "lines":
+        return read_lines(spark, path)
+    if layout != "envelope":
+        raise ValueError(f"layout must be envelope or lines, not {layout!r}")
+    return read_envelope_records(spark, path, corrupt)
+
+
+def is_record(raw: str = "raw") -> Column:
+    """Whether the text is one JSON object and nothing else."""
+    # As an array of one, anything behind the object is a syntax error or a second element.
+    alone = F.from_json(F.concat(F.lit("["), F.col(raw), F.lit("]")), "array<string>")
+    return F.coalesce((F.size(alone) == 1) & F.json_object_keys(raw).isNotNull(), F.lit(False))
 
 
 def _field_default(field: T.StructField) -> Column:
@@ -79,15 +103,17 @@ def _field_default(field: T.StructField) -> Column:
     return literal.cast(field.dataType)
 
 
-def typed_ads(records: DataFrame, raw: str = "raw") -> DataFrame:
-    """Parse JSON text into the raw-ad columns.
+def typed_ads(records: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Parse JSON text into the raw-ad columns; ``keep`` names columns to carry along.
 
-    A key the record lacks takes its default; a key present with null stays null.
+    A key the record lacks takes its default; a key present with null stays null. Text that is no
+    JSON object gives no ad: Bronze files it under its rejects.
     """
-    parsed = records.select(
-        F.from_json(raw, RAW_AD).alias("ad"), F.json_object_keys(raw).alias("keys")
+    parsed = records.where(F.json_object_keys(raw).isNotNull()).select(
+        *keep, F.from_json(raw, RAW_AD).alias("ad"), F.json_object_keys(raw).alias("keys")
     )
     return parsed.select(
+        *keep,
         *[
             F.coalesce(
                 F.col("ad")[f.name],

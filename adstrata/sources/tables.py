@@ -9,14 +9,16 @@ from adstrata.sources.bronze import write_partitioned
 
 
 def write_table(
-    df: DataFrame, path: str, partition: list[str] | None = None, mode: str = "overwrite"
+    df: DataFrame, path: str, partition: list[str] | None = None, mode: str = "overwrite",
+    replaces: str = "dynamic",
 ) -> None:
-    """Snappy Parquet, replaced as a whole, or key by key when partitioned.
+    """Snappy Parquet, replaced as a whole, or when partitioned as ``replaces`` says: only the keys
+    written (``dynamic``) or everything (``static``).
 
     Row order is not part of a table; sort when reading.
     """
     if partition:
-        write_partitioned(df, path, partition, mode)
+        write_partitioned(df, path, partition, mode, replaces)
     else:
         df.write.mode(mode).option("compression", "snappy").parquet(path)
 

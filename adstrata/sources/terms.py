@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstrata.functions.text import fold
@@ -32,7 +32,8 @@ def dictionary_from_mapping(
 def flatten_dictionary(nested: DataFrame) -> DataFrame:
     """(famille, skill, alias, prio, loose, pattern, anchor), one row per alias.
 
-    ``prio`` orders aliases by length, longest first, ties in file order: 0 is tried first.
+    ``prio`` orders aliases by length, longest first, ties in file order: the smallest is tried
+    first. It is a struct of these, so no row has to be numbered.
     """
     exploded = (
         nested.select(F.posexplode(F.map_entries("familles")).alias("f_ord", "f"))
@@ -43,12 +44,14 @@ def flatten_dictionary(nested: DataFrame) -> DataFrame:
         .withColumn("alias", fold(F.col("alias_raw")))
         .where(F.col("alias") != "")
     )
-    order = Window.orderBy(F.desc(F.length("alias")), "f_ord", "s_ord", "a_ord")
     return exploded.select(
         "famille",
         "skill",
         "alias",
-        (F.row_number().over(order) - 1).alias("prio"),
+        F.struct(
+            (-F.length("alias")).alias("len"), F.col("f_ord").alias("f"),
+            F.col("s_ord").alias("s"), F.col("a_ord").alias("a"),
+        ).alias("prio"),
         is_loose(F.col("alias")).alias("loose"),
         boundary_pattern(F.col("alias")).alias("pattern"),
         anchor_token(F.col("alias")).alias("anchor"),

@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -17,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from adstrata.operators.extraction import extract_terms  # noqa: E402
-from adstrata.operators.spread import spread_small  # noqa: E402
+from adstrata.operators.spread import spread  # noqa: E402
 from adstrata.plans import analytics, gold, job, silver  # noqa: E402
 from adstrata.session import local_session  # noqa: E402
 from adstrata.sources import bronze, tables  # noqa: E402
@@ -25,7 +24,7 @@ from adstrata.sources.envelope import read_lines, typed_ads  # noqa: E402
 from adstrata.sources.terms import WORD, dictionary_from_mapping  # noqa: E402
 from workload import cases as K  # noqa: E402
 from workload import queries as W  # noqa: E402
-from workload.ads import messy_ads, table  # noqa: E402
+from workload.ads import messy_ads, scratch, table  # noqa: E402
 
 ALIASES = 281  # the size of the dictionary the published run used
 
@@ -53,7 +52,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, "adstrata-bench")
-    root = tempfile.mkdtemp(prefix="adstrata-bench-")
+    root = scratch(spark, "bench")
+    keep = tuple(bronze.PARTITION)
     lake = job.Lake(f"{root}/lake")
     timings: dict[str, float] = {}
 
@@ -78,14 +78,15 @@ def main() -> None:
     timed(
         "silver_transform",
         lambda: tables.write_table(
-            silver.clean_ads(typed_ads(spread_small(landed, "raw"))), lake.ads, job.MONTH
+            silver.clean_ads(typed_ads(spread(landed, int(cpus), "raw"), keep=keep), keep=keep), lake.ads,
+            bronze.PARTITION, replaces="static"
         ),
     )
     ads = tables.read_table(spark, lake.ads, job.CLEAN_ADS)
     timed(
         "ad_terms",
         lambda: tables.write_table(
-            extract_terms(spread_small(ads, "id_offre", "description"), terms), lake.skills
+            extract_terms(spread(ads, int(cpus), "id_offre", "description"), terms), lake.skills
         ),
     )
     found = tables.read_table(spark, lake.skills, job.SKILLS)

@@ -22,21 +22,17 @@ def evaluate(spark, values, expression, schema="x string"):
     return [r["r"] for r in out]
 
 
+# Spellings are fixed values of the dictionaries; the forms around them are our own.
 CITIES = [
-    ("CASABLANCA", "Casablanca", "Casablanca-Settat"),
-    ("casa", "Casablanca", "Casablanca-Settat"),
-    ("Dar El Beida", "Casablanca", "Casablanca-Settat"),
-    ("TANGER", "Tanger", "Tanger-Tétouan-Al Hoceïma"),
+    ("cAsA", "Casablanca", "Casablanca-Settat"),
+    ("dar el beida ", "Casablanca", "Casablanca-Settat"),
     ("Tanja", "Tanger", "Tanger-Tétouan-Al Hoceïma"),
-    ("Tangier", "Tanger", "Tanger-Tétouan-Al Hoceïma"),
-    ("tanger med", "Tanger", "Tanger-Tétouan-Al Hoceïma"),
-    ("RABAT", "Rabat", "Rabat-Salé-Kénitra"),
-    ("Fes", "Fès", "Fès-Meknès"),
-    (" fès ", "Fès", "Fès-Meknès"),
+    ("rabat\t", "Rabat", "Rabat-Salé-Kénitra"),
+    (" fès ", "Fès", "Fès-Meknès"),
     ("marrakesh", "Marrakech", "Marrakech-Safi"),
-    ("Casablanca - Zone Industrielle", "Casablanca", "Casablanca-Settat"),
+    ("gare de Tanger, quai 2", "Tanger", "Tanger-Tétouan-Al Hoceïma"),
     ("Settat près de Casa", "Casablanca", "Casablanca-Settat"),
-    ("Paris", "Autre", "Autre"),
+    ("Lyon", "Autre", "Autre"),
     ("   ", "Autre", "Autre"),
     ("", "Inconnu", "Inconnu"),
     (None, "Inconnu", "Inconnu"),
@@ -53,12 +49,12 @@ def test_city(spark):
 
 
 CONTRACTS = [
-    ("cdi", "CDI"),
-    ("FREELANCE", "Freelance"),
+    ("Cdi ", "CDI"),
     ("Contrat à durée indéterminée", "CDI"),
-    ("stage pfe", "Stage"),
-    ("Mission freelance", "Freelance"),
-    ("CDD 6 mois", "Autre"),
+    ("freeLance", "Freelance"),
+    (" Mission freelance", "Freelance"),
+    ("stage PFE", "Stage"),
+    ("cdd de trois mois", "Autre"),
     ("", "Non précisé"),
     (None, "Non précisé"),
     (" ", "Autre"),
@@ -197,23 +193,23 @@ def test_month_key_cuts_timestamps(spark):
 
 def test_date_pair(spark):
     cases = [
-        ("2024-08-15", "2024-09-15"),
-        ("15/08/2024", "15/09/2024"),
-        ("2024-09-01", "2024-08-01"),
-        ("not-a-date", "2024-09-15"),
-        ("2024-08-15", "bad"),
-        ("2024-08-15", "2024-08-15"),
+        ("2023-02-28", "2023-03-01"),
+        ("1/2/2022", "28/02/2022"),
+        ("2021-12-31", "2021-12-30"),
+        ("demain", "2020-01-01"),
+        ("2020-02-29", "plus tard"),
+        ("2019-07-07", "2019-07-07"),
     ]
     pair = date_pair(parse_date(F.col("p")), parse_date(F.col("e")))
     got = evaluate(spark, cases, pair, "p string, e string")
     d = dt.date
     assert [tuple(g) for g in got] == [
-        (d(2024, 8, 15), d(2024, 9, 15), True),
-        (d(2024, 8, 15), d(2024, 9, 15), True),
-        (d(2024, 9, 1), d(2024, 8, 1), False),
+        (d(2023, 2, 28), d(2023, 3, 1), True),
+        (d(2022, 2, 1), d(2022, 2, 28), True),
+        (d(2021, 12, 31), d(2021, 12, 30), False),
         (None, None, False),
-        (d(2024, 8, 15), None, True),
-        (d(2024, 8, 15), d(2024, 8, 15), True),
+        (d(2020, 2, 29), None, True),
+        (d(2019, 7, 7), d(2019, 7, 7), True),
     ]
 
 

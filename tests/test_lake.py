@@ -205,3 +205,69 @@ def test_top_terms_counts_unclassified_only_overall(spark):
         ("P", "t"): (1, 25.0, 1), ("P", "u"): (1, 25.0, 1),
         ("tous", "t"): (3, 75.0, 1), ("tous", "u"): (1, 25.0, 2),
     }
+
+
+def _ad(number, source, published):
+    return {"id_offre": number, "source": source, "titre_poste": "SRE", "date_publication": published}
+
+
+def _feed(folder, *ads, name="f.json"):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(json.dumps({"offres": list(ads)}), encoding="utf-8")
+    return str(folder)
+
+
+def _ids(spark, lake):
+    return sorted(r["id_offre"] for r in tables.read_table(spark, lake.ads, schemas.CLEAN_ADS).collect())
+
+
+def test_partial_runs_leave_other_ads(spark, tmp_path):
+    lake = job.Lake(str(tmp_path / "lake"))
+    ads = [_ad("A", "x", "2024-07-01"), _ad("B", "x", "2024-08-01"), _ad("C", "y", "2024-07-01"),
+           _ad("D", "y", "bientôt")]
+    job.run_bronze(spark, lake, _feed(tmp_path / "in", *ads))
+    job.run_silver(spark, lake)
+    job.run_silver(spark, lake, sources=["x"])
+    assert _ids(spark, lake) == ["A", "B", "C", "D"]
+    job.run_silver(spark, lake, months=("2024_08", "2024_08"))
+    assert _ids(spark, lake) == ["A", "B", "C", "D"]
+    # B moves to September: landing again leaves no ghost, in whole or partial runs
+    ads[1] = _ad("B", "x", "2024-09-01")
+    job.run_bronze(spark, lake, _feed(tmp_path / "in", *ads))
+    assert bronze.read_bronze(spark, lake.bronze).count() == 4
+    job.run_silver(spark, lake, months=("2024_08", "2024_09"))
+    assert _ids(spark, lake) == ["A", "B", "C", "D"]
+    ads.pop()
+    job.run_bronze(spark, lake, _feed(tmp_path / "in", *ads))
+    job.run_silver(spark, lake)
+    assert _ids(spark, lake) == ["A", "B", "C"]
+
+
+def test_feeds_do_not_replace_each_other(spark, tmp_path):
+    lake = job.Lake(str(tmp_path / "lake"))
+    one = _feed(tmp_path / "one", _ad("A", "x", "2024-07-01"))
+    two = _feed(tmp_path / "two", _ad("B", "x", "2024-07-02"))
+    job.run_bronze(spark, lake, one, feed="one")
+    job.run_bronze(spark, lake, two, feed="two")
+    assert job.run_bronze(spark, lake, two, feed="two") == 2
+    with pytest.raises(ValueError):
+        job.run_bronze(spark, lake, two, feed="../two")
+
+
+def test_broken_files_and_records(spark, tmp_path):
+    lake = job.Lake(str(tmp_path / "lake"))
+    folder = _feed(tmp_path / "in", _ad("A", "x", "2024-07-01"))
+    (tmp_path / "in" / "cut.json").write_text('{"offres": [{"id_offre": "B"', encoding="utf-8")
+    with pytest.raises(Exception, match="corrupt envelope"):
+        job.run_bronze(spark, lake, folder)
+    assert job.run_bronze(spark, lake, folder, corrupt="skip") == 1
+    lines = tmp_path / "ads.jsonl"
+    lines.write_text('{"id_offre": "L"}\n{"id_offre": \n{"a": 1} x\n[1]\n', encoding="utf-8")
+    assert job.run_bronze(spark, lake, str(lines), "lines", feed="lines") == 2
+    assert job.count_rejects(spark, lake) == 3
+    job.run_silver(spark, lake)
+    assert _ids(spark, lake) == ["A", "L"]
+    # without a rejects zone the report finds them
+    zone = str(tmp_path / "zone")
+    bronze.ingest(read_lines(spark, str(lines)), zone)
+    assert bronze.integrity_report(bronze.read_bronze(spark, zone)).first()["enregistrements_corrompus"] == 3

@@ -10,7 +10,8 @@ from adstrata.operators.joins import literal_dimension, lookup_join, ratio_to_ba
 from adstrata.operators.percentiles import exact_percentiles
 from adstrata.operators.pivots import pivot
 from adstrata.operators.ranking import rank_within, top_k, top_k_ranked
-from adstrata.operators.spread import spread_small
+from adstrata.operators.spread import spread
+from adstrata.plans import analytics
 
 
 def interpolated(values, p):
@@ -98,7 +99,21 @@ def test_distributions(spark):
     assert [tuple(r) for r in got] == [("b", 3), ("a", 2)]
 
 
-def test_spread_small_only_touches_small_inputs(spark, sf_dir):
+def test_spread_deals_rows_only_when_asked(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    assert spread_small(docs, "doc_id").rdd.getNumPartitions() == 8
-    assert spread_small(docs, "doc_id", limit=10) is docs
+    assert spread(docs, 5, "doc_id").rdd.getNumPartitions() == 5
+    assert spread(docs, None, "doc_id") is docs
+
+
+def test_percentiles_of_infinity_and_null_keys(spark):
+    rows = [("a", 1.0), ("a", float("inf")), ("a", float("inf")), (None, 2.0), (None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r["m"] for r in exact_percentiles(df, ["k"], "v", {"m": 0.5}).collect()}
+    assert got == {"a": float("inf"), None: 3.0}
+
+
+def test_null_group_keeps_its_median(spark):
+    rows = [(None, 1, 100, True), (None, 1, 300, True), ("p", 1, 5, True)]
+    ads = spark.createDataFrame(rows, "profil string, years int, mid int, known boolean")
+    got = analytics.salary_by_experience(ads, None, "profil", "years", "mid", "known").collect()
+    assert {r["profil"]: (r["nb_offres"], r["salaire_median"]) for r in got} == {None: (2, 200.0), "p": (1, 5.0)}

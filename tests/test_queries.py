@@ -6,13 +6,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from workload import oracle as workload_oracle
+from workload import queries as workload_queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = workload_queries.queries()
+ORACLE = workload_oracle.oracle_sql()
 TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
     "boolean": "BOOLEAN", "array<string>": "VARCHAR[]",
@@ -35,6 +37,8 @@ def plain(value):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adstrata.operators.spread import spread_small
 from workload import cases as K
 
 
@@ -19,10 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared checkpoint folder of the session, or (tests) a local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="adstrata-")
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    """A fresh path in a folder that all executors share.
+
+    That is spark.checkpoint.dir, or else the session's warehouse; both are settings of the cluster.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _pick(values: list, index: Column) -> Column:
@@ -33,11 +32,8 @@ def _pick(values: list, index: Column) -> Column:
 
 def messy_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw-ad columns built from orders joined with customer."""
-    orders = spread_small(
-        table(spark, sf_dir, "orders").select(
-            "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate"
-        ),
-        "o_orderkey",
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice", "o_orderdate"
     )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))

@@ -515,7 +515,7 @@ GROUP BY anomalie ORDER BY nb DESC, anomalie LIMIT 5"""
     o["document_terms"] = ctes(*DOC_TERMS) + """
 SELECT row_id AS id_offre, skill_normalise, famille, alias_trouve, source, nb_mentions_desc, lang
 FROM terms"""
-    o["document_terms_joined"] = o["document_terms"]
+    o["document_terms_joined"] = o["document_terms_from_file"] = o["document_terms"]
     o["conversation_terms"] = ctes(*CONV_TERMS) + """
 SELECT row_id AS id_offre, skill_normalise, famille, alias_trouve, source, nb_mentions_desc, role
 FROM terms"""
@@ -552,6 +552,15 @@ ORDER BY nb_offres DESC, skill_normalise LIMIT 8"""
     top = top_terms()
     o["gold_top_terms"] = with_ad_terms(top, select="SELECT * FROM top_competences")
     o["gold_volume_by_city"] = with_ads(VOLUME, select="SELECT * FROM offres_par_ville")
+    o["job_run"], o["job_run_terms"], o["job_ads"] = (
+        o["gold_volume_by_city"], o["gold_top_terms"], o["silver_ads"]
+    )
+    o["job_rejects"] = """
+SELECT 'broken' AS raw, true AS rejected, count(*) AS n_taken
+FROM orders JOIN customer ON o_custkey = c_custkey"""
+    o["sql_over_views"] = with_ad_terms(select="""
+SELECT a.ville, count(*) AS n_terms FROM clean a JOIN terms t ON a.id_offre = t.id_offre
+GROUP BY a.ville""")
     o["gold_salary_by_profile"] = with_ads(SALARIES, select="SELECT * FROM salaires_par_profil")
     o["gold_recruiters"] = with_ads(RECRUITERS, select="SELECT * FROM entreprises_recruteurs")
     o["gold_monthly_trends"] = with_ads(TRENDS, select="SELECT * FROM tendances_mensuelles")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,11 @@ from adstrata.functions.salary import is_implausible, is_inverted, midpoint, par
 from adstrata.operators.distribution import value_counts
 from adstrata.operators.extraction import ads_per, coverage, extract_terms
 from adstrata.operators.joins import lookup_join
-from adstrata.operators.spread import spread_small
-from adstrata.plans import analytics, gold, quality, silver
-from adstrata.sources import bronze
+from adstrata.plans import analytics, gold, job, quality, silver
+from adstrata.schemas import CLEAN_ADS
+from adstrata.sources import bronze, tables
 from adstrata.sources.envelope import read_lines, typed_ads
-from adstrata.sources.terms import dictionary_from_mapping
+from adstrata.sources.terms import dictionary_from_mapping, read_dictionary
 from workload import cases as K
 from workload.ads import messy_ads, scratch, stored, table
 
@@ -44,8 +45,7 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extract_ad_terms(spark: SparkSession, sf: str) -> DataFrame:
-    ads = spread_small(clean(spark, sf), "id_offre")
-    return extract_terms(ads, dictionary_from_mapping(spark, K.AD_TERMS))
+    return extract_terms(clean(spark, sf), dictionary_from_mapping(spark, K.AD_TERMS))
 
 
 def ad_terms(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,21 +55,35 @@ def ad_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    return spread_small(docs, "doc_id").withColumn("first", F.substring_index("text", "\n", 1))
+    return docs.withColumn("first", F.substring_index("text", "\n", 1))
 
 
-def document_terms(spark: SparkSession, sf: str, **options) -> DataFrame:
+def _document_terms(spark: SparkSession, sf: str, dictionary: DataFrame) -> DataFrame:
     return extract_terms(
-        _documents(spark, sf),
-        dictionary_from_mapping(spark, K.TEXT_TERMS),
-        "doc_id",
-        "first",
-        "text",
-        {"lang": "lang"},
-        **options,
+        _documents(spark, sf), dictionary, "doc_id", "first", "text", {"lang": "lang"}
     )
 
 
+def document_terms(spark: SparkSession, sf: str) -> DataFrame:
+    return _document_terms(spark, sf, dictionary_from_mapping(spark, K.TEXT_TERMS))
+
+
+def document_terms_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The same terms among thousands of aliases that no text holds."""
+    others = {f"x{i}": [f"zq{i}zq", f"zq{i} zq", f"#zq{i}"] for i in range(1500)}
+    return _document_terms(
+        spark, sf, dictionary_from_mapping(spark, {**K.TEXT_TERMS, "absent": others})
+    )
+
+
+def document_terms_from_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The same terms with the dictionary read from its JSON file."""
+    path = scratch(spark, "dictionary")
+    text = json.dumps({"familles": K.TEXT_TERMS}, ensure_ascii=False, indent=1)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return _document_terms(spark, sf, read_dictionary(spark, path))
+
+
 def conversation_terms(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select(
         F.concat_ws("/", "conv_id", "turn").alias("id"), "role", "text"
@@ -248,32 +262,98 @@ def _top(spark: SparkSession, sf: str) -> DataFrame:
     return gold.top_terms(ad_terms(spark, sf), clean(spark, sf))
 
 
-def _on_volume(question: Callable[..., DataFrame], **options) -> Query:
-    return lambda spark, sf: question(gold.volume_by_city(clean(spark, sf)), **options)
+def _mart(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A mart as the questions see it: read from where Gold wrote it."""
+    def build(spark: SparkSession, sf: str) -> DataFrame:
+        return gold.build_marts(clean(spark, sf), ad_terms(spark, sf))[name]
+
+    return stored(spark, sf, f"gold_{name}", build)
+
+
+def _on(mart: str, question: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf: question(_mart(spark, sf, mart))
+
+
+def _on_volume(question: Callable[..., DataFrame]) -> Query:
+    return _on("offres_par_ville", question)
 
 
 def _on_salaries(question: Callable[..., DataFrame]) -> Query:
-    return lambda spark, sf: question(gold.salary_by_profile(clean(spark, sf)))
+    return _on("salaires_par_profil", question)
 
 
 def _on_companies(question: Callable[..., DataFrame]) -> Query:
-    return lambda spark, sf: question(gold.recruiters(clean(spark, sf)))
+    return _on("entreprises_recruteurs", question)
 
 
 def _on_top(question: Callable[..., DataFrame]) -> Query:
-    return lambda spark, sf: question(_top(spark, sf))
+    return _on("top_competences", question)
 
 
 def _summary(name: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        ads = clean(spark, sf)
-        return gold.summary(gold.build_marts(ads, ad_terms(spark, sf)))[name]
+        return gold.summary({mart: _mart(spark, sf, mart) for mart in gold.MARTS})[name]
 
     return query
 
 
+# --- The whole run ------------------------------------------------------------------------
+
+_runs: dict[tuple[str, str], job.Lake] = {}
+_ADS_PER_FILE = 2000
+
+
+def _run(spark: SparkSession, sf: str) -> job.Lake:
+    """All ads as envelope files, a broken record in each, taken from Bronze to Gold once."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _runs:
+        inbox, terms = scratch(spark, "envelopes"), scratch(spark, "terms")
+        record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+        ads = messy_ads(spark, sf).select("id_offre", record.alias("r"))
+        n = -(-table(spark, sf, "orders").count() // _ADS_PER_FILE)
+        records = F.transform(F.array_append(F.collect_list("r"), F.lit('"broken"')), F.parse_json)
+        files = ads.groupBy(F.pmod(F.xxhash64("id_offre"), F.lit(n)).alias("k")).agg(records.alias("offres"))
+        # A folder and so a file per row: an envelope is one JSON document.
+        files.write.partitionBy("k").json(inbox)
+        text = json.dumps({"familles": K.AD_TERMS}, ensure_ascii=False)
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(terms)
+        lake = job.Lake(scratch(spark, "lake"))
+        job.run(spark, inbox, lake.root, terms)
+        _runs[key] = lake
+    return _runs[key]
+
+
+def job_mart(name: str) -> Query:
+    return lambda spark, sf: tables.read_table(spark, _run(spark, sf).mart(name))
+
+
+def job_ads(spark: SparkSession, sf: str) -> DataFrame:
+    """The partitioned Silver table of the whole run, read back."""
+    return _as_text(tables.read_table(spark, _run(spark, sf).ads, CLEAN_ADS))
+
+
+def job_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Records the run turned away, against those it took."""
+    lake = _run(spark, sf)
+    bad = spark.read.parquet(lake.rejects).groupBy("raw").agg(F.count("*").alias("n_files"))
+    report = bronze.integrity_report(bronze.read_bronze(spark, lake.bronze))
+    return bad.select(
+        "raw", (F.col("n_files") > 0).alias("rejected"), report.select("total_offres").scalar().alias("n_taken")
+    )
+
+
+def sql_over_views(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text over Parquet tables registered as views."""
+    lake = _run(spark, sf)
+    tables.register_views(spark, {"clean_ads_view": lake.ads, "terms_view": lake.skills})
+    return spark.sql(
+        "SELECT a.ville, count(*) AS n_terms FROM clean_ads_view a JOIN terms_view t"
+        " ON a.id_offre = t.id_offre GROUP BY a.ville"
+    )
+
+
 def monthly_series(spark: SparkSession, sf: str) -> DataFrame:
-    return analytics.monthly_series(gold.monthly_trends(clean(spark, sf))).withColumn(
+    return analytics.monthly_series(_mart(spark, sf, "tendances_mensuelles")).withColumn(
         "date_mois", F.date_format("date_mois", "yyyy-MM-dd")
     )
 
@@ -398,11 +478,13 @@ def queries() -> dict[str, Query]:
         # Terms
         "ad_terms": extract_ad_terms,
         "document_terms": document_terms,
-        "document_terms_joined": lambda s, d: document_terms(
-            s, d, row_key="doc_id", inline_limit=5
-        ),
+        "document_terms_joined": document_terms_large,
+        "document_terms_from_file": document_terms_from_file,
         "conversation_terms": conversation_terms,
-        "term_coverage": lambda s, d: coverage(ad_terms(s, d), clean(s, d)),
+        "term_coverage": lambda s, d: coverage(
+            extract_terms(clean(s, d), dictionary_from_mapping(s, K.AD_TERMS), keep_unmatched=True),
+            clean(s, d),
+        ),
         "term_top": lambda s, d: ads_per(ad_terms(s, d), "skill_normalise", k=15),
         "term_families": lambda s, d: ads_per(ad_terms(s, d), "famille"),
         "term_sources": lambda s, d: value_counts(ad_terms(s, d), "source"),
@@ -420,6 +502,12 @@ def queries() -> dict[str, Query]:
         "summary_salaries": _summary("salaires"),
         "summary_cities": _summary("villes"),
         "summary_recruiters": _summary("recruteurs"),
+        # The whole run
+        "job_run": job_mart("offres_par_ville"),
+        "job_run_terms": job_mart("top_competences"),
+        "job_ads": job_ads,
+        "job_rejects": job_rejects,
+        "sql_over_views": sql_over_views,
         # Questions
         "top_terms_overall": _on_top(analytics.top_terms_overall),
         "leading_terms": _on_top(analytics.leading_terms),
@@ -432,7 +520,7 @@ def queries() -> dict[str, Query]:
         "city_remote_pivot": _on_volume(
             lambda v: analytics.remote_pivot(analytics.city_rank(v))
         ),
-        "city_map": lambda s, d: analytics.city_map(gold.volume_by_city(clean(s, d)), s),
+        "city_map": lambda s, d: analytics.city_map(_mart(s, d, "offres_par_ville"), s),
         "salary_rollup": _on_salaries(analytics.salary_rollup),
         "salary_gap": _on_salaries(analytics.salary_gap),
         "salary_by_experience": lambda s, d: analytics.salary_by_experience(clean(s, d)),
