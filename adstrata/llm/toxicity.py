@@ -98,27 +98,40 @@ class Lexicon:
         # One edit leaves the first or the second half of a term as it is.
         self.heads = frozenset(w[: len(w) // 2] for w in long)
         self.tails = frozenset(w[len(w) // 2 :] for w in long)
-        self.known: dict[bytes, int] = {}
-
-    def kind(self, word: bytes) -> int:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= 500_000:
-                self.known.clear()
-            found = self.known[word] = self._kind(word.decode("utf-8", "surrogatepass"))
-        return found
+        self.stem_sizes = sorted({len(x) for x in self.stems})
+        self.clean: set[bytes] = set()
+        self.toxic: dict[bytes, int] = {}
+
+    def kinds(self, words: set[bytes]) -> dict[bytes, int]:
+        """The words that match, with their kind; words seen before are only looked up."""
+        if len(self.clean) >= 500_000:
+            self.clean.clear()
+        for word in words.difference(self.clean):
+            if word not in self.toxic:
+                kind = self._kind(word.decode("utf-8", "surrogatepass"))
+                if kind:
+                    self.toxic[word] = kind
+                else:
+                    self.clean.add(word)
+        return {w: self.toxic[w] for w in words if w in self.toxic} if not self.toxic.keys().isdisjoint(words) else {}
 
     def _kind(self, word: str) -> int:
         if word in self.words:
             return 1
-        if any(word[:n] in self.stems for n in STEMS if len(word) >= n):
-            return 2
+        for size in self.stem_sizes:
+            if word[:size] in self.stems:
+                return 2
         n = len(word)
         if n < MIN_FUZZY - 1:
             return 0
-        heads = {(n - 1) // 2, n // 2, (n + 1) // 2}
-        tails = {n - 1 - (n - 1) // 2, n - n // 2, n + 1 - (n + 1) // 2}
-        if any(word[:h] in self.heads for h in heads) or any(word[n - t :] in self.tails for t in tails):
+        # Halves of terms one letter shorter, as long and one letter longer than the word.
+        heads, tails = self.heads, self.tails
+        half = n // 2
+        if (
+            word[:half] in heads or word[half:] in tails
+            or word[: (n - 1) // 2] in heads or word[: (n + 1) // 2] in heads
+            or word[(n - 1) // 2 + 1 :] in tails or word[(n + 1) // 2 - 1 :] in tails
+        ):
             return 3 if self.trie.within(word) else 0
         return 0
 
@@ -138,7 +151,7 @@ def context_weight(text: str, places: list[tuple[int, int]], at: int) -> tuple[f
 def features(lexicon: Lexicon, text: str | None) -> list[float]:
     """Sums of match weights per kind, quoted share, density and a bias."""
     words = words_of(text)
-    toxic = {w: k for w in set(words) if (k := lexicon.kind(w))}
+    toxic = lexicon.kinds(set(words))
     if not toxic:
         return [1.0] + [0.0] * (N_FEATURES - 1)
     places = [m.span() for m in RAW_WORD.finditer(text)]
@@ -170,6 +183,25 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def without_repeats(terms: dict[str, int]) -> tuple[list[str], list[str]]:
+    """Words and beginnings, each spelling kept once.
+
+    A beginning that one word makes up is that word; other words that begin so are left to it, and so
+    are longer beginnings.
+    """
+    words = {t[1:]: n for t, n in terms.items() if t[0] == "w"}
+    stems = {t[1:]: n for t, n in terms.items() if t[0] == "s"}
+    most = Counter()
+    for word, n in words.items():
+        for length in STEMS:
+            if len(word) >= length:
+                most[word[:length]] = max(most[word[:length]], n)
+    real = {s for s, n in stems.items() if most[s] < 0.8 * n}
+    begins = lambda text, lengths: any(text[:n] in real for n in lengths if n <= len(text))
+    kept = sorted(s for s in real if not begins(s, range(min(STEMS), len(s))))
+    return sorted(w for w in words if not begins(w, STEMS)), kept
+
+
 class Model:
     def __init__(self, words: list[str], stems: list[str], beta: np.ndarray | None):
         self.words, self.stems, self.beta = words, stems, beta
@@ -189,7 +221,7 @@ def crc_of_id(column: F.Column) -> F.Column:
 
 def fit(
     docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, lexicon_terms: int = LEXICON_TERMS,
-    min_support: int = 5, z: float = 2.0,
+    min_support: int = 5, min_share: float = 0.6, z: float = 2.0,
 ) -> Model:
     """Lexicon and weights from labelled rows (doc_id, toxic) of documents (doc_id, text)."""
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -209,9 +241,8 @@ def fit(
     # Wilson's lower bound of the share of toxic texts among those with the term.
     m, share = F.col("t") + F.col("o"), F.col("t") / (F.col("t") + F.col("o"))
     low = (share + z * z / (2 * m) - z * F.sqrt(share * (1 - share) / m + z * z / (4 * m * m))) / (1 + z * z / m)
-    best = counts.select("term", "t", low.alias("low")).where("low >= 0.5").orderBy(F.desc("t"), "term").limit(lexicon_terms)
-    terms = [r["term"] for r in best.collect()]
-    words, stems = [t[1:] for t in terms if t[0] == "w"], [t[1:] for t in terms if t[0] == "s"]
+    best = counts.select("term", "t", low.alias("low")).where(F.col("low") >= min_share).orderBy(F.desc("t"), "term").limit(lexicon_terms)
+    words, stems = without_repeats({r["term"]: r["t"] for r in best.collect()})
     model = Model(words, stems, None)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
