@@ -166,7 +166,8 @@ def best_class(left: np.ndarray, right: np.ndarray, own: float, at: int, m: np.n
     gain -= _xlogx(diagonal + r) + _xlogx(diagonal + l) - 2 * _xlogx(diagonal)
     gain += _xlogx(diagonal + l + r + own) - _xlogx(diagonal)
     n_right, n_left = right.sum() + own, left.sum() + own
-    out, into = m.sum(1)[:classes], m.sum(0)[:classes]
+    # the words before and after it keep their transitions, whichever class it has
+    out, into = m.sum(1)[:classes] + l, m.sum(0)[:classes] + r
     gain -= _xlogx(out + n_right) - _xlogx(out) + _xlogx(into + n_left) - _xlogx(into)
     to = int(gain.argmax())
     return to, float(gain[to] - gain[at])

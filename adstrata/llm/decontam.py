@@ -142,8 +142,8 @@ def find_items(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("_found.items")))).alias("_i"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("_found.spans")))).alias("_s"),
         )
-        .select(*keys, F.struct(F.col("_n").alias("n_words"), F.array_sort(F.array_distinct("_w")).alias("words"),
-                                F.col("_i").alias("items"), F.col("_s").alias("spans")).alias("_found"),
+        .select(*keys, F.named_struct(F.lit("n_words"), F.col("_n"), F.lit("words"), F.array_sort(F.array_distinct("_w")),
+                                      F.lit("items"), F.col("_i"), F.lit("spans"), F.col("_s")).alias("_found"),
                 F.explode(F.array_repeat(F.lit(1), F.col("_copies"))).alias("_c"))
         .drop("_c")
     )

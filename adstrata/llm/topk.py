@@ -159,8 +159,8 @@ def integer_vectors(vectors: DataFrame, queries: Column, vec_id: str, embedding:
     )
 
 
-def _matrix(values: pd.Series) -> np.ndarray:
-    return np.array(values.tolist(), dtype=np.float64).reshape(len(values), -1)
+def _matrix(values: pd.Series, dim: int) -> np.ndarray:
+    return np.array(values.tolist(), dtype=np.float64).reshape(len(values), dim)
 
 
 def _choose_pivots(vectors: DataFrame, pivots: int) -> dict[int, np.ndarray]:
@@ -174,7 +174,8 @@ def _choose_pivots(vectors: DataFrame, pivots: int) -> dict[int, np.ndarray]:
     found: dict[int, list] = {}
     for row in rows:
         found.setdefault(row["dim"], []).append(row["v"])
-    return {dim: np.array(found.get(dim, [[0.0] * dim])).reshape(-1, dim) for dim in sizes}
+    chosen = {dim: found.get(dim, [[0.0] * dim]) for dim in sizes}
+    return {dim: np.array(rows, np.float64).reshape(len(rows), dim) for dim, rows in chosen.items()}
 
 
 def _assigner(pivots: dict[int, np.ndarray]):
@@ -184,7 +185,7 @@ def _assigner(pivots: dict[int, np.ndarray]):
             away = np.zeros(len(frame))
             norm = np.zeros(len(frame))
             for dim, rows in frame.groupby("dim").indices.items():
-                points, centres = _matrix(frame["v"].iloc[rows]), pivots[dim]
+                points, centres = _matrix(frame["v"].iloc[rows], dim), pivots[dim]
                 squares = (points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)[None]
                 nearest = squares.argmin(1)
                 cell[rows] = nearest
@@ -207,7 +208,7 @@ def _blocks(vectors: DataFrame, sizes: DataFrame, rows: int) -> DataFrame:
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("vec_id", kind="stable")
-        tree = CoverTree(_matrix(frame["v"]))
+        tree = CoverTree(_matrix(frame["v"], int(frame["dim"].iloc[0])))
         packed = pickle.dumps((frame["vec_id"].to_numpy(np.int64), tree), protocol=5)
         return pd.DataFrame({"dim": frame["dim"].iloc[:1], "cell": frame["cell"].iloc[:1], "block": frame["block"].iloc[:1], "tree": [packed]})
 
