@@ -555,6 +555,23 @@ ORDER BY nb_offres DESC, skill_normalise LIMIT 8"""
     o["job_run"], o["job_run_terms"], o["job_ads"] = (
         o["gold_volume_by_city"], o["gold_top_terms"], o["silver_ads"]
     )
+    o["missing_keys"] = with_ads(select="""
+SELECT id_offre,
+  CASE WHEN k % 2 = 0 THEN titre_poste_original ELSE '' END AS titre_poste,
+  CASE WHEN k % 2 = 0 THEN 1 ELSE CAST(k % 3 + 1 AS INTEGER) END AS nb_postes,
+  CASE WHEN k % 2 <> 0 THEN '' WHEN k % 7 <> 0 THEN 'Bac+5' END AS niveau_etudes,
+  CAST([] AS VARCHAR[]) AS langue_requise
+FROM clean""")
+    o["language_lists"] = """
+SELECT c_custkey, '[' || coalesce(array_to_string(list_transform(l,
+    lambda x: coalesce(CAST(to_json(x) AS VARCHAR), 'null')), ', '), '') || ']' AS langue_requise
+FROM (
+  SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN CAST([] AS VARCHAR[]) WHEN c_custkey % 11 = 0 THEN NULL
+    ELSE ['l"' || lower(c_mktsegment), CASE WHEN c_custkey % 3 <> 0 THEN c_name END, 'a, b\\'] END AS l
+  FROM customer)"""
+    o["labelled_languages"] = """
+SELECT lang, count(*) AS n_labelled, CAST(sum(quality) AS BIGINT) AS n_good
+FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND toxic IS NOT NULL GROUP BY lang"""
     o["job_rejects"] = """
 SELECT 'broken' AS raw, true AS rejected, count(*) AS n_taken
 FROM orders JOIN customer ON o_custkey = c_custkey"""

@@ -159,6 +159,45 @@ def silver_from_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return _as_text(silver.clean_ads(typed_ads(landed)))
 
 
+def missing_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that lack one or another key, which then take their defaults; nulls stay."""
+    ads = messy_ads(spark, sf)
+    keep = {"ignoreNullFields": "false"}
+    text = F.when(
+        F.substring("id_offre", -1, 1).isin("0", "2", "4", "6", "8"),
+        F.to_json(F.struct("id_offre", "titre_poste", "niveau_etudes"), keep),
+    ).otherwise(F.to_json(F.struct("id_offre", "nb_postes"), keep))
+    typed = typed_ads(ads.select(text.alias("raw")))
+    return typed.select("id_offre", "titre_poste", "nb_postes", "niveau_etudes", "langue_requise")
+
+
+def language_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists with quotes, nulls and no element at all in their edge form."""
+    lists = table(spark, sf, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 7 == 0, F.array().cast("array<string>"))
+        .when(F.col("c_custkey") % 11 == 0, F.lit(None))
+        .otherwise(
+            F.array(
+                F.concat(F.lit('l"'), F.lower("c_mktsegment")),
+                F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")),
+                F.lit("a, b\\"),
+            )
+        ).alias("langue_requise"),
+    )
+    return silver.languages_as_json(lists)
+
+
+def labelled_languages(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents per language that have both labels; rows without are dropped."""
+    joined = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return (
+        joined.dropna(subset=["quality", "toxic"])
+        .groupBy("lang")
+        .agg(F.count("*").alias("n_labelled"), F.sum("quality").alias("n_good"))
+    )
+
+
 def title_classes(spark: SparkSession, sf: str) -> DataFrame:
     return messy_ads(spark, sf).select(
         "id_offre",
@@ -462,6 +501,9 @@ def queries() -> dict[str, Query]:
         "silver_ads": lambda s, d: _as_text(clean_ads(s, d)),
         "silver_from_bronze": silver_from_bronze,
         "silver_quality": lambda s, d: silver.quality_rows(clean(s, d)),
+        "missing_keys": missing_keys,
+        "language_lists": language_lists,
+        "labelled_languages": labelled_languages,
         "title_classes": title_classes,
         "city_names": city_names,
         "contract_types": contract_types,
