@@ -20,6 +20,9 @@ RAW_WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+_test_folders: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -33,8 +36,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.split("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="adstrata-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _test_folders:
+            _test_folders[app] = "file://" + tempfile.mkdtemp(prefix="adstrata-llm-")
+        folder = _test_folders[app]
     return folder.rstrip("/")
 
 

@@ -99,7 +99,7 @@ def _scanner(items: list, window: int, with_spans: bool, text_at: int):
             found = [scan_text(machine, t.as_py(), with_spans) for t in batch.column(text_at)]
             columns = [c for i, c in enumerate(batch.columns) if i != text_at or with_spans]
             names = [n for i, n in enumerate(batch.schema.names) if i != text_at or with_spans]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, _TYPE)], [*names, "_found"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, _TYPE)], [*names, "__found"])
 
     return scan
 
@@ -118,11 +118,11 @@ def find_items(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
     window: int = WINDOW, with_spans: bool = True, shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """The given rows (without the text unless spans are asked for) and a struct `_found`."""
+    """The given rows (without the text unless spans are asked for) and a struct `__found`."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text or with_spans)
     text_at = docs.columns.index(text)
     parts = [
-        docs.mapInArrow(_scanner(items, window, with_spans, text_at), f"{schema}, _found struct<{_struct(FOUND)}>")
+        docs.mapInArrow(_scanner(items, window, with_spans, text_at), f"{schema}, __found struct<{_struct(FOUND)}>")
         for items in _shards(benchmark, item_id, item_text, shard_bytes)
     ]
     if len(parts) == 1:
@@ -135,15 +135,15 @@ def find_items(
     keys = [*raise_on, *([text] if with_spans else [])]
     copies = F.count("*") / len(parts)
     return (
-        merged.groupBy(*keys, F.col("_found.n_words").alias("_n"))
+        merged.groupBy(*keys, F.col("__found.n_words").alias("_n"))
         .agg(
             copies.cast("int").alias("_copies"),
-            F.flatten(F.collect_list("_found.words")).alias("_w"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("_found.items")))).alias("_i"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("_found.spans")))).alias("_s"),
+            F.flatten(F.collect_list("__found.words")).alias("_w"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("__found.items")))).alias("_i"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("__found.spans")))).alias("_s"),
         )
         .select(*keys, F.named_struct(F.lit("n_words"), F.col("_n"), F.lit("words"), F.array_sort(F.array_distinct("_w")),
-                                      F.lit("items"), F.col("_i"), F.lit("spans"), F.col("_s")).alias("_found"),
+                                      F.lit("items"), F.col("_i"), F.lit("spans"), F.col("_s")).alias("__found"),
                 F.explode(F.array_repeat(F.lit(1), F.col("_copies"))).alias("_c"))
         .drop("_c")
     )
@@ -169,7 +169,7 @@ def n_hit(words: F.Column) -> F.Column:
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document: words, hit words, items and whether any window occurs."""
     found = find_items(docs.select("doc_id", "text"), benchmark, with_spans=False, **options)
-    f = F.col("_found")
+    f = F.col("__found")
     return found.select(
         "doc_id", f["n_words"].alias("n_words"), n_hit(f["words"]).alias("n_hit"),
         F.size(f["items"]).cast("long").alias("n_items"),
@@ -185,4 +185,4 @@ def sha256_hex(text: str) -> str:
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows in which no window of the benchmark occurs, columns unchanged."""
     found = find_items(docs, benchmark, text, with_spans=True, **options)
-    return found.where(F.size(F.col("_found")["words"]) == 0).select(*docs.columns)
+    return found.where(F.size(F.col("__found")["words"]) == 0).select(*docs.columns)

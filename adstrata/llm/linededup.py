@@ -58,20 +58,20 @@ def chunk_ends(lines: Column, long_words: int = LONG_WORDS, window: int = WINDOW
 
 def _chunks(docs: DataFrame, long_words: int, min_words: int, window: int, divisor: int) -> DataFrame:
     """key, doc_id, start, end, digest of every removable chunk."""
-    cut = docs.where("_lines is not null").select(
-        "_key", "_id", "_lines", once(chunk_ends(F.col("_lines"), long_words, window, divisor)).alias("_ends")
+    cut = docs.where("__lines is not null").select(
+        "__key", "__id", "__lines", once(chunk_ends(F.col("__lines"), long_words, window, divisor)).alias("_ends")
     )
     bounds = F.transform(
         F.col("_ends"),
         lambda e, j: F.struct(F.when(j == 0, 0).otherwise(F.get("_ends", j - 1) + 1).alias("start"), e.alias("end")),
     )
-    chunk = F.array_join(F.slice("_lines", F.col("start") + 1, F.col("end") - F.col("start") + 1), "\n")
+    chunk = F.array_join(F.slice("__lines", F.col("start") + 1, F.col("end") - F.col("start") + 1), "\n")
     return (
-        cut.select("_key", "_id", "_lines", F.inline(bounds))
-        .select("_key", "_id", "start", "end", once(chunk).alias("chunk"))
-        .select("_key", "_id", "start", "end", "chunk", word_count(F.col("chunk")).alias("n"))
+        cut.select("__key", "__id", "__lines", F.inline(bounds))
+        .select("__key", "__id", "start", "end", once(chunk).alias("chunk"))
+        .select("__key", "__id", "start", "end", "chunk", word_count(F.col("chunk")).alias("n"))
         .where(f"n >= {int(min_words)} and (end > start or n >= {int(long_words)})")
-        .select("_key", "_id", "start", "end", F.md5("chunk").alias("digest"))
+        .select("__key", "__id", "start", "end", F.md5("chunk").alias("digest"))
     )
 
 
@@ -81,37 +81,37 @@ def dedup_lines(
 ) -> DataFrame:
     """The given rows and columns with repeated chunks taken out of `text`; adds n_lines, n_removed."""
     keyed = docs.withColumns({
-        "_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)),
-        "_key": F.md5(F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
+        "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)),
+        "__key": F.md5(F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
                                   F.md5(F.coalesce(F.col(text), F.lit(""))))),
-        "_lines": F.split(F.col(text), "\n"),
+        "__lines": F.split(F.col(text), "\n"),
     })
     # 1. digests only: chunks in more than one place, and where each is kept
     chunks = stored(_chunks(keyed, long_words, min_words, window, divisor).distinct(), "line-chunks")
-    place = F.struct("_id", "_key", "start")
+    place = F.struct("__id", "__key", "start")
     first = stored(
         chunks.groupBy("digest").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").select("digest", "kept"),
         "line-first",
     )
     wanted = chunks.join(first, "digest").select(
-        "_key", F.struct("start", "end", "digest", (place == F.col("kept")).alias("is_kept")).alias("c")
+        "__key", F.struct("start", "end", "digest", (place == F.col("kept")).alias("is_kept")).alias("c")
     )
-    per_doc = stored(wanted.groupBy("_key").agg(F.sort_array(F.collect_list("c")).alias("cs")), "line-wanted")
+    per_doc = stored(wanted.groupBy("__key").agg(F.sort_array(F.collect_list("c")).alias("cs")), "line-wanted")
     # 2. texts of the repeated chunks with the chunks beside them
-    ends = chunk_ends(F.col("_lines"), long_words, window, divisor)
+    ends = chunk_ends(F.col("__lines"), long_words, window, divisor)
     before = F.coalesce(F.try_element_at(F.filter("_ends", lambda e: e < F.col("c.start") - 1), F.lit(-1)) + 1, F.lit(0))
     after = F.coalesce(F.get(F.filter("_ends", lambda e: e > F.col("c.end")), F.lit(0)), F.col("c.end"))
     texts = (
-        keyed.select("_key", "_lines")
-        .join(per_doc.hint("shuffle_hash"), "_key")
-        .dropDuplicates(["_key"])
-        .select("_key", "_lines", "cs", once(ends).alias("_ends"))
-        .select("_key", "_lines", "_ends", F.explode("cs").alias("c"))
+        keyed.select("__key", "__lines")
+        .join(per_doc.hint("shuffle_hash"), "__key")
+        .dropDuplicates(["__key"])
+        .select("__key", "__lines", "cs", once(ends).alias("_ends"))
+        .select("__key", "__lines", "_ends", F.explode("cs").alias("c"))
         .select(
-            "_key", "c.*",
-            F.slice("_lines", F.col("c.start") + 1, F.col("c.end") - F.col("c.start") + 1).alias("body"),
-            F.reverse(F.slice("_lines", before + 1, F.col("c.start") - before)).alias("above"),
-            F.slice("_lines", F.col("c.end") + 2, after - F.col("c.end")).alias("below"),
+            "__key", "c.*",
+            F.slice("__lines", F.col("c.start") + 1, F.col("c.end") - F.col("c.start") + 1).alias("body"),
+            F.reverse(F.slice("__lines", before + 1, F.col("c.start") - before)).alias("above"),
+            F.slice("__lines", F.col("c.end") + 2, after - F.col("c.end")).alias("below"),
         )
     )
     texts = stored(texts, "line-texts")
@@ -129,20 +129,20 @@ def dedup_lines(
         texts.where("not is_kept")
         .join(kept, "digest")
         .where("body = kbody")
-        .select("_key", F.struct((F.col("start") - common("above", "kabove")).alias("a"),
+        .select("__key", F.struct((F.col("start") - common("above", "kabove")).alias("a"),
                                  (F.col("end") + common("below", "kbelow")).alias("b")).alias("r"))
-        .groupBy("_key")
-        .agg(F.collect_list("r").alias("_out")),
+        .groupBy("__key")
+        .agg(F.collect_list("r").alias("__out")),
         "line-removed",
     )
-    left = F.filter("_lines", lambda x, i: ~F.exists("_out", lambda r: (i >= r["a"]) & (i <= r["b"])))
-    result = keyed.join(removed.hint("shuffle_hash"), "_key", "left").withColumn(
-        "_left", F.when(F.col("_out").isNull(), F.col("_lines")).otherwise(left)
+    left = F.filter("__lines", lambda x, i: ~F.exists("__out", lambda r: (i >= r["a"]) & (i <= r["b"])))
+    result = keyed.join(removed.hint("shuffle_hash"), "__key", "left").withColumn(
+        "__left", F.when(F.col("__out").isNull(), F.col("__lines")).otherwise(left)
     )
-    lines = F.coalesce(F.size(F.col("_lines")), F.lit(0))
-    lines = F.when(F.col("_lines").isNull(), 0).otherwise(lines)
-    n_left = F.when(F.col("_left").isNull(), 0).otherwise(F.size("_left"))
+    lines = F.coalesce(F.size(F.col("__lines")), F.lit(0))
+    lines = F.when(F.col("__lines").isNull(), 0).otherwise(lines)
+    n_left = F.when(F.col("__left").isNull(), 0).otherwise(F.size("__left"))
     return result.withColumns({
-        text: F.when(F.col("_out").isNull(), F.col(text)).otherwise(F.array_join("_left", "\n")),
+        text: F.when(F.col("__out").isNull(), F.col(text)).otherwise(F.array_join("__left", "\n")),
         "n_lines": lines.cast("long"), "n_removed": (lines - n_left).cast("long"),
-    }).drop("_id", "_key", "_lines", "_out", "_left")
+    }).drop("__id", "__key", "__lines", "__out", "__left")

@@ -142,18 +142,18 @@ def keyed(docs: DataFrame, levels: Sequence[str], doc_id: str, text: str) -> Dat
 
 
 def mix(docs: DataFrame, levels: Sequence[str], doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents of the mix, once per epoch that takes them, with the column `epoch`."""
+    """The documents of the mix, once per epoch that takes them, with the column `epoch` (replaced if there)."""
     chosen = select(docs, levels, doc_id=doc_id, text=text, **options)
     epochs = chosen.groupBy("_row", *levels).agg(F.sort_array(F.collect_list("epoch")).alias("_epochs"))
     names = {level: f"_level_{i}" for i, level in enumerate(levels)}
     epochs = epochs.withColumnsRenamed(names)
     named = [F.coalesce(F.col(level).cast("string"), F.lit("")) for level in levels]
     body = F.md5(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.withColumn("_row", _digest(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), body))
-    rows = rows.withColumns({f"_mine_{i}": c for i, c in enumerate(named)})
-    on = F.col("a._row") == F.col("b._row")
+    rows = docs.withColumn("__row", _digest(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), body))
+    rows = rows.withColumns({f"__level_{i}": c for i, c in enumerate(named)})
+    on = F.col("a.__row") == F.col("b._row")
     for i in range(len(levels)):
-        on = on & (F.col(f"a._mine_{i}") == F.col(f"b._level_{i}"))
+        on = on & (F.col(f"a.__level_{i}") == F.col(f"b._level_{i}"))
     return rows.alias("a").join(epochs.hint("shuffle_hash").alias("b"), on).select(
-        *(F.col(f"a.{c}") for c in docs.columns), F.explode("_epochs").alias("epoch")
+        *(F.col(f"a.{c}") for c in docs.columns if c != "epoch"), F.explode("_epochs").alias("epoch")
     )

@@ -227,10 +227,10 @@ def fit(
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = labels.count()
     if n > sample_rows:
-        # Leave room for chance; the bound itself is kept by the limit.
-        labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n)).limit(
-            sample_rows + sample_rows // 10
-        )
+        # The hash leaves a few more than wanted; the smallest hashes of them are the sample.
+        share = int((1 << 30) * min(1.0, 1.1 * sample_rows / n))
+        number = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+        labels = labels.where(number < share).orderBy(number, "doc_id").limit(sample_rows)
     sample = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select(F.col("toxic").cast("int").alias("toxic"), "text")
     counts = (
         sample.mapInArrow(_terms, "term string, toxic long, other long")
@@ -275,17 +275,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray, ridge: float
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The given rows and columns with `_score`."""
+    """The given rows and columns with `__score`."""
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = model.lexicon()
         for batch in batches:
             scores = [model.score(features(lexicon, t.as_py())) for t in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "__score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, _score double")
+    return docs.mapInArrow(run, f"{schema}, __score double")
 
 
 def report(docs: DataFrame, labels: DataFrame, folds: int = 5, **options) -> DataFrame:
@@ -294,12 +294,12 @@ def report(docs: DataFrame, labels: DataFrame, folds: int = 5, **options) -> Dat
     result = scored(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(F.pmod(crc_of_id(F.col("doc_id")), F.lit(folds)) == 0, F.lit(False))
     return result.select(
-        "doc_id", held_out.alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        "doc_id", held_out.alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """The rows that score below the threshold, columns unchanged."""
     model = fit(docs, labels, **options)
-    return scored(docs, model).where(F.col("_score") < threshold).select(*docs.columns)
+    return scored(docs, model).where(F.col("__score") < threshold).select(*docs.columns)
