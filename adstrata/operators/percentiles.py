@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
@@ -23,10 +23,13 @@ def exact_percentiles(
     value: str,
     probs: Mapping[str, float],
     accuracy: int = ACCURACY,
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One row per key with a linearly interpolated percentile per entry of ``probs``.
 
-    Nulls of ``value`` are ignored; keys may be null. Groups without a value give no row.
+    Nulls of ``value`` are ignored; keys may be null. Groups without a value give no row. ``also``
+    names further aggregates of ``df``, which ride on the sketch's pass; with it every group gives a
+    row, its percentiles null if it has no value. The input is read twice either way.
     """
     keys = list(keys)
     data = df.where(F.col(value).isNotNull()).select(
@@ -35,12 +38,17 @@ def exact_percentiles(
     margin = 2.0 / accuracy
     wanted = list(probs.values())
     cuts = [max(p - margin, 0.0) for p in wanted] + [min(p + margin, 1.0) for p in wanted]
-    sketch = data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [float(c) for c in cuts], accuracy).alias("_cuts"),
+    measured = F.col(value).cast("double")
+    extras = list(also or {})
+    # Without further aggregates the rows without value need not be looked at.
+    sketch = (df if also else df.where(F.col(value).isNotNull())).groupBy(*keys).agg(
+        F.count(measured).alias("_n"),
+        F.percentile_approx(measured, [float(c) for c in cuts], accuracy).alias("_cuts"),
+        *[column.alias(name) for name, column in (also or {}).items()],
     )
-    brackets = sketch.select(
+    brackets = sketch.where("_n > 0").select(
         *[F.col(k).alias(f"_b_{k}") for k in keys],
+        *extras,
         "_n",
         # A small group is its own bracket.
         F.when(F.col("_n") > 4 * accuracy, F.col("_cuts")).alias("_cuts"),
@@ -61,10 +69,10 @@ def exact_percentiles(
         )
 
     slots = joined.select(
-        *keys, "_n", F.explode(F.array(*[slot(i) for i in range(len(wanted))])).alias("_s")
+        *keys, *extras, "_n", F.explode(F.array(*[slot(i) for i in range(len(wanted))])).alias("_s")
     ).where(F.col("_s").isNotNull())
     counted = slots.groupBy(*keys, "_n", F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c")
+        F.count(F.lit(1)).alias("_c"), *[F.first(e).alias(e) for e in extras]
     )
     running = (
         Window.partitionBy(*keys, "_i")
@@ -89,7 +97,8 @@ def exact_percentiles(
         return F.when(low == high, low).otherwise(low + (high - low) * fraction)
 
     result = ranked.groupBy(*keys).agg(
-        *[interpolated(i, p).alias(name) for i, (name, p) in enumerate(probs.items())]
+        *[interpolated(i, p).alias(name) for i, (name, p) in enumerate(probs.items())],
+        *[F.first(e).alias(e) for e in extras],
     )
     # The sketch's error bound puts both ranks inside the bracket; fail loudly if ever not.
     checked = [
@@ -98,4 +107,11 @@ def exact_percentiles(
         ).alias(name)
         for name in probs
     ]
-    return result.select(*keys, *checked)
+    found = result.select(*keys, *checked, *extras)
+    if not also:
+        return found
+    # Naming _cuts keeps this the very aggregate used above, so its exchange is reused.
+    without = sketch.where("_n = 0 and _cuts is null")
+    return found.unionByName(
+        without.select(*keys, *[F.lit(None).cast("double").alias(n) for n in probs], *extras)
+    )

@@ -176,16 +176,12 @@ def salary_by_experience(
         F.when(F.col(known), F.col(mid)).alias("_mid"),
     )
     keys = ["profil", "tranche_experience", "ordre"]
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("nb_offres"))
-    medians = exact_percentiles(rows, keys, "_mid", {"_median": 0.5})
-    renamed = medians.withColumnsRenamed({k: f"_m_{k}" for k in keys})
-    # A group may be null; plain equality would lose its median.
-    same = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys]
-    return (
-        counts.join(renamed, same, "left")
-        .select(*keys, "nb_offres", round_to(F.col("_median"), 0).alias("salaire_median"))
-        .orderBy("profil", "ordre")
+    medians = exact_percentiles(
+        rows, keys, "_mid", {"_median": 0.5}, also={"nb_offres": F.count(F.lit(1))}
     )
+    return medians.select(
+        *keys, "nb_offres", round_to(F.col("_median"), 0).alias("salaire_median")
+    ).orderBy("profil", "ordre")
 
 
 def experience_correlation(

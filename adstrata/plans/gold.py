@@ -95,20 +95,16 @@ def salary_by_profile(
         F.when(c(known), c(high)).alias("_high"),
         F.when(c(known), c(mid)).alias("_mid"),
     )
-    base = (
-        rows.groupBy("profil", "ville")
-        .agg(
-            F.count(F.lit(1)).alias("nb_offres"),
-            F.count_if("_known").alias("nb_offres_avec_salaire"),
-            round_to(F.min("_low"), 0).alias("salaire_min_observe"),
-            round_to(F.max("_high"), 0).alias("salaire_max_observe"),
-        )
-        .where(c("nb_offres") >= at_least)
-    )
-    quartiles = exact_percentiles(
-        rows, ["profil", "ville"], "_mid", {"_q2": 0.5, "_q1": 0.25, "_q3": 0.75}
+    marts = exact_percentiles(
+        rows, ["profil", "ville"], "_mid", {"_q2": 0.5, "_q1": 0.25, "_q3": 0.75},
+        also={
+            "nb_offres": F.count(F.lit(1)),
+            "nb_offres_avec_salaire": F.count_if("_known"),
+            "_min": F.min("_low"),
+            "_max": F.max("_high"),
+        },
     )
-    return base.join(quartiles, ["profil", "ville"], "left").select(
+    return marts.where(c("nb_offres") >= at_least).select(
         "profil",
         "ville",
         "nb_offres",
@@ -119,8 +115,8 @@ def salary_by_profile(
         round_to(c("_q2"), 0).alias("salaire_median_mad"),
         round_to(c("_q1"), 0).alias("salaire_q1_mad"),
         round_to(c("_q3"), 0).alias("salaire_q3_mad"),
-        "salaire_min_observe",
-        "salaire_max_observe",
+        round_to(c("_min"), 0).alias("salaire_min_observe"),
+        round_to(c("_max"), 0).alias("salaire_max_observe"),
     )
 
 
