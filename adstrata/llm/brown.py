@@ -9,9 +9,9 @@ Probability of a token after another: P(class | class before) * P(word | class).
    gathered once; a sweep computes, for all words in parallel, the move that gains most average mutual
    information against the class bigram matrix (at most `classes` + `shapes` squared, the only shared
    state). Each sweep moves a half of the words; one that lowers the objective is undone and ends it.
-3. Exchange of the rare words: their uses travel packed in hash buckets, so that a bucket holds every
-   use of its words; it counts them, moves each to the rare class that gains most, and keeps per
-   document what scoring needs.
+3. Exchange of the rare words: their uses travel in blocks of documents, packed by hash bucket, so
+   that a bucket holds every use of its words; it counts them, moves each to the rare class that gains
+   most, and sends back to the blocks what scoring needs.
 4. Scores: transitions are smoothed with the class shares, emissions of rare classes with half a count
    and one unknown word per class. Sums per document are added up by key.
 
@@ -124,6 +124,19 @@ def _pairs(words: list[bytes], shapes: int, flush: int = 2_000_000):
     return run
 
 
+def _cells(total: np.ndarray) -> pa.RecordBatch:
+    cell = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total[cell])], ["cell", "n"])
+
+
+def _summed(cells: DataFrame, size: int) -> np.ndarray:
+    """Sum of the tasks' arrays; at most `size` rows reach the driver, however many tasks there are."""
+    total = np.zeros(size)
+    for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        total[row["cell"]] = row["n"]
+    return total
+
+
 def _class_matrix(pairs: DataFrame, cls: np.ndarray, g: int) -> np.ndarray:
     """Counts of class bigrams."""
 
@@ -132,11 +145,9 @@ def _class_matrix(pairs: DataFrame, cls: np.ndarray, g: int) -> np.ndarray:
         for batch in batches:
             prev, cur, n = (c.to_numpy() for c in batch.columns)
             total += np.bincount(cls[prev] * g + cls[cur], weights=n, minlength=g * g)
-        yield pa.RecordBatch.from_pydict({"m": [total.tobytes()]})
+        yield _cells(total)
 
-    # one matrix of fixed size per task
-    parts = pairs.mapInArrow(run, "m binary").collect()
-    return sum((np.frombuffer(r["m"]) for r in parts), np.zeros(g * g)).reshape(g, g)
+    return _summed(pairs.mapInArrow(run, "cell int, n double"), g * g).reshape(g, g)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -224,7 +235,10 @@ def transitions(m: np.ndarray, prior: float = PRIOR) -> np.ndarray:
     return (m + prior * share) / (m.sum(1, keepdims=True) + prior)
 
 
-_SPREAD = "bucket int, hashes binary, at binary, before binary, shapes binary, ids binary, has_id binary, digests binary, train binary"
+_SPREAD = (
+    "bucket int, block long, hashes binary, at binary, before binary, shapes binary, docs binary, ids binary,"
+    " has_id binary, digests binary, train binary"
+)
 _NAMES = [x.split()[0] for x in _SPREAD.split(", ")]
 
 
@@ -247,13 +261,19 @@ def _uses(words: list[bytes], shapes: int, cls: np.ndarray, buckets: int, flush:
             order = np.argsort(bucket, kind="stable")
             h, owner, g, kind, bucket = h[order], owner[order], g[order], kind[order], bucket[order]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
+            # Blocks of equal documents may share a number: their sums per document then add up as well.
+            block = xxhash.xxh64_intdigest(ids.tobytes() + has.tobytes() + digest.tobytes()) - (1 << 63)
             rows: dict[str, list] = {n: [] for n in _NAMES}
             for a, b in zip([0, *cuts], [*cuts, len(h)], strict=True):
                 used, at = np.unique(owner[a:b], return_inverse=True)
-                values = (int(bucket[a]), h[a:b].tobytes(), at.astype(np.uint32).tobytes(), g[a:b].astype(np.uint8).tobytes(), kind[a:b].astype(np.uint8).tobytes(), ids[used].tobytes(), has[used].tobytes(), digest[used].tobytes(), train[used].tobytes())
+                parts = (
+                    h[a:b], at.astype(np.uint32), g[a:b].astype(np.uint8), kind[a:b].astype(np.uint8), used.astype(np.uint32),
+                    ids[used], has[used], digest[used], train[used],
+                )
+                values = (int(bucket[a]), block, *(x.tobytes() for x in parts))
                 for name, value in zip(_NAMES, values, strict=True):
                     rows[name].append(value)
-            return pa.RecordBatch.from_pydict(rows, pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in _NAMES[1:])]))
+            return pa.RecordBatch.from_pydict(rows, pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *((n, pa.binary()) for n in _NAMES[2:])]))
 
         for batch in batches:
             for doc_id, text, held_out in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -287,11 +307,14 @@ def _uses(words: list[bytes], shapes: int, cls: np.ndarray, buckets: int, flush:
     return run
 
 
-_RARE = "ids binary, has_id binary, digests binary, starts binary, codes binary, logs binary, known binary, bases binary, n binary, types binary"
+_RARE = (
+    "block long, docs binary, ids binary, has_id binary, digests binary, starts binary, codes binary, logs binary,"
+    " known binary, bases binary, n binary, types binary"
+)
 
 
 def _rare_words(m: np.ndarray, classes: int, shapes: int, n_tokens: int, n_types: int):
-    """Of one bucket: counts and classes of its words, and what each document needs of them."""
+    """Of one bucket: counts and classes of its words, and per block what its documents need of them."""
     g = classes + shapes
     start = m[:, classes:]
     log_to = np.log((start + PRIOR * (start.sum(0) + 0.5) / (start.sum() + 0.5 * shapes)) / (start.sum(1, keepdims=True) + PRIOR))
@@ -301,9 +324,9 @@ def _rare_words(m: np.ndarray, classes: int, shapes: int, n_tokens: int, n_types
         h = np.concatenate([np.frombuffer(x, np.uint64) for x in frame["hashes"]])
         before = np.concatenate([np.frombuffer(x, np.uint8) for x in frame["before"]])
         kind = np.concatenate([np.frombuffer(x, np.uint8) for x in frame["shapes"]])
-        ids, has, digests, train = (
+        docs, ids, has, digests, train = (
             np.concatenate([np.frombuffer(x, t) for x in frame[c]])
-            for c, t in (("ids", np.int64), ("has_id", np.uint8), ("digests", np.int64), ("train", np.uint8))
+            for c, t in (("docs", np.uint32), ("ids", np.int64), ("has_id", np.uint8), ("digests", np.int64), ("train", np.uint8))
         )
         sizes = [len(x) for x in frame["train"]]
         offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -335,19 +358,27 @@ def _rare_words(m: np.ndarray, classes: int, shapes: int, n_tokens: int, n_types
         types = np.bincount(cls[count > 0], minlength=shapes).astype(np.float64)
         by = np.argsort(doc, kind="stable")
         doc, word, before = doc[by], word[by], before[by]
-        begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        codes = before.astype(np.uint16) * np.uint16(shapes) + cls[word].astype(np.uint16)
         c = count[word]
-        base = np.log10((c + 0.5) / (n_tokens + 0.5 * (n_types + 1)))
-        used = doc[begin]
-        return pd.DataFrame({
-            "ids": [ids[used].tobytes()], "has_id": [has[used].tobytes()], "digests": [digests[used].tobytes()],
-            "starts": [np.concatenate([begin, [len(doc)]]).astype(np.int64).tobytes()],
-            "codes": [(before.astype(np.uint16) * shapes + cls[word].astype(np.uint16)).astype(np.uint16).tobytes()],
-            "logs": [np.add.reduceat(np.log10(c + 0.5), begin).tobytes()],
-            "known": [np.add.reduceat((c > 0).astype(np.int64), begin).tobytes()],
-            "bases": [np.add.reduceat(base, begin).tobytes()],
-            "n": [counts.tobytes()], "types": [types.tobytes()],
-        })
+        logs, base = np.log10(c + 0.5), np.log10((c + 0.5) / (n_tokens + 0.5 * (n_types + 1)))
+        # every document of a row has uses in it, so rows are runs of the sorted documents
+        ends = np.cumsum(sizes)
+        edges = np.searchsorted(doc, np.concatenate([[0], ends]))
+        rows = []
+        for i, block in enumerate(frame["block"]):
+            a, b = edges[i], edges[i + 1]
+            d = doc[a:b]
+            begin = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
+            used = d[begin]
+            rows.append((
+                int(block), docs[used].tobytes(), ids[used].tobytes(), has[used].tobytes(), digests[used].tobytes(),
+                np.concatenate([begin, [b - a]]).astype(np.int64).tobytes(), codes[a:b].tobytes(),
+                np.add.reduceat(logs[a:b], begin).tobytes(),
+                np.add.reduceat((c[a:b] > 0).astype(np.int64), begin).tobytes(), np.add.reduceat(base[a:b], begin).tobytes(),
+                # the bucket's class counts go with its first row
+                counts.tobytes() if not i else None, types.tobytes() if not i else None,
+            ))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in _RARE.split(", ")])
 
     return run
 
@@ -360,22 +391,28 @@ _SUMS = pa.schema([
 
 
 def _rare_sums(log_to: np.ndarray, log_size: np.ndarray, shapes: int):
-    """Partial sums per document of one bucket's rare words."""
+    """Of one block: sums over its documents' rare words, one row per document."""
     cost = (log_to - log_size).ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                starts = np.frombuffer(row["starts"], np.int64)
-                codes = np.frombuffer(row["codes"], np.uint16)
-                score = np.frombuffer(row["logs"]) + np.add.reduceat(cost[codes], starts[:-1])
-                n = len(score)
-                has = np.frombuffer(row["has_id"], np.uint8).astype(bool)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.frombuffer(row["ids"], np.int64), mask=~has), pa.array(np.frombuffer(row["digests"], np.int64)),
-                    pa.nulls(n, pa.bool_()), pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64)),
-                    pa.array(np.frombuffer(row["known"], np.int64)), pa.array(np.frombuffer(row["bases"])), pa.array(score),
-                ], schema=_SUMS)
+    def run(table: pa.Table) -> pa.Table:
+        doc, score, base, known, ids, has, digests = [], [], [], [], [], [], []
+        for row in table.to_pylist():
+            starts = np.frombuffer(row["starts"], np.int64)
+            codes = np.frombuffer(row["codes"], np.uint16)
+            score.append(np.frombuffer(row["logs"]) + np.add.reduceat(cost[codes], starts[:-1]))
+            for values, name, kind in (
+                (doc, "docs", np.uint32), (base, "bases", np.float64), (known, "known", np.int64), (ids, "ids", np.int64),
+                (has, "has_id", np.uint8), (digests, "digests", np.int64),
+            ):
+                values.append(np.frombuffer(row[name], kind))
+        _, first, at = np.unique(np.concatenate(doc), return_index=True, return_inverse=True)
+        add = lambda parts: np.bincount(at, weights=np.concatenate(parts), minlength=len(first))
+        n = len(first)
+        return pa.Table.from_arrays([
+            pa.array(np.concatenate(ids)[first], mask=~np.concatenate(has)[first].astype(bool)),
+            pa.array(np.concatenate(digests)[first]), pa.nulls(n, pa.bool_()), pa.array(np.zeros(n, np.int64)),
+            pa.array(np.zeros(n, np.int64)), pa.array(add(known).astype(np.int64)), pa.array(add(base)), pa.array(add(score)),
+        ], schema=_SUMS)
 
     return run
 
@@ -431,26 +468,25 @@ def score(
     rare = stored(uses.groupBy("bucket").applyInPandas(_rare_words(m, classes, shapes, n_tokens, n_types), _RARE), "brown-rare")
 
     g = classes + shapes
-    m, types = m.copy(), np.zeros(shapes)
-    m[:, classes:] = 0
+    m = m.copy()
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, t = np.zeros(g * shapes), np.zeros(shapes)
+        total = np.zeros(g * shapes + shapes)
         for batch in batches:
-            for row in batch.to_pylist():
-                n, t = n + np.frombuffer(row["n"]), t + np.frombuffer(row["types"])
-        yield pa.RecordBatch.from_pydict({"n": [n.tobytes()], "types": [t.tobytes()]})
+            for n, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                total += np.concatenate([np.frombuffer(n), np.frombuffer(t)])
+        yield _cells(total)
 
-    for row in rare.select("n", "types").mapInArrow(matrices, "n binary, types binary").collect():
-        m[:, classes:] += np.frombuffer(row["n"]).reshape(g, shapes)
-        types += np.frombuffer(row["types"])
+    total = _summed(rare.where("n is not null").select("n", "types").mapInArrow(matrices, "cell int, n double"), g * shapes + shapes)
+    m[:, classes:] = total[: g * shapes].reshape(g, shapes)
+    types = total[g * shapes :]
     log_to = np.log10(transitions(m))
     sizes = m.sum(0)
     log_word = np.log10(np.maximum(word_counts, 0.5) / np.maximum(sizes[cls[: len(words)]], 1.0))
     base = np.log10((word_counts + 0.5) / (n_tokens + 0.5 * (n_types + 1)))
     log_size = np.log10(sizes[classes:] + 0.5 * (types + 1))
     parts = rows.mapInArrow(_frequent_sums(words, word_counts, shapes, cls, log_to, log_word, base), SUMS).unionByName(
-        rare.drop("n", "types").mapInArrow(_rare_sums(log_to[:, classes:], log_size, shapes), SUMS)
+        rare.drop("n", "types").groupBy("block").applyInArrow(_rare_sums(log_to[:, classes:], log_size, shapes), SUMS)
     )
     summed = parts.groupBy("doc_id", "digest").agg(
         F.max("held_out").alias("held_out"), F.sum("n_rows").alias("copies"),
