@@ -3,8 +3,8 @@
 A document is the set of its distinct word shingles, as 64-bit hashes; documents of equal sets are
 one node from the start. Two nodes link when 100 * |intersection| >= threshold * |union|.
 
-1. Document frequencies. Shingle hashes travel packed, in hash buckets of bounded size, and only
-   those in two nodes or more come back. A node links with nothing unless three quarters of its
+1. Document frequencies. Shingle hashes travel in blocks of nodes, packed by hash buckets of bounded
+   size, and only those in two nodes or more come back to their block. A node links with nothing unless three quarters of its
    shingles did (it must share that many), which leaves few nodes.
 2. Prefixes. Shingles are ordered by (frequency, hash). At most tau = n - ceil(0.75 n) shingles of a
    node are missing from a partner, so a prefix is extended until removing any tau of its shingles
@@ -40,7 +40,7 @@ from .components import components
 
 SHINGLE, THRESHOLD = 5, 75
 RARE = 32
-BUCKET_SHINGLES = 3_000_000
+BUCKET_SHINGLES = 2_000_000
 BLOCK = 512
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
@@ -63,7 +63,7 @@ class Shingler:
         if not words:
             return np.empty(0, np.uint64)
         known = self.known
-        if len(known) > 1_000_000:
+        if len(known) > 250_000:
             known.clear()
         for w in set(words):
             if w not in known:
@@ -103,26 +103,41 @@ def _memberships(size: int):
     return run
 
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("at", pa.binary()), ("nodes", pa.binary()), ("ns", pa.binary())])
+_PACKED = pa.schema(
+    [("bucket", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()), ("at", pa.binary()), ("nodes", pa.binary()), ("ns", pa.binary())]
+)
+_SPREAD = "bucket int, block long, hashes binary, at binary, nodes binary, ns binary"
+_RETURNED = "block long, hashes binary, dfs binary, at binary, nodes binary, ns binary"
 
 
-def _spread(size: int, buckets: int, threshold: int, flush: int = 2_000_000):
-    """Shingle hashes packed by bucket, each node once per task."""
+def _spread(size: int, buckets: int, flush: int = 1_000_000, block_nodes: int = 60_000):
+    """Shingle hashes in blocks of nodes, packed by bucket; each node once per task.
+
+    A block has one more row, its head, with all its nodes and their sizes.
+    """
 
     def pack(sets: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
         h = np.concatenate(sets)
         ns = np.array([len(s) for s in sets], np.uint32)
-        owner = np.repeat(np.arange(len(sets), dtype=np.uint32), ns)
+        owner = np.repeat(np.arange(len(sets), dtype=np.uint16), ns)
         names = np.array(nodes, np.int64)
+        # Blocks of equal nodes are one block, number them alike.
+        block = xxhash.xxh64_intdigest(names.tobytes()) - (1 << 63)
         bucket = (h % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         h, owner, bucket = h[order], owner[order], bucket[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         rows: dict[str, list] = {n: [] for n in _PACKED.names}
+
+        def add(*values) -> None:
+            for name, value in zip(_PACKED.names, values, strict=True):
+                rows[name].append(value)
+
+        add(block % buckets, block, None, None, names.tobytes(), ns.tobytes())
         for a, b in zip([0, *cuts], [*cuts, len(h)], strict=True):
             used, at = np.unique(owner[a:b], return_inverse=True)
-            for name, value in zip(_PACKED.names, (int(bucket[a]), h[a:b].tobytes(), at.astype(np.uint32).tobytes(), names[used].tobytes(), ns[used].tobytes()), strict=True):
-                rows[name].append(value)
+            # `ns` of these rows: the nodes' places in the block
+            add(int(bucket[a]), block, h[a:b].tobytes(), at.astype(np.uint16).tobytes(), names[used].tobytes(), used.tobytes())
         return pa.RecordBatch.from_pydict(rows, schema=_PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +155,7 @@ def _spread(size: int, buckets: int, threshold: int, flush: int = 2_000_000):
                 sets.append(s)
                 nodes.append(node)
                 total += len(s)
-                if total >= flush:
+                if total >= flush or len(sets) >= block_nodes:
                     yield pack(sets, nodes)
                     sets, nodes, total = [], [], 0
         if sets:
@@ -150,32 +165,66 @@ def _spread(size: int, buckets: int, threshold: int, flush: int = 2_000_000):
 
 
 def _shared(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: each node's shingles that stand in two nodes or more, with their frequency."""
-    hashes, owners, sizes = [], [], {}
-    for row in frame.itertuples(index=False):
-        names, ns = np.frombuffer(row.nodes, np.int64), np.frombuffer(row.ns, np.uint32)
+    """Of one bucket: the shingles that stand in two nodes or more, back to the nodes' blocks."""
+    heads = frame[frame["hashes"].isna()]
+    out = [(int(r.block), None, None, None, r.nodes, r.ns) for r in heads.itertuples(index=False)]
+    hashes, owners, places, blocks = [], [], [], []
+    rows = frame[frame["hashes"].notna()].sort_values("block", kind="stable")
+    names = sorted(set(rows["block"].tolist()))
+    number = {b: i for i, b in enumerate(names)}
+    for row in rows.itertuples(index=False):
+        at = np.frombuffer(row.at, np.uint16)
         hashes.append(np.frombuffer(row.hashes, np.uint64))
-        owners.append(names[np.frombuffer(row.at, np.uint32)])
-        sizes.update(zip(names.tolist(), ns.tolist(), strict=True))
-    h, node = np.concatenate(hashes), np.concatenate(owners)
-    order = np.lexsort((node, h))
-    h, node = h[order], node[order]
-    fresh = np.ones(len(h), bool)
-    fresh[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
-    h, node = h[fresh], node[fresh]
-    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    df = np.diff(np.concatenate([starts, [len(h)]]))
-    df = np.repeat(df, df)
-    h, node, df = h[df > 1], node[df > 1], df[df > 1].astype(np.uint32)
-    order = np.argsort(node, kind="stable")
-    h, node, df = h[order], node[order], df[order]
-    cuts = np.flatnonzero(np.diff(node)) + 1
-    bounds = list(zip([0, *cuts], [*cuts, len(h)], strict=True)) if len(h) else []
-    return pd.DataFrame({
-        "node": [int(node[a]) for a, _ in bounds], "n": [sizes[int(node[a])] for a, _ in bounds],
-        "m": [int(b - a) for a, b in bounds], "hashes": [h[a:b].tobytes() for a, b in bounds],
-        "dfs": [df[a:b].tobytes() for a, b in bounds],
-    }, columns=["node", "n", "m", "hashes", "dfs"])
+        owners.append(np.frombuffer(row.nodes, np.int64)[at])
+        places.append(np.frombuffer(row.ns, np.uint16)[at])
+        blocks.append(np.full(len(at), number[row.block], np.uint32))
+    if hashes:
+        h, node, place, block = (np.concatenate(x) for x in (hashes, owners, places, blocks))
+        # A node of several blocks answers to the smallest: the same one in every bucket.
+        order = np.lexsort((block, node, h))
+        h, node, place, block = h[order], node[order], place[order], block[order]
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
+        h, place, block = h[fresh], place[fresh], block[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        df = np.diff(np.concatenate([starts, [len(h)]]))
+        df = np.repeat(df, df)
+        h, place, block, df = h[df > 1], place[df > 1], block[df > 1], df[df > 1].astype(np.uint32)
+        order = np.argsort(block, kind="stable")
+        h, place, block, df = h[order], place[order], block[order], df[order]
+        cuts = np.flatnonzero(np.diff(block)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(h)], strict=True) if len(h) else []:
+            out.append((names[block[a]], h[a:b].tobytes(), df[a:b].tobytes(), place[a:b].tobytes(), None, None))
+    return pd.DataFrame(out, columns=["block", "hashes", "dfs", "at", "nodes", "ns"])
+
+
+def _sets(threshold: int):
+    """Of one block: the nodes that share enough shingles, with these and their frequencies."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        head = next(r for r in rows if r["nodes"] is not None)
+        names, ns = np.frombuffer(head["nodes"], np.int64), np.frombuffer(head["ns"], np.uint32)
+        parts = [r for r in rows if r["hashes"] is not None]
+        kept: dict[str, list] = {"node": [], "n": [], "tokens": [], "dfs": []}
+        if parts:
+            h, df, at = (
+                np.concatenate([np.frombuffer(r[c], t) for r in parts])
+                for c, t in (("hashes", np.uint64), ("dfs", np.uint32), ("at", np.uint16))
+            )
+            order = np.argsort(at, kind="stable")
+            h, df, at = h[order], df[order], at[order]
+            cuts = np.flatnonzero(np.diff(at)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(h)], strict=True):
+                n = int(ns[at[a]])
+                if (b - a) * 100 >= n * threshold:
+                    for name, value in zip(kept, (int(names[at[a]]), n, h[a:b].tobytes(), df[a:b].tobytes()), strict=True):
+                        kept[name].append(value)
+        return pa.Table.from_pydict(
+            kept, schema=pa.schema([("node", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("dfs", pa.binary())])
+        )
+
+    return run
 
 
 def needed(n: int, threshold: int) -> int:
@@ -223,22 +272,6 @@ def signatures(n: int, tokens: np.ndarray, dfs: np.ndarray, threshold: int = THR
     return np.unique(np.concatenate(found))
 
 
-def _sets(threshold: int):
-    """Nodes that share enough shingles, their tokens joined from all buckets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept: dict[str, list] = {"node": [], "n": [], "tokens": [], "dfs": []}
-            for node, n, m, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                kept["node"].append(node)
-                kept["n"].append(n)
-                kept["tokens"].append(b"".join(p["hashes"] for p in parts))
-                kept["dfs"].append(b"".join(p["dfs"] for p in parts))
-            yield pa.RecordBatch.from_pydict(kept, pa.schema([("node", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("dfs", pa.binary())]))
-
-    return run
-
-
 def _signed(threshold: int, rare: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -378,16 +411,10 @@ def link(
     if clash:
         raise ValueError("two different sets have the same 64-bit node number")
     buckets = max(1, -(-(total or 0) // bucket_shingles))
-    spread = docs.select(text).mapInArrow(
-        _spread(shingle, buckets, threshold), "bucket int, hashes binary, at binary, nodes binary, ns binary"
-    )
-    shared = spread.groupBy("bucket").applyInPandas(_shared, "node long, n long, m long, hashes binary, dfs binary")
-    per_node = (
-        shared.groupBy("node", "n")
-        .agg(F.sum("m").alias("m"), F.collect_list(F.struct("hashes", "dfs")).alias("parts"))
-        .where(F.col("m") * 100 >= F.col("n") * threshold)
-    )
-    sets = stored(per_node.mapInArrow(_sets(threshold), "node long, n long, tokens binary, dfs binary"), "jaccard-sets")
+    spread = docs.select(text).mapInArrow(_spread(shingle, buckets), _SPREAD)
+    shared = spread.groupBy("bucket").applyInPandas(_shared, _RETURNED)
+    sets = shared.groupBy("block").applyInArrow(_sets(threshold), "node long, n long, tokens binary, dfs binary")
+    sets = stored(sets, "jaccard-sets")
     signed = stored(sets.mapInArrow(_signed(threshold, rare), "sig long, node long"), "jaccard-signatures")
     leaders = signed.groupBy("sig").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1").select("sig", "leader")
     meets = signed.join(leaders, "sig").select(F.col("leader").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
