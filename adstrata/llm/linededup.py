@@ -8,6 +8,12 @@ with `min_words` words or more, that stands in more than one place of the table
 compared with the kept ones. Lines next to it that are equal to those next to the kept chunk go too,
 up to the neighbouring chunk's far end, as they belong to the same passage.
 
+Chunk bounds depend on the line before, so a passage of several lines is also found without them: from
+every line with words the shortest runs of whole lines that reach `long_words` words, forwards and
+backwards, are digested. They cover each repeated run of that many words wherever it begins. A run
+keeps its first place as a chunk does; runs beside the same kept document are merged and compared by
+bytes in pieces of `PIECE` of its lines. Each removed line stands in at least one place that stays.
+
 Digests travel first, without texts: grouping them is a hash aggregate and a chunk that makes a third
 of all rows is one partial row per task. Texts are shuffled twice, by row, never by chunk; only
 repeated chunks carry theirs to the comparison.
@@ -21,10 +27,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import once, stored
 
 LONG_WORDS, MIN_WORDS, WINDOW, DIVISOR = 50, 8, 2, 2
+PIECE = 8
 
 
 def line_hash(line: Column) -> Column:
@@ -75,11 +83,85 @@ def _chunks(docs: DataFrame, long_words: int, min_words: int, window: int, divis
     )
 
 
+def _runs(docs: DataFrame, long_words: int) -> DataFrame:
+    """key, doc_id, start, end, d1, d2 of the shortest runs of several lines with `long_words` words."""
+    marks = F.transform("__lines", lambda x, i: F.struct(i.alias("i"), word_count(x).alias("n")))
+    marked = docs.where("__lines is not null").select(
+        "__key", "__id", once(F.filter(marks, lambda m: m["n"] > 0)).alias("_m"),
+        once(F.transform("__lines", lambda x: F.xxhash64(x))).alias("_h1"),
+        once(F.transform("__lines", lambda x: F.xxhash64(F.lit(1), x))).alias("_h2"),
+    )
+
+    def reached(part: Column) -> Column:
+        """Index of the line with which the words suffice, null if they do not."""
+        return F.aggregate(
+            part,
+            F.struct(F.lit(0).alias("n"), F.lit(0).alias("i")),
+            lambda a, x: F.struct((a["n"] + x["n"]).alias("n"), F.when(a["n"] < long_words, x["i"]).otherwise(a["i"]).alias("i")),
+            lambda a: F.when(a["n"] >= long_words, a["i"]),
+        )
+
+    # A line with words has one at least, which bounds the slices; a long line alone is a chunk already.
+    pair = lambda a, b: F.shiftleft(a.cast("long"), 32) + b
+    forth = F.transform("_m", lambda x, j: F.when(x["n"] < long_words, pair(x["i"], reached(F.slice("_m", j + 1, long_words)))))
+    back = F.transform("_m", lambda x, j: F.when(x["n"] < long_words, pair(
+        reached(F.reverse(F.slice("_m", F.greatest(j - long_words + 2, F.lit(1)), F.least(j + 1, F.lit(long_words))))), x["i"])))
+    pairs = F.array_distinct(F.filter(F.concat(forth, back), lambda p: p.isNotNull()))
+
+    def run(p: Column) -> Column:
+        start, end = F.shiftright(p, 32).cast("int"), p.bitwiseAND(F.lit(2**32 - 1)).cast("int")
+        digest = lambda h: F.xxhash64(F.slice(h, start + 1, end - start + 1))
+        return F.struct(start.alias("start"), end.alias("end"), digest("_h1").alias("d1"), digest("_h2").alias("d2"))
+
+    return (
+        marked.select("__key", "__id", "_h1", "_h2", once(pairs).alias("_p"))
+        .select("__key", "__id", once(F.transform("_p", run)).alias("_r"))
+        .select("__key", "__id", F.inline("_r"))
+    )
+
+
+def _repeated_runs(docs: DataFrame, long_words: int) -> DataFrame:
+    """__key and c of the pieces of repeated runs, and of the places that stay."""
+    runs = stored(_runs(docs, long_words), "line-runs")
+    place = F.struct("__id", "__key", "start")
+    first = runs.groupBy("d1", "d2").agg(F.min(place).alias("kept"), F.max(place).alias("last")).where("kept < last")
+    repeated = runs.join(first.drop("last"), ["d1", "d2"]).where(place != F.col("kept")).select(
+        "__key", F.col("kept.__key").alias("kkey"), "start", "end", (F.col("kept.start") - F.col("start")).alias("shift")
+    )
+    beside = Window.partitionBy("__key", "kkey", "shift").orderBy("start", "end")
+    upto = F.max("end").over(beside.rowsBetween(Window.unboundedPreceding, -1))
+    merged = (
+        repeated.withColumn("gap", F.when(F.col("start") > upto + 1, 1).otherwise(0))
+        .withColumn("run", F.sum("gap").over(beside))
+        .groupBy("__key", "kkey", "shift", "run")
+        .agg((F.min("start") + F.col("shift")).alias("a"), (F.max("end") + F.col("shift")).alias("b"))
+    )
+    # Pieces on a grid of the kept document's lines: however many copies it has, its pieces stay few.
+    blocks = F.sequence(F.floor(F.col("a") / PIECE).cast("int"), F.floor(F.col("b") / PIECE).cast("int"))
+    pieces = stored(
+        merged.select("__key", "kkey", "shift", "a", "b", F.explode(blocks).alias("at")).select(
+            "__key", "kkey", "shift", F.greatest("a", F.col("at") * PIECE).alias("a"),
+            F.least("b", F.col("at") * PIECE + PIECE - 1).alias("b"),
+        ),
+        "line-pieces",
+    )
+    name = F.concat_ws("|", "kkey", "a", "b").alias("digest")
+
+    def wanted(key: str, start: Column, end: Column, is_kept: bool) -> list[Column]:
+        return [F.col(key).alias("__key"), F.struct(
+            start.cast("int").alias("start"), end.cast("int").alias("end"), name, F.lit(is_kept).alias("is_kept"), F.lit(False).alias("grows")
+        ).alias("c")]
+
+    a, b, shift = F.col("a"), F.col("b"), F.col("shift")
+    gone = pieces.select(*wanted("__key", a - shift, b - shift, False))
+    return gone.unionByName(pieces.select("kkey", "a", "b").distinct().select(*wanted("kkey", a, b, True)))
+
+
 def dedup_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", long_words: int = LONG_WORDS,
     min_words: int = MIN_WORDS, window: int = WINDOW, divisor: int = DIVISOR,
 ) -> DataFrame:
-    """The given rows and columns with repeated chunks taken out of `text`; adds n_lines, n_removed."""
+    """The given rows and columns with repeated chunks and runs of lines taken out of `text`; adds n_lines, n_removed."""
     keyed = docs.withColumns({
         "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)),
         "__key": F.md5(F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
@@ -94,13 +176,14 @@ def dedup_lines(
         "line-first",
     )
     wanted = chunks.join(first, "digest").select(
-        "__key", F.struct("start", "end", "digest", (place == F.col("kept")).alias("is_kept")).alias("c")
-    )
+        "__key", F.struct("start", "end", "digest", (place == F.col("kept")).alias("is_kept"), F.lit(True).alias("grows")).alias("c")
+    ).unionByName(_repeated_runs(keyed, long_words))
     per_doc = stored(wanted.groupBy("__key").agg(F.sort_array(F.collect_list("c")).alias("cs")), "line-wanted")
-    # 2. texts of the repeated chunks with the chunks beside them
+    # 2. texts of the repeated chunks with the chunks beside them, and of the pieces of runs
     ends = chunk_ends(F.col("__lines"), long_words, window, divisor)
     before = F.coalesce(F.try_element_at(F.filter("_ends", lambda e: e < F.col("c.start") - 1), F.lit(-1)) + 1, F.lit(0))
     after = F.coalesce(F.get(F.filter("_ends", lambda e: e > F.col("c.end")), F.lit(0)), F.col("c.end"))
+    none = F.array().cast("array<string>")
     texts = (
         keyed.select("__key", "__lines")
         .join(per_doc.hint("shuffle_hash"), "__key")
@@ -110,8 +193,8 @@ def dedup_lines(
         .select(
             "__key", "c.*",
             F.slice("__lines", F.col("c.start") + 1, F.col("c.end") - F.col("c.start") + 1).alias("body"),
-            F.reverse(F.slice("__lines", before + 1, F.col("c.start") - before)).alias("above"),
-            F.slice("__lines", F.col("c.end") + 2, after - F.col("c.end")).alias("below"),
+            F.when(F.col("c.grows"), F.reverse(F.slice("__lines", before + 1, F.col("c.start") - before))).otherwise(none).alias("above"),
+            F.when(F.col("c.grows"), F.slice("__lines", F.col("c.end") + 2, after - F.col("c.end"))).otherwise(none).alias("below"),
         )
     )
     texts = stored(texts, "line-texts")

@@ -484,6 +484,32 @@ def test_line_dedup(spark):
     assert linededup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_takes_out_passages_of_short_lines(spark):
+    rng = random.Random(7)
+    line = lambda k: " ".join(f"v{rng.randrange(10**6)}" for _ in range(k))
+    rows, passages = [], {}
+    for lines, words in [(2, 30), (3, 20), (4, 15), (6, 10), (8, 10), (60, 1)]:
+        for _ in range(12):
+            passage = [line(words) for _ in range(lines)]
+            if lines == 4:
+                passage.insert(2, "")
+            if rng.random() < 0.3:
+                passage.append(line(3))
+            for _ in range(3):
+                i = len(rows)
+                rows.append((i, "\n".join([line(rng.randint(1, 40)), *passage, line(rng.randint(1, 40))])))
+                passages[i] = len(passage)
+    short = line(49).split()
+    rows += [(1000 + i, "\n".join([line(3), " ".join(short), line(3)])) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    for r in linededup.dedup_lines(df).collect():
+        i, lines = r["doc_id"], texts[r["doc_id"]].split("\n")
+        gone = i < 1000 and i % 3 > 0
+        assert r["n_removed"] == (passages[i] if gone else 0), i
+        assert r["text"] == ("\n".join([lines[0], lines[-1]]) if gone else texts[i])
+
+
 # --- components ---------------------------------------------------------------------------
 
 
