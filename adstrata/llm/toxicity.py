@@ -89,11 +89,14 @@ class Trie:
 
 
 class Lexicon:
-    """Matches single words: 1 a term, 2 a word with a toxic beginning, 3 a misspelled term, 0 none."""
+    """Matches single words: 1 a term, 2 a word with a toxic beginning, 3 a misspelled term, 0 none.
 
-    def __init__(self, words: Iterable[str], stems: Iterable[str]):
+    `spellings` are the learned words that a beginning covers; only misspellings of them need them.
+    """
+
+    def __init__(self, words: Iterable[str], stems: Iterable[str], spellings: Iterable[str] = ()):
         self.words, self.stems = frozenset(words), frozenset(stems)
-        long = [w for w in self.words if len(w) >= MIN_FUZZY]
+        long = sorted(w for w in self.words.union(spellings) if len(w) >= MIN_FUZZY)
         self.trie = Trie(long)
         # One edit leaves the first or the second half of a term as it is.
         self.heads = frozenset(w[: len(w) // 2] for w in long)
@@ -183,8 +186,8 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def without_repeats(terms: dict[str, int]) -> tuple[list[str], list[str]]:
-    """Words and beginnings, each spelling kept once.
+def without_repeats(terms: dict[str, int]) -> tuple[list[str], list[str], list[str]]:
+    """Words and beginnings, each spelling kept once, and the words left to a beginning.
 
     A beginning that one word makes up is that word; other words that begin so are left to it, and so
     are longer beginnings.
@@ -199,15 +202,16 @@ def without_repeats(terms: dict[str, int]) -> tuple[list[str], list[str]]:
     real = {s for s, n in stems.items() if most[s] < 0.8 * n}
     begins = lambda text, lengths: any(text[:n] in real for n in lengths if n <= len(text))
     kept = sorted(s for s in real if not begins(s, range(min(STEMS), len(s))))
-    return sorted(w for w in words if not begins(w, STEMS)), kept
+    covered = {w for w in words if begins(w, STEMS)}
+    return sorted(words.keys() - covered), kept, sorted(covered)
 
 
 class Model:
-    def __init__(self, words: list[str], stems: list[str], beta: np.ndarray | None):
-        self.words, self.stems, self.beta = words, stems, beta
+    def __init__(self, words: list[str], stems: list[str], beta: np.ndarray | None, spellings: Iterable[str] = ()):
+        self.words, self.stems, self.beta, self.spellings = words, stems, beta, list(spellings)
 
     def lexicon(self) -> Lexicon:
-        return Lexicon(self.words, self.stems)
+        return Lexicon(self.words, self.stems, self.spellings)
 
     def score(self, values: list[float]) -> float:
         if self.beta is None:
@@ -221,7 +225,7 @@ def crc_of_id(column: F.Column) -> F.Column:
 
 def fit(
     docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, lexicon_terms: int = LEXICON_TERMS,
-    min_support: int = 5, min_share: float = 0.6, z: float = 2.0,
+    min_support: int = 5, min_share: float = 0.5, z: float = 2.0,
 ) -> Model:
     """Lexicon and weights from labelled rows (doc_id, toxic) of documents (doc_id, text)."""
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -242,8 +246,8 @@ def fit(
     m, share = F.col("t") + F.col("o"), F.col("t") / (F.col("t") + F.col("o"))
     low = (share + z * z / (2 * m) - z * F.sqrt(share * (1 - share) / m + z * z / (4 * m * m))) / (1 + z * z / m)
     best = counts.select("term", "t", low.alias("low")).where(F.col("low") >= min_share).orderBy(F.desc("t"), "term").limit(lexicon_terms)
-    words, stems = without_repeats({r["term"]: r["t"] for r in best.collect()})
-    model = Model(words, stems, None)
+    words, stems, spellings = without_repeats({r["term"]: r["t"] for r in best.collect()})
+    model = Model(words, stems, None, spellings)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = model.lexicon()

@@ -337,6 +337,26 @@ def test_toxicity_without_labels(spark):
     assert toxicity.report(docs.limit(0), labels).count() == 0
 
 
+def test_misspelled_words_of_a_beginning_are_found():
+    terms = {"sidiot": 30, "widiot": 10, "widiots": 10, "widiotic": 10, "wblork": 9}
+    lexicon = toxicity.Model(*toxicity.without_repeats(terms)[:2], None, toxicity.without_repeats(terms)[2]).lexicon()
+    expected = {"idiot": 2, "idiotic": 2, "blork": 1, "1diot": 3, "idjot": 3, "idiiotic": 3, "1diotic": 3, "idots": 3, "harmless": 0}
+    assert {w: lexicon.kinds({w.encode()}).get(w.encode(), 0) for w in expected} == expected
+
+
+def test_fit_learns_terms_above_half_and_keeps_their_spellings(spark):
+    rows, labels = [], []
+    for i in range(200):
+        rows.append((i, " ".join([f"a{i}x", ["zidiot", "zidiots", "zidiotic"][i % 3] if i < 90 else f"b{i}"])))
+        labels.append((i, int(i < 90)))
+    rows += [(1000 + i, "halfbad") for i in range(40)]
+    labels += [(1000 + i, int(i < 29)) for i in range(40)]  # lower bound of the share is 0.57
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = model.lexicon().kinds({b"halfbad", b"z1diots", b"zidjotic", b"zidiot"})
+    assert found == {b"halfbad": 1, b"z1diots": 3, b"zidjotic": 3, b"zidiot": 2}
+
+
 def test_quotation_weighs_less():
     text = '"you snarfle" and then, he said, "snarfle" was the word'
     lexicon = toxicity.Lexicon(["snarfle"], [])
