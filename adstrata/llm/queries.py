@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontam, jaccard, licenses, linededup, mixing, secrets, topk, toxicity, warc
+from . import brown, decontam, jaccard, licenses, linededup, mixing, quality, secrets, topk, toxicity, warc
 from .common import sha256_text, table
 
 
@@ -69,8 +69,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", sha256_text(F.col("text")).alias("text_sha256"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_top_k, op2_secrets, op3_class_lm, op4_jaccard_join, op5_warc, op6_decontamination,
-        op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup,
+        op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup, op13_quality,
     )}
