@@ -204,9 +204,82 @@ select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, las
 from d left join based using (r) left join labelled using (r) left join best using (r)
 """
 
+def _repair() -> str:
+    """Forward dynamic programme over rows; s0..s3 hold (cost, audit, repaired) of the four states."""
+    blanks = "[\\x20\\x09-\\x0D]"
+
+    def then(s: str, cost: str, letter: str, tail: str) -> str:
+        return f"CASE WHEN {s} IS NOT NULL THEN {{'c': {s}.c + {cost}, 'a': {s}.a || '{letter}', 'r': {s}.r || {tail}}} END"
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    insert_u = [then(f"s{i}", "3", "I", user) for i in (0, 1, 3)]
+    body = "chr(10) || role || ':' || body"
+    keep = lambda s, initial: f"CASE WHEN usable AND initial = '{initial}' THEN {then(s, 'more', 'K', body)} END"
+    rerole = lambda s, role: f"CASE WHEN usable THEN {then(s, 'more + 3', 'R', f'{role} || body')} END"
+    drop = lambda s: then(s, "4", "D", "''")
+    into_user = [f(s, x) for s in ("s0", "t1", "t3") for f, x in ((keep, "u"), (rerole, user))]
+    return f"""
+WITH RECURSIVE crc AS (
+  SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda c, x: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) FOR i IN range(256)] AS tab),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS body,
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT) AS bytes
+  FROM conversations),
+kinds AS (
+  SELECT conv_id, turn, role, body, xor(list_reduce([4294967295::BIGINT] || bytes,
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS body,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds WHERE kind > 0),
+ordered AS (
+  SELECT *, substr(role, 1, 1) AS initial, row_number() OVER w AS i,
+    lag(substr(role, 1, 1)) OVER w AS before
+  FROM damaged WINDOW w AS (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, md5(length(role)::VARCHAR || ':' || role || body), copy)),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(body, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, body ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(body, '[.!?]{blanks}*$') THEN 'truncated' ELSE '' END AS fault
+  FROM ordered),
+costed AS (
+  SELECT *, fault IN ('', 'truncated') AS usable, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more FROM faults),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s1,
+    NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s3 FROM conversations
+  UNION ALL
+  SELECT conv_id, i, {drop('s0')}, {least(drop('t1'), keep('s0', 's'))},
+    {least(drop('t2'), *into_user)}, {least(drop('t3'), keep('t2', 'a'), rerole('t2', assistant))}
+  FROM (SELECT *, {least('s3', then('t2', '3', 'I', assistant))} AS t3
+    FROM (SELECT c.*, s0, s1 AS t1, s3, {least('s2', *insert_u)} AS t2
+      FROM walk w JOIN costed c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.i = w.i + 1))),
+ends AS (
+  SELECT conv_id, {least('s0', 't3')} AS best
+  FROM (SELECT conv_id, s0, {least('s3', then('t2', '3', 'I', assistant))} AS t3
+    FROM (SELECT conv_id, s0, s3, {least('s2', *insert_u)} AS t2
+      FROM walk QUALIFY i = max(i) OVER (PARTITION BY conv_id)))),
+sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+  sha256(substr(best.r, 2)) AS repaired_sha256
+FROM ends e LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+REPAIR = _repair()
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_top_k": OP1, "op4_jaccard_join": OP4, "op5_warc": OP5, "op6_decontamination": OP6, "op8_mixing": _op8(),
-        "op9_licenses": _op9(),
+        "op9_licenses": _op9(), "op12_repair": REPAIR,
     }
