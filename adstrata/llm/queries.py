@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, decontam, jaccard, licenses, linededup, mixing, quality, repair, secrets, topk, toxicity, warc
+from . import alignment, brown, decontam, jaccard, licenses, linededup, mixing, quality, repair, secrets, topk, toxicity, warc
 from .common import sha256_text, table
 
 
@@ -69,6 +69,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", sha256_text(F.col("text")).alias("text_sha256"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
 
@@ -80,5 +84,5 @@ def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_top_k, op2_secrets, op3_class_lm, op4_jaccard_join, op5_warc, op6_decontamination,
-        op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup, op12_repair, op13_quality,
+        op7_toxicity, op8_mixing, op9_licenses, op10_line_dedup, op11_alignment, op12_repair, op13_quality,
     )}
