@@ -25,6 +25,7 @@ An empty table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -38,13 +39,16 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-BLOCK_BYTES = 4 << 20
-BLOCK_ROWS = 16_384
+BLOCK_BYTES = 3 << 19
+BLOCK_ROWS = 8_192
 PIECE_BYTES = 64 << 10
 #: Links are listed in slices of at most about this many.
 SLICE = 1 << 20
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 FOLDER = "/opt/tokenizers"
+#: How byte-level encoding splits words, and characters outside of which the libraries' classes may differ.
+_WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_UNUSUAL = re.compile("[^\x00-\u024f\u2010-\u2027\u20ac]")
 _CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 
 
@@ -84,9 +88,26 @@ def sides(folder: str) -> tuple[Side, Side]:
         bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
     ]
     splits = not any(re.search("[A-Za-z]▁", p) for p in pieces)
-    encode_a = lambda texts: [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)]
-    encode_b = lambda texts: b.encode(texts, num_threads=1)
-    return Side(spelled_a, encode_a, True), Side(spelled_b, encode_b, splits)
+    quick = _ranked(json.loads(a.to_str()), spelled_a)
+
+    def encode_a(texts: list[str]) -> list:
+        if quick is None or any(_UNUSUAL.search(t) for t in texts):
+            return [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)]
+        return [quick.encode_ordinary(t) for t in texts]
+
+    return Side(spelled_a, encode_a, True), Side(spelled_b, lambda texts: b.encode(texts, num_threads=1), splits)
+
+
+def _ranked(file: dict, spelled: list[bytes]):
+    """A faster encoder of the same file, where its merges stand in order of their ids; else None."""
+    import tiktoken
+
+    merges, vocabulary = file["model"]["merges"], file["model"]["vocab"]
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
+    if file["pre_tokenizer"].get("type") != "ByteLevel" or [vocabulary[x + y] for x, y in pairs] != list(range(256, 256 + len(pairs))):
+        return None
+    ranks = {spelled[i]: i for i in vocabulary.values() if i < 256 + len(pairs)}
+    return tiktoken.Encoding("a", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={})
 
 
 def pieces_of(text: str, size: int = PIECE_BYTES) -> list[str]:
@@ -102,7 +123,7 @@ def pieces_of(text: str, size: int = PIECE_BYTES) -> list[str]:
     return out
 
 
-def encoded(texts: list[str], folder: str) -> tuple[list[list[int]], list[list[int]]]:
+def encoded(texts: list[str], folder: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Ids of space+text on both sides; both empty where they do not spell the text."""
     a, b = sides(folder)
     parts, owner = [], []
@@ -110,24 +131,23 @@ def encoded(texts: list[str], folder: str) -> tuple[list[list[int]], list[list[i
         cut = pieces_of(text) if b.begins_with_space else [text]
         parts += cut
         owner += [i] * len(cut)
-    ids_a: list[list[int]] = [[] for _ in texts]
-    ids_b: list[list[int]] = [[] for _ in texts]
+    ids: list[tuple[list, list]] = [([], []) for _ in texts]
+    fits = [bool(text) for text in texts]
     start = 0
     while start < len(parts):
         end, size = start, 0
         while end < len(parts) and (end == start or size + len(parts[end]) <= 4 * PIECE_BYTES):
             size += len(parts[end])
             end += 1
-        some = parts[start:end]
-        for i, x, y in zip(owner[start:end], a.encode([" " + p for p in some]), b.encode(some), strict=True):
-            ids_a[i] += x
-            ids_b[i] += y
+        some = [" " + p for p in parts[start:end]]
+        for i, part, x, y in zip(owner[start:end], some, a.encode(some), b.encode(parts[start:end]), strict=True):
+            data = part.encode("utf-8", "surrogatepass")
+            fits[i] = fits[i] and a.spells(x, data) and b.spells(y, data)
+            ids[i][0].append(np.array(x, np.int32))
+            ids[i][1].append(np.array(y, np.int32))
         start = end
-    for i, text in enumerate(texts):
-        data = b" " + text.encode("utf-8", "surrogatepass")
-        if not text or not a.spells(ids_a[i], data) or not b.spells(ids_b[i], data):
-            ids_a[i], ids_b[i] = [], []
-    return ids_a, ids_b
+    none = np.empty(0, np.int32)
+    return tuple([np.concatenate(x[side]) if ok else none for x, ok in zip(ids, fits, strict=True)] for side in (0, 1))
 
 
 def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
@@ -152,24 +172,26 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
 class Block:
     """Groups and links of a run of documents, all at once."""
 
-    def __init__(self, ids_a: list[list[int]], ids_b: list[list[int]], folder: str):
+    def __init__(self, ids_a: list[np.ndarray], ids_b: list[np.ndarray], folder: str):
         a, b = sides(folder)
         self.n_a, self.n_b = np.array([len(x) for x in ids_a], np.int64), np.array([len(x) for x in ids_b], np.int64)
         n_docs = len(ids_a)
-        flat = lambda lists: np.array([i for x in lists for i in x], np.int64)
-        self.a, self.b = flat(ids_a), flat(ids_b)
+        self.a, self.b = (np.concatenate(x).astype(np.int64) for x in (ids_a, ids_b))
         doc_a, doc_b = np.repeat(np.arange(n_docs), self.n_a), np.repeat(np.arange(n_docs), self.n_b)
         # Documents follow each other in the bytes; both sides end where a document ends.
         label = terminals(np.cumsum(a.size[self.a]), np.cumsum(b.size[self.b]))
-        last, group = np.unique(label, return_inverse=True)
-        self.group_a, self.group_b = group[: len(self.a)], group[len(self.a) :]
-        self.doc_of_group = np.zeros(len(last), np.int64)
-        self.doc_of_group[self.group_b] = doc_b
+        # A group's terminal is its last token of side B, so counting terminals numbers the groups in order.
+        n = len(self.a)
+        last = label[n:] == np.arange(n, n + len(self.b))
+        number = np.cumsum(last) - 1
+        self.group_a, self.group_b = number[label[:n] - n], number[label[n:] - n]
+        self.doc_of_group = doc_b[last]
         self.n_groups = np.bincount(self.doc_of_group, minlength=n_docs)
-        in_a, in_b = np.bincount(self.group_a, minlength=len(last)), np.bincount(self.group_b, minlength=len(last))
-        self.n_links = np.bincount(self.doc_of_group, in_a * in_b, minlength=n_docs).astype(np.int64)
-        # Link counts beyond 2^53 would need a document of some 10^8 bytes in one group.
-        self._links(in_a * in_b)
+        self.in_a = np.bincount(self.group_a, minlength=len(self.doc_of_group))
+        self.in_b = np.bincount(self.group_b, minlength=len(self.doc_of_group))
+        before = np.concatenate([[0], np.cumsum(self.in_a * self.in_b)])
+        self.n_links = np.diff(before[np.concatenate([[0], np.cumsum(self.n_groups)])])
+        self._links()
         self.hashes = self._hashes(a, b, doc_a, doc_b)
 
     @staticmethod
@@ -178,36 +200,51 @@ class Block:
         keys, uses = np.unique(groups << 16 | ids, return_counts=True)
         return keys >> 16, keys & 0xFFFF, uses
 
-    def _links(self, sizes: np.ndarray) -> None:
+    def _links(self) -> None:
         """Distinct pairs (document << 32 | A id << 16 | B id) and how often each is linked."""
-        group_a, id_a, use_a = self._distinct(self.group_a, self.a)
-        group_b, id_b, use_b = self._distinct(self.group_b, self.b)
+        single = (self.in_a == 1) & (self.in_b == 1)
+        of_a, of_b = single[self.group_a], single[self.group_b]
+        keys = [self.doc_of_group[single] << 32 | self.a[of_a] << 16 | self.b[of_b]]
+        uses = [np.ones(len(keys[0]), np.int64)]
+        group_a, id_a, use_a = self._distinct(self.group_a[~of_a], self.a[~of_a])
+        group_b, id_b, use_b = self._distinct(self.group_b[~of_b], self.b[~of_b])
         first = np.searchsorted(group_b, group_a, "left")
         width = np.searchsorted(group_b, group_a, "right") - first
-        upto = np.cumsum(width)
-        keys, uses, start = [], [], 0
+        upto, start = np.cumsum(width), 0
         while start < len(group_a):
             end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + SLICE, "right")))
             w = width[start:end]
             left = np.repeat(np.arange(start, end), w)
             right = np.repeat(first[start:end] - np.cumsum(w) + w, w) + np.arange(w.sum())
-            key = self.doc_of_group[group_a[left]] << 32 | id_a[left] << 16 | id_b[right]
-            key, back = np.unique(key, return_inverse=True)
+            key, use = self._summed(
+                self.doc_of_group[group_a[left]] << 32 | id_a[left] << 16 | id_b[right], use_a[left] * use_b[right]
+            )
             keys.append(key)
-            uses.append(np.bincount(back, use_a[left] * use_b[right], minlength=len(key)).astype(np.int64))
+            uses.append(use)
             start = end
-        all_keys = np.concatenate(keys) if keys else np.empty(0, np.int64)
-        all_uses = np.concatenate(uses) if uses else np.empty(0, np.int64)
-        self.links, back = np.unique(all_keys, return_inverse=True)
-        self.uses = np.bincount(back, all_uses, minlength=len(self.links)).astype(np.int64)
+        self.links, self.uses = self._summed(np.concatenate(keys), np.concatenate(uses))
+
+    @staticmethod
+    def _summed(keys: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys in order and the sums of their uses."""
+        order = np.argsort(keys)
+        keys = keys[order]
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+        return keys[begins], np.add.reduceat(uses[order], begins) if len(keys) else np.empty(0, np.int64)
 
     def _hashes(self, a: Side, b: Side, doc_a: np.ndarray, doc_b: np.ndarray) -> list[str]:
-        side = np.concatenate([np.zeros(len(self.a), np.int64), np.ones(len(self.b), np.int64)])
-        group = np.concatenate([self.group_a, self.group_b])
-        # Groups are numbered by their terminal token and so in order of the text.
-        order = np.argsort(group * 2 + side, kind="stable")
-        group, side = group[order], side[order]
-        ids, doc = np.concatenate([self.a, self.b])[order], np.concatenate([doc_a, doc_b])[order]
+        # Places of the tokens when each group's A tokens stand before its B tokens.
+        upto_a, upto_b = np.cumsum(self.in_a), np.cumsum(self.in_b)
+        place_a = np.arange(len(self.a)) + (upto_b - self.in_b)[self.group_a]
+        place_b = np.arange(len(self.b)) + upto_a[self.group_b]
+
+        def merged(of_a: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+            out = np.empty(len(of_a) + len(of_b), np.int64)
+            out[place_a], out[place_b] = of_a, of_b
+            return out
+
+        side = merged(np.zeros(len(self.a), np.int64), np.ones(len(self.b), np.int64))
+        group, ids, doc = merged(self.group_a, self.group_b), merged(self.a, self.b), merged(doc_a, doc_b)
         ends = np.append(doc[1:] != doc[:-1], True) if len(doc) else np.empty(0, bool)
         mark = np.zeros(len(ids), np.int64)
         mark[:-1] = np.where(group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0))
