@@ -1,9 +1,9 @@
 """Line deduplication by content-defined chunks, in DataFrame operations only.
 
-Lines are hashed; a rolling hash over `window` line hashes decides after which line a chunk ends, so
-equal runs of lines fall into equal chunks wherever they stand. A line of `long_words` words or more
-(a paragraph in one line) is a chunk of its own. A chunk of several lines or of one such long line,
-with `min_words` words or more, that stands in more than one place of the table keeps its first place
+Lines are hashed; a rolling hash over two line hashes decides after which line a chunk ends, so equal
+runs of lines fall into equal chunks wherever they stand. A line of `long_words` words or more (a
+paragraph in one line) is a chunk of its own. A chunk of several lines or of one such long line, with
+`min_words` words or more, that stands in more than one place of the table keeps its first place
 (smallest document id, then smallest line) and is removed everywhere else, once its bytes are
 compared with the kept ones. Lines next to it that are equal to those next to the kept chunk go too,
 up to the neighbouring chunk's far end, as they belong to the same passage.
@@ -14,12 +14,16 @@ backwards, are digested. They cover each repeated run of that many words whereve
 keeps its first place as a chunk does; runs beside the same kept document are merged and compared by
 bytes in pieces of `PIECE` of its lines. Each removed line stands in at least one place that stays.
 
-Digests travel first, without texts: grouping them is a hash aggregate and a chunk that makes a third
-of all rows is one partial row per task. Texts are shuffled twice, by row, never by chunk; only
-repeated chunks carry theirs to the comparison.
+Whatever repeats consists of lines that repeat, so line hashes are counted first (one aggregate of
+numbers) and chunks and runs are cut only inside stretches of lines that occur twice or have no word.
+That leaves nothing out and drops most of the work. Digests travel without texts: grouping them is a
+hash aggregate and a chunk that makes a third of all rows is one partial row per task. Texts are
+shuffled twice, by row, never by chunk; only repeated chunks carry theirs to the comparison.
 
 Nulls: a null text stays null and has no line; a null id comes after all others. Rows that repeat both
-id and text count as one and get the same result. Other columns are passed through. An empty
+id and text count as one and get the same result. Ids may be numbers or texts; texts that are no whole
+number come after all numbers, in the order of a digest. Other columns are passed through; where the
+table has an n_lines or n_removed of its own, the new column's name gets an underscore. An empty
 document has one empty line. An empty table gives an empty table.
 """
 
@@ -31,66 +35,94 @@ from pyspark.sql.window import Window
 
 from .common import once, stored
 
-LONG_WORDS, MIN_WORDS, WINDOW, DIVISOR = 50, 8, 2, 2
+LONG_WORDS, MIN_WORDS, DIVISOR = 50, 8, 2
 PIECE = 8
+#: Most runs end within so many lines; longer ones are looked for only where these do not reach.
+NEAR = 8
 
 
 def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
-def word_count(text: Column) -> Column:
-    return F.size(F.array_remove(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), ""))
+def word_count(line: Column) -> Column:
+    return F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
 
 
-def chunk_ends(lines: Column, long_words: int = LONG_WORDS, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
-    """Indexes (from 0) of the lines after which a chunk ends."""
-    marked = F.transform(lines, lambda x: F.named_struct(F.lit("h"), line_hash(x), F.lit("long"), word_count(x) >= long_words))
+def _marks(docs: DataFrame, long_words: int, divisor: int) -> DataFrame:
+    """__key, __id and per line: h1, h2 (hashes), n (words), s and e (a chunk starts or ends with the line)."""
+    lines = docs.where("__lines is not null").select("__key", "__id", "__lines")
+    hashed = lines.select(
+        "__key", "__id",
+        F.transform("__lines", lambda x: F.xxhash64(x)).alias("h1"),
+        F.transform("__lines", lambda x: F.xxhash64(F.lit(1), x)).alias("h2"),
+        once(F.transform("__lines", word_count)).alias("n"),
+        once(F.transform("__lines", line_hash)).alias("_h"),
+    )
 
-    def ends(marks: Column) -> Column:
-        def is_end(i: Column) -> Column:
-            at = lambda j: F.get(marks, j)
-            rolled = at(i)["h"]
-            for back in range(1, window):
-                rolled = rolled + F.when(i >= back, at(i - back)["h"] * (31**back)).otherwise(0)
-            return (
-                (i == F.size(marks) - 1) | (rolled % divisor == 0) | at(i)["long"]
-                | F.coalesce(at(i + 1)["long"], F.lit(False))
-            )
+    def ends(h: Column, i: Column) -> Column:
+        rolled = h + F.when(i > 0, F.get("_h", i - 1) * 31).otherwise(0)
+        return (rolled % divisor == 0) | (F.get("n", i) >= long_words) | (F.coalesce(F.get("n", i + 1), F.lit(long_words)) >= long_words)
+
+    cut = hashed.select("__key", "__id", "h1", "h2", "n", once(F.transform("_h", ends)).alias("e"))
+    starts = F.concat(F.array(F.lit(True)), F.slice("e", F.lit(1), F.size("e") - 1))
+    return stored(cut.withColumn("s", starts), "line-marks")
+
+
+def _stretches(marks: DataFrame) -> DataFrame:
+    """__key, __id, base (line number) and arrays h1, h2, n, s, e of consecutive lines that repeat or have no word."""
+    fields = ("h1", "h2", "n", "s", "e")
+    each = marks.select("__key", "__id", F.posexplode(F.arrays_zip(*fields)).alias("i", "l"))
+    lines = each.select("__key", "__id", "i", *(f"l.{f}" for f in fields))
+    counted = marks.select(F.explode(F.arrays_zip("h1", "n")).alias("l")).select("l.h1", "l.n").where("n > 0")
+    repeated = counted.groupBy("h1").agg(F.count("*").alias("c")).where("c > 1").select("h1")
+    found = lines.where("n > 0").join(repeated.hint("shuffle_hash"), "h1").select(*lines.columns).unionByName(lines.where("n = 0"))
+    in_doc = Window.partitionBy("__key").orderBy("i")
+    # Rows that repeat id and text are one: equal places rank alike and are one element of a set.
+    numbered = found.withColumn("island", F.col("i") - F.dense_rank().over(in_doc))
+    return (
+        numbered.groupBy("__key", "__id", "island")
+        .agg(F.sort_array(F.collect_set(F.struct("i", *fields))).alias("l"))
+        .select("__key", "__id", F.get("l", F.lit(0))["i"].alias("base"), *(F.col("l")[f].alias(f) for f in fields))
+        .where(F.aggregate("n", F.lit(0), lambda a, x: a + x) >= MIN_WORDS)
+    )
 
-        return F.filter(F.sequence(F.lit(0), F.size(marks) - 1), is_end)
 
-    # transform over a one-element array names the marks once instead of repeating their expression
-    return F.flatten(F.transform(F.array(marked), ends))
+def _digests(start: Column, end: Column) -> tuple[Column, Column]:
+    return tuple(F.xxhash64(F.slice(h, start + 1, end - start + 1)) for h in ("h1", "h2"))
 
 
-def _chunks(docs: DataFrame, long_words: int, min_words: int, window: int, divisor: int) -> DataFrame:
-    """key, doc_id, start, end, digest of every removable chunk."""
-    cut = docs.where("__lines is not null").select(
-        "__key", "__id", "__lines", once(chunk_ends(F.col("__lines"), long_words, window, divisor)).alias("_ends")
-    )
+def _chunks(stretches: DataFrame, long_words: int, min_words: int) -> DataFrame:
+    """__key, __id, start, end, low, high, d1, d2: chunks that may be removed, low and high what they may grow to."""
+    marked = lambda flag: F.filter(F.transform(flag, lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
+    cut = stretches.select("*", once(marked("s")).alias("_s"), marked("e").alias("_e")).where(F.size("_s") > 0)
+    # Ends before the first start close a chunk that begins before the stretch.
+    cut = cut.withColumn("_e", F.filter("_e", lambda e: e >= F.get("_s", F.lit(0))))
     bounds = F.transform(
-        F.col("_ends"),
-        lambda e, j: F.struct(F.when(j == 0, 0).otherwise(F.get("_ends", j - 1) + 1).alias("start"), e.alias("end")),
+        F.slice("_s", F.lit(1), F.size("_e")),
+        lambda s, j: F.struct(
+            s.alias("a"), F.get("_e", j).alias("b"),
+            F.when(j > 0, F.get("_s", j - 1)).otherwise(0).alias("low"),
+            F.coalesce(F.get("_e", j + 1), F.size("n") - 1).alias("high"),
+        ),
     )
-    chunk = F.array_join(F.slice("__lines", F.col("start") + 1, F.col("end") - F.col("start") + 1), "\n")
+    words = F.aggregate(F.slice("n", F.col("a") + 1, F.col("b") - F.col("a") + 1), F.lit(0), lambda t, x: t + x)
+    d1, d2 = _digests(F.col("a"), F.col("b"))
+    at = lambda c: (F.col("base") + F.col(c))
     return (
-        cut.select("__key", "__id", "__lines", F.inline(bounds))
-        .select("__key", "__id", "start", "end", once(chunk).alias("chunk"))
-        .select("__key", "__id", "start", "end", "chunk", word_count(F.col("chunk")).alias("n"))
-        .where(f"n >= {int(min_words)} and (end > start or n >= {int(long_words)})")
-        .select("__key", "__id", "start", "end", F.md5("chunk").alias("digest"))
+        cut.select("__key", "__id", "base", "h1", "h2", "n", F.inline(bounds))
+        .select("*", words.alias("w"))
+        .where(f"w >= {int(min_words)} and (b > a or w >= {int(long_words)})")
+        .select("__key", "__id", at("a").alias("start"), at("b").alias("end"), at("low").alias("low"), at("high").alias("high"),
+                d1.alias("d1"), d2.alias("d2"))
     )
 
 
-def _runs(docs: DataFrame, long_words: int) -> DataFrame:
-    """key, doc_id, start, end, d1, d2 of the shortest runs of several lines with `long_words` words."""
-    marks = F.transform("__lines", lambda x, i: F.struct(i.alias("i"), word_count(x).alias("n")))
-    marked = docs.where("__lines is not null").select(
-        "__key", "__id", once(F.filter(marks, lambda m: m["n"] > 0)).alias("_m"),
-        once(F.transform("__lines", lambda x: F.xxhash64(x))).alias("_h1"),
-        once(F.transform("__lines", lambda x: F.xxhash64(F.lit(1), x))).alias("_h2"),
-    )
+def _runs(stretches: DataFrame, long_words: int) -> DataFrame:
+    """__key, __id, start, end, d1, d2 of the shortest runs of several lines with `long_words` words."""
+    wide = stretches.where(F.aggregate("n", F.lit(0), lambda a, x: a + x) >= long_words)
+    marks = F.filter(F.transform("n", lambda n, i: F.struct(i.alias("i"), n.alias("n"))), lambda m: m["n"] > 0)
+    marked = wide.select("__key", "__id", "base", "h1", "h2", once(marks).alias("_m"))
 
     def reached(part: Column) -> Column:
         """Index of the line with which the words suffice, null if they do not."""
@@ -103,26 +135,32 @@ def _runs(docs: DataFrame, long_words: int) -> DataFrame:
 
     # A line with words has one at least, which bounds the slices; a long line alone is a chunk already.
     pair = lambda a, b: F.shiftleft(a.cast("long"), 32) + b
-    forth = F.transform("_m", lambda x, j: F.when(x["n"] < long_words, pair(x["i"], reached(F.slice("_m", j + 1, long_words)))))
-    back = F.transform("_m", lambda x, j: F.when(x["n"] < long_words, pair(
-        reached(F.reverse(F.slice("_m", F.greatest(j - long_words + 2, F.lit(1)), F.least(j + 1, F.lit(long_words))))), x["i"])))
+    either = lambda part: F.coalesce(reached(part(NEAR)), reached(part(long_words)))
+    ahead = lambda j: lambda k: F.slice("_m", j + 1, k)
+    behind = lambda j: lambda k: F.reverse(F.slice("_m", F.greatest(j - k + 2, F.lit(1)), F.least(j + 1, F.lit(k))))
+    forth = F.transform("_m", lambda x, j: F.when(x["n"] < long_words, pair(x["i"], either(ahead(j)))))
+    back = F.transform("_m", lambda x, j: F.when(x["n"] < long_words, pair(either(behind(j)), x["i"])))
     pairs = F.array_distinct(F.filter(F.concat(forth, back), lambda p: p.isNotNull()))
-
-    def run(p: Column) -> Column:
-        start, end = F.shiftright(p, 32).cast("int"), p.bitwiseAND(F.lit(2**32 - 1)).cast("int")
-        digest = lambda h: F.xxhash64(F.slice(h, start + 1, end - start + 1))
-        return F.struct(start.alias("start"), end.alias("end"), digest("_h1").alias("d1"), digest("_h2").alias("d2"))
-
+    first, last = F.shiftright("_p", 32).cast("int"), F.col("_p").bitwiseAND(F.lit(2**32 - 1)).cast("int")
+    d1, d2 = _digests(F.col("a"), F.col("b"))
     return (
-        marked.select("__key", "__id", "_h1", "_h2", once(pairs).alias("_p"))
-        .select("__key", "__id", once(F.transform("_p", run)).alias("_r"))
-        .select("__key", "__id", F.inline("_r"))
+        marked.select("__key", "__id", "base", "h1", "h2", F.explode(pairs).alias("_p"))
+        .select("__key", "__id", "base", "h1", "h2", first.alias("a"), last.alias("b"))
+        .select("__key", "__id", (F.col("base") + F.col("a")).alias("start"), (F.col("base") + F.col("b")).alias("end"),
+                d1.alias("d1"), d2.alias("d2"))
     )
 
 
-def _repeated_runs(docs: DataFrame, long_words: int) -> DataFrame:
+def _piece(start: Column, end: Column, low: Column, high: Column, name: Column, is_kept: Column) -> Column:
+    return F.struct(
+        *(c.cast("int").alias(n) for c, n in ((start, "start"), (end, "end"), (low, "low"), (high, "high"))),
+        name.alias("digest"), is_kept.alias("is_kept"),
+    ).alias("c")
+
+
+def _repeated_runs(stretches: DataFrame, long_words: int) -> DataFrame:
     """__key and c of the pieces of repeated runs, and of the places that stay."""
-    runs = stored(_runs(docs, long_words), "line-runs")
+    runs = stored(_runs(stretches, long_words), "line-runs")
     place = F.struct("__id", "__key", "start")
     first = runs.groupBy("d1", "d2").agg(F.min(place).alias("kept"), F.max(place).alias("last")).where("kept < last")
     repeated = runs.join(first.drop("last"), ["d1", "d2"]).where(place != F.col("kept")).select(
@@ -145,56 +183,56 @@ def _repeated_runs(docs: DataFrame, long_words: int) -> DataFrame:
         ),
         "line-pieces",
     )
-    name = F.concat_ws("|", "kkey", "a", "b").alias("digest")
+    name = F.concat_ws("|", F.hex("kkey"), "a", "b")
 
     def wanted(key: str, start: Column, end: Column, is_kept: bool) -> list[Column]:
-        return [F.col(key).alias("__key"), F.struct(
-            start.cast("int").alias("start"), end.cast("int").alias("end"), name, F.lit(is_kept).alias("is_kept"), F.lit(False).alias("grows")
-        ).alias("c")]
+        return [F.col(key).alias("__key"), _piece(start, end, start, end, name, F.lit(is_kept))]
 
     a, b, shift = F.col("a"), F.col("b"), F.col("shift")
     gone = pieces.select(*wanted("__key", a - shift, b - shift, False))
     return gone.unionByName(pieces.select("kkey", "a", "b").distinct().select(*wanted("kkey", a, b, True)))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores behind it as long as the table has such a column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def dedup_lines(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", long_words: int = LONG_WORDS,
-    min_words: int = MIN_WORDS, window: int = WINDOW, divisor: int = DIVISOR,
+    min_words: int = MIN_WORDS, divisor: int = DIVISOR,
 ) -> DataFrame:
     """The given rows and columns with repeated chunks and runs of lines taken out of `text`; adds n_lines, n_removed."""
+    n_lines, n_removed = (free_name(docs, name) for name in ("n_lines", "n_removed"))
+    spelled = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
     keyed = docs.withColumns({
-        "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)),
-        "__key": F.md5(F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")),
-                                  F.md5(F.coalesce(F.col(text), F.lit(""))))),
+        "__id": F.coalesce(F.col(doc_id).cast("string").try_cast("long"), F.lit(2**63 - 1)),
+        "__key": F.unhex(F.md5(F.concat_ws("|", spelled, F.md5(F.coalesce(F.col(text), F.lit("")))))),
         "__lines": F.split(F.col(text), "\n"),
     })
-    # 1. digests only: chunks in more than one place, and where each is kept
-    chunks = stored(_chunks(keyed, long_words, min_words, window, divisor).distinct(), "line-chunks")
+    # 1. numbers only: lines that repeat, chunks in more than one place, and where each is kept
+    stretches = stored(_stretches(_marks(keyed, long_words, divisor)), "line-stretches")
+    chunks = stored(_chunks(stretches, long_words, min_words), "line-chunks")
     place = F.struct("__id", "__key", "start")
-    first = stored(
-        chunks.groupBy("digest").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").select("digest", "kept"),
-        "line-first",
-    )
-    wanted = chunks.join(first, "digest").select(
-        "__key", F.struct("start", "end", "digest", (place == F.col("kept")).alias("is_kept"), F.lit(True).alias("grows")).alias("c")
-    ).unionByName(_repeated_runs(keyed, long_words))
+    first = chunks.groupBy("d1", "d2").agg(F.min(place).alias("kept"), F.max(place).alias("last")).where("kept < last")
+    name = F.concat_ws("|", "d1", "d2")
+    wanted = chunks.join(first.drop("last"), ["d1", "d2"]).select(
+        "__key", _piece(*(F.col(c) for c in ("start", "end", "low", "high")), name, place == F.col("kept"))
+    ).unionByName(_repeated_runs(stretches, long_words))
     per_doc = stored(wanted.groupBy("__key").agg(F.sort_array(F.collect_list("c")).alias("cs")), "line-wanted")
-    # 2. texts of the repeated chunks with the chunks beside them, and of the pieces of runs
-    ends = chunk_ends(F.col("__lines"), long_words, window, divisor)
-    before = F.coalesce(F.try_element_at(F.filter("_ends", lambda e: e < F.col("c.start") - 1), F.lit(-1)) + 1, F.lit(0))
-    after = F.coalesce(F.get(F.filter("_ends", lambda e: e > F.col("c.end")), F.lit(0)), F.col("c.end"))
-    none = F.array().cast("array<string>")
+    # 2. texts of the repeated chunks with the lines beside them, and of the pieces of runs
+    part = lambda a, b: F.slice("__lines", a + 1, b - a + 1)
+    start, end, low, high = (F.col(f"c.{n}") for n in ("start", "end", "low", "high"))
     texts = (
         keyed.select("__key", "__lines")
         .join(per_doc.hint("shuffle_hash"), "__key")
         .dropDuplicates(["__key"])
-        .select("__key", "__lines", "cs", once(ends).alias("_ends"))
-        .select("__key", "__lines", "_ends", F.explode("cs").alias("c"))
+        .select("__key", "__lines", F.explode("cs").alias("c"))
         .select(
-            "__key", "c.*",
-            F.slice("__lines", F.col("c.start") + 1, F.col("c.end") - F.col("c.start") + 1).alias("body"),
-            F.when(F.col("c.grows"), F.reverse(F.slice("__lines", before + 1, F.col("c.start") - before))).otherwise(none).alias("above"),
-            F.when(F.col("c.grows"), F.slice("__lines", F.col("c.end") + 2, after - F.col("c.end"))).otherwise(none).alias("below"),
+            "__key", "c.*", part(start, end).alias("body"),
+            F.reverse(part(low, start - 1)).alias("above"), part(end + 1, high).alias("below"),
         )
     )
     texts = stored(texts, "line-texts")
@@ -222,10 +260,8 @@ def dedup_lines(
     result = keyed.join(removed.hint("shuffle_hash"), "__key", "left").withColumn(
         "__left", F.when(F.col("__out").isNull(), F.col("__lines")).otherwise(left)
     )
-    lines = F.coalesce(F.size(F.col("__lines")), F.lit(0))
-    lines = F.when(F.col("__lines").isNull(), 0).otherwise(lines)
-    n_left = F.when(F.col("__left").isNull(), 0).otherwise(F.size("__left"))
+    size = lambda c: F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long")
     return result.withColumns({
         text: F.when(F.col("__out").isNull(), F.col(text)).otherwise(F.array_join("__left", "\n")),
-        "n_lines": lines.cast("long"), "n_removed": (lines - n_left).cast("long"),
+        n_lines: size("__lines"), n_removed: size("__lines") - size("__left"),
     }).drop("__id", "__key", "__lines", "__out", "__left")
