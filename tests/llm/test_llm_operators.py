@@ -437,25 +437,37 @@ def test_licenses(spark):
 
 
 def brute_dedup(rows, long_words=linededup.LONG_WORDS, min_words=linededup.MIN_WORDS):
-    """The definition, document by document."""
+    """The definition, document by document: chunks with what grows beside them, and runs of whole lines."""
     number = lambda s: int(hashlib.md5(s.encode()).hexdigest()[:8], 16)
     size = lambda s: len([w for w in re.split(r"[ \t-\r]+", s) if w])
     texts = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: ((r[0] if r[0] is not None else 2**63 - 1), hashlib.md5(f"{'null' if r[0] is None else r[0]}|{hashlib.md5(r[1].encode()).hexdigest()}".encode()).hexdigest()))
-    chunks, places = {}, {}
+    chunks, places, runs = {}, {}, {}
     for key in texts:
         lines = key[1].split("\n")
-        long = [size(x) >= long_words for x in lines]
+        sizes = [size(x) for x in lines]
         start, cut = 0, []
         for i, x in enumerate(lines):
             rolled = number(x) + (31 * number(lines[i - 1]) if i else 0)
-            if i == len(lines) - 1 or rolled % linededup.DIVISOR == 0 or long[i] or long[i + 1]:
+            if i == len(lines) - 1 or rolled % linededup.DIVISOR == 0 or sizes[i] >= long_words or sizes[i + 1] >= long_words:
                 cut.append((start, i))
                 start = i + 1
         chunks[key] = cut
         for a, b in cut:
-            body = "\n".join(lines[a : b + 1])
-            if size(body) >= min_words and (b > a or size(body) >= long_words):
-                places.setdefault(body, []).append((key, a, b))
+            words = sum(sizes[a : b + 1])
+            if words >= min_words and (b > a or words >= long_words):
+                places.setdefault(tuple(lines[a : b + 1]), []).append((key, a, b))
+        found = set()
+        for i, n in enumerate(sizes):
+            if 0 < n < long_words:
+                for step in (1, -1):  # the shortest run from this line on, and up to it
+                    j, words = i, n
+                    while words < long_words and 0 <= j + step < len(lines):
+                        j += step
+                        words += sizes[j]
+                    if words >= long_words:
+                        found.add((min(i, j), max(i, j)))
+        for a, b in sorted(found):
+            runs.setdefault(tuple(lines[a : b + 1]), []).append((key, a, b))
     gone = {key: set() for key in texts}
     for found in places.values():
         (kept, ka, kb), *rest = found
@@ -472,6 +484,9 @@ def brute_dedup(rows, long_words=linededup.LONG_WORDS, min_words=linededup.MIN_W
             while b + fwd + 1 <= hi and kb + fwd + 1 <= khi and lines[b + fwd + 1] == klines[kb + fwd + 1]:
                 fwd += 1
             gone[key] |= set(range(a - back, b + fwd + 1))
+    for found in runs.values():
+        for key, a, b in found[1:]:
+            gone[key] |= set(range(a, b + 1))
     out = []
     for i, t in rows:
         if t is None:
@@ -502,6 +517,19 @@ def test_line_dedup(spark):
     for passage in passages[1:]:  # one copy of each stays
         assert sum(t.split("\n").count(passage) for t in texts) == 1
     assert linededup.dedup_lines(df.limit(0)).count() == 0
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_line_dedup_keeps_clashing_columns_and_text_ids(spark):
+    passage = " ".join(WORDS[:55])
+    rows = [("b", f"x\n{passage}", 7, 8), ("10", f"{passage}\ny", 1, 2), (None, passage, 3, 4)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, n_lines int, n_removed int")
+    done = linededup.dedup_lines(df)
+    assert done.columns == [*df.columns, "n_lines_", "n_removed_"]
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"], r["n_lines_"], r["n_removed_"]) for r in done.collect()}
+    assert got["10"] == (f"{passage}\ny", 1, 2, 2, 0)
+    assert sorted((got["b"][4], got[None][4])) == [1, 1] and got["b"][1:4] == (7, 8, 2)
 
 
 def test_line_dedup_takes_out_passages_of_short_lines(spark):

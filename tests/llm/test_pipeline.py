@@ -12,7 +12,7 @@ from adstrata.llm.queries import MIX_LEVELS, MIX_SHARE, with_domain
 sys.path.insert(0, str(Path(__file__).parent))
 
 import test_jaccard  # noqa: E402
-import test_operators  # noqa: E402
+import test_llm_operators  # noqa: E402
 
 
 def test_stages(spark, sf_dir):
@@ -32,7 +32,7 @@ def test_stages(spark, sf_dir):
             lexicon = model.lexicon()
             assert set(kept) == {i for i, r in before.items() if model.score(toxicity.features(lexicon, r["text"])) < 0.5}
         elif name == "line_dedup":
-            expected = test_operators.brute_dedup([(i, r["text"]) for i, r in before.items()])
+            expected = test_llm_operators.brute_dedup([(i, r["text"]) for i, r in before.items()])
             assert {i: r["text"] for i, r in kept.items()} == {
                 i: t for i, t, n, gone in expected if not gone or gone < n
             }
@@ -40,7 +40,7 @@ def test_stages(spark, sf_dir):
             expected = test_jaccard.brute([(i, r["text"]) for i, r in before.items()])
             assert set(kept) == {i for i, _, component, _ in expected if i == component}
         elif name == "decontamination":
-            assert set(kept) == {i for i, r in before.items() if not test_operators.brute_hits(r["text"], benchmark)[1]}
+            assert set(kept) == {i for i, r in before.items() if not test_llm_operators.brute_hits(r["text"], benchmark)[1]}
         else:
             size = lambda t: len((t or "").split())
             total = sum(size(r["text"]) for r in before.values())
@@ -64,5 +64,5 @@ def test_run_is_the_stages(spark, sf_dir):
 
 def test_every_operator_is_registered():
     names = entry_module.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1

@@ -6,7 +6,7 @@ import pytest
 from adstrata.llm import oracle, queries
 
 ORACLE = oracle.oracle_sql()
-TABLES = "documents embeddings pages benchmark labels".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 def plain(value):
