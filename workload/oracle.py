@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from workload import cases as K
+from workload import relations
 
 
 def q(value: str | None) -> str:
@@ -779,7 +780,7 @@ FROM (SELECT l_returnflag AS profil, {r} AS correlation_pearson FROM lineitem GR
     o["event_counts"] = """
 SELECT event_type, count(*) AS nb, count(*) * 100.0 / (SELECT count(*) FROM events) AS pct
 FROM events GROUP BY event_type"""
-    return o
+    return o | relations.oracle_sql()
 
 
 _COORDINATES = {

@@ -27,6 +27,7 @@ from adstrata.sources import bronze, tables
 from adstrata.sources.envelope import read_lines, typed_ads
 from adstrata.sources.terms import dictionary_from_mapping, read_dictionary
 from workload import cases as K
+from workload import relations
 from workload.ads import messy_ads, scratch, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -581,4 +582,6 @@ def queries() -> dict[str, Query]:
         "quantity_correlation": quantity_correlation,
         "document_term_demand": document_term_demand,
         "event_counts": lambda s, d: value_counts(table(s, d, "events"), "event_type"),
+        # Times, intervals and sets
+        **relations.queries(),
     }
