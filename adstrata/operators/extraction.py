@@ -58,10 +58,8 @@ def extract_terms(
     context = dict(AD_CONTEXT if context is None else context)
     entries = dictionary.withColumn(
         "plain", ~F.col("loose") & (F.col("alias") == F.col("anchor"))
-    ).select(*_FIELDS)
+    ).select(*_FIELDS, F.xxhash64("anchor").alias("hash"))
     small = [r.asDict(recursive=True) for r in entries.collect()]
-    anchors = {(r["anchor"], r["loose"]) for r in small if r["anchor"] is not None}
-    slots = _slots(entries, len(anchors)) if anchors else {}
 
     rows = ads.select(
         F.col(ad_id).alias("id_offre"),
@@ -74,7 +72,7 @@ def extract_terms(
             "_text_words": F.split("_text", f"[^{WORD}]+"),
         }
     )
-    rows = _candidates(rows, small, slots)
+    rows = _candidates(rows, small)
     found = _winners(rows)
 
     term = found.withColumn("_t", F.explode_outer("_winners"))
@@ -102,24 +100,19 @@ def extract_terms(
     )
 
 
-def _slots(entries: DataFrame, n: int) -> dict[str, int]:
-    """Hash slot of every anchor, numbered as the scan will number its words."""
-    numbered = entries.where("anchor is not null").select("anchor", _slot(F.col("anchor"), n).alias("slot"))
-    return {r["anchor"]: r["slot"] for r in numbered.distinct().collect()}
-
-
 def _slot(word: Column, n: int) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(n)).cast("int")
 
 
-def _candidates(rows: DataFrame, entries: list[dict], slots: dict[str, int]) -> DataFrame:
+def _candidates(rows: DataFrame, entries: list[dict]) -> DataFrame:
     """Entries whose anchor word stands in a row, and those without anchor whose literal does."""
     anchored = [r for r in entries if r["anchor"] is not None]
     free = [r for r in entries if r["anchor"] is None]
     n = len({(r["anchor"], r["loose"]) for r in anchored})
     table: list[list[dict]] = [[] for _ in range(n)]
     for r in anchored:
-        table[slots[r["anchor"]]].append(r)
+        # Numbered as the scan numbers its words; the hash itself is no field of an entry.
+        table[r["hash"] % n].append({f: r[f] for f in _FIELDS})
     literal = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), f"array<array<{_ENTRY}>>")
 
     def known(words: Column, loose: bool) -> Column:
@@ -150,7 +143,7 @@ def _candidates(rows: DataFrame, entries: list[dict], slots: dict[str, int]) ->
         found.append(announced(known(pieces, True), True))
     if free:
         # No word can announce them: all their characters are punctuation.
-        marks = F.from_json(F.lit(json.dumps(free, ensure_ascii=False)), f"array<{_ENTRY}>")
+        marks = F.from_json(F.lit(json.dumps([{f: r[f] for f in _FIELDS} for r in free], ensure_ascii=False)), f"array<{_ENTRY}>")
         found.append(
             F.filter(
                 marks,

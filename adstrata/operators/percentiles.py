@@ -28,8 +28,9 @@ def exact_percentiles(
     """One row per key with a linearly interpolated percentile per entry of ``probs``.
 
     Nulls of ``value`` are ignored; keys may be null. Groups without a value give no row. ``also``
-    names further aggregates of ``df``, which ride on the sketch's pass; with it every group gives a
-    row, its percentiles null if it has no value. The input is read twice either way.
+    names further aggregates of ``df``, which ride on the sketch's pass and are joined to the finished
+    groups; with it every group gives a row, its percentiles null if it has no value. The input is read
+    twice either way.
     """
     keys = list(keys)
     data = df.where(F.col(value).isNotNull()).select(
@@ -48,7 +49,6 @@ def exact_percentiles(
     )
     brackets = sketch.where("_n > 0").select(
         *[F.col(k).alias(f"_b_{k}") for k in keys],
-        *extras,
         "_n",
         # A small group is its own bracket.
         F.when(F.col("_n") > 4 * accuracy, F.col("_cuts")).alias("_cuts"),
@@ -69,10 +69,10 @@ def exact_percentiles(
         )
 
     slots = joined.select(
-        *keys, *extras, "_n", F.explode(F.array(*[slot(i) for i in range(len(wanted))])).alias("_s")
+        *keys, "_n", F.explode(F.array(*[slot(i) for i in range(len(wanted))])).alias("_s")
     ).where(F.col("_s").isNotNull())
     counted = slots.groupBy(*keys, "_n", F.col("_s.i").alias("_i"), F.col("_s.v").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c"), *[F.first(e).alias(e) for e in extras]
+        F.count(F.lit(1)).alias("_c")
     )
     running = (
         Window.partitionBy(*keys, "_i")
@@ -98,7 +98,6 @@ def exact_percentiles(
 
     result = ranked.groupBy(*keys).agg(
         *[interpolated(i, p).alias(name) for i, (name, p) in enumerate(probs.items())],
-        *[F.first(e).alias(e) for e in extras],
     )
     # The sketch's error bound puts both ranks inside the bracket; fail loudly if ever not.
     checked = [
@@ -107,11 +106,11 @@ def exact_percentiles(
         ).alias(name)
         for name in probs
     ]
-    found = result.select(*keys, *checked, *extras)
+    found = result.select(*keys, *checked)
     if not also:
         return found
-    # Naming _cuts keeps this the very aggregate used above, so its exchange is reused.
-    without = sketch.where("_n = 0 and _cuts is null")
-    return found.unionByName(
-        without.select(*keys, *[F.lit(None).cast("double").alias(n) for n in probs], *extras)
-    )
+    # Naming all its columns keeps this the very aggregate used above, so its exchange is reused.
+    groups = sketch.where("_n >= 0 or _cuts is not null").select(*[F.col(k).alias(f"_g_{k}") for k in keys], *extras)
+    same_group = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    joined = groups.join(found, same_group, "left")
+    return joined.select(*[F.col(f"_g_{k}").alias(k) for k in keys], *probs, *extras)

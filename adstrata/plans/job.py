@@ -113,7 +113,10 @@ def run_silver(
     keep = tuple(bronze.PARTITION)
     raw = typed_ads(spread(landed, partitions, "raw"), keep=keep)
     clean = silver.clean_ads(raw, rules, keep)
-    tables.write_table(clean, lake.ads, bronze.PARTITION, replaces="dynamic" if part else "static")
+    # Bronze's files hold one partition each, so the ads are written where they were read.
+    tables.write_table(
+        clean, lake.ads, bronze.PARTITION, replaces="dynamic" if part else "static", deal=partitions is not None
+    )
     ads = tables.read_table(spark, lake.ads, CLEAN_ADS)
     tables.write_table(silver.quality_rows(ads), lake.quality)
     return ads.count()

@@ -34,17 +34,19 @@ def with_partition_keys(df: DataFrame, source: Column, published: Column) -> Dat
 
 def write_partitioned(
     df: DataFrame, path: str, partition: list[str], mode: str = "overwrite",
-    replaces: str = "dynamic",
+    replaces: str = "dynamic", deal: bool = True,
 ) -> None:
     """Snappy Parquet, one directory per key.
 
     ``overwrite`` replaces only the keys written (``dynamic``) or the whole table (``static``).
 
     REBALANCE groups rows of a key into few files, and lets adaptive execution split a key that
-    holds a large share of the rows over several tasks.
+    holds a large share of the rows over several tasks. Rows that come by key already (read from files
+    of one key each) need no such shuffle: ``deal=False`` writes them where they are.
     """
+    rows = df.hint("rebalance", *partition) if deal else df
     (
-        df.hint("rebalance", *partition)
+        rows
         .write.mode(mode)
         .option("partitionOverwriteMode", replaces)
         .option("compression", "snappy")

@@ -29,7 +29,7 @@ _ENVELOPE = T.StructType(
 )
 
 
-def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_envelopes(spark: SparkSession, path: str | list[str], pattern: str = "*.json") -> DataFrame:
     """One row per envelope file: metadata, offres (ARRAY of JSON text), file, corrupt flag.
 
     An envelope is one JSON document, so a file is the unit of parallelism; land large feeds as
@@ -39,7 +39,7 @@ def read_envelopes(spark: SparkSession, path: str | list[str]) -> DataFrame:
         spark.read.schema(_ENVELOPE)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .option("columnNameOfCorruptRecord", "_corrupt")
         .json(path)
     )

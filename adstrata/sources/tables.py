@@ -10,15 +10,16 @@ from adstrata.sources.bronze import write_partitioned
 
 def write_table(
     df: DataFrame, path: str, partition: list[str] | None = None, mode: str = "overwrite",
-    replaces: str = "dynamic",
+    replaces: str = "dynamic", deal: bool = True,
 ) -> None:
     """Snappy Parquet, replaced as a whole, or when partitioned as ``replaces`` says: only the keys
-    written (``dynamic``) or everything (``static``).
+    written (``dynamic``) or everything (``static``). ``deal=False`` spares the shuffle of rows that come
+    by key already.
 
     Row order is not part of a table; sort when reading.
     """
     if partition:
-        write_partitioned(df, path, partition, mode, replaces)
+        write_partitioned(df, path, partition, mode, replaces, deal)
     else:
         df.write.mode(mode).option("compression", "snappy").parquet(path)
 

@@ -27,13 +27,13 @@ from workload import queries as W  # noqa: E402
 from workload.ads import messy_ads, scratch, table  # noqa: E402
 
 ALIASES = 281  # the size of the dictionary the published run used
+PUBLISHED_ADS = 5_000
 
 
-def frequent_terms(spark, sf_dir: str) -> dict:
-    """A dictionary of 281 aliases in 97 terms and 10 families from the documents' own words."""
+def frequent_terms(texts) -> dict:
+    """A dictionary of 281 aliases in 97 terms and 10 families from the texts' own words (column t)."""
     words = (
-        table(spark, sf_dir, "documents")
-        .select(F.explode(F.split(F.lower("text"), f"[^{WORD}]+")).alias("w"))
+        texts.select(F.explode(F.split(F.lower("t"), f"[^{WORD}]+")).alias("w"))
         .where("w <> ''")
         .groupBy("w")
         .count()
@@ -70,7 +70,7 @@ def main() -> None:
         int(cpus), "value"
     ).write.text(f"{root}/inbox")
     n_ads = spark.read.text(f"{root}/inbox").count()
-    big = dictionary_from_mapping(spark, frequent_terms(spark, sf_dir))
+    big = dictionary_from_mapping(spark, frequent_terms(table(spark, sf_dir, "documents").select(F.col("text").alias("t"))))
     terms = dictionary_from_mapping(spark, K.AD_TERMS)
 
     timed("bronze_ingest", lambda: bronze.ingest(read_lines(spark, f"{root}/inbox"), lake.bronze))
@@ -78,8 +78,8 @@ def main() -> None:
     timed(
         "silver_transform",
         lambda: tables.write_table(
-            silver.clean_ads(typed_ads(spread(landed, int(cpus), "raw"), keep=keep), keep=keep), lake.ads,
-            bronze.PARTITION, replaces="static"
+            silver.clean_ads(typed_ads(landed, keep=keep), keep=keep), lake.ads, bronze.PARTITION,
+            replaces="static", deal=False
         ),
     )
     ads = tables.read_table(spark, lake.ads, job.CLEAN_ADS)
@@ -95,10 +95,18 @@ def main() -> None:
     timed(
         "document_terms_281",
         lambda: drain(
-            extract_terms(W._documents(spark, sf_dir), big, "doc_id", "first", "text",
-                          {"lang": "lang"})
+            extract_terms(spread(W._documents(spark, sf_dir), int(cpus), "doc_id"), big, "doc_id", "first",
+                          "text", {"lang": "lang"})
         ),
     )
+    # The size of the published run: 5 000 ads, 281 aliases, two fields. The documents are the ads' texts.
+    few = W._documents(spark, sf_dir).orderBy("doc_id").limit(PUBLISHED_ADS)
+    few.write.parquet(f"{root}/published")
+    published = spark.read.parquet(f"{root}/published")
+    timed(
+        "terms_5000_ads_281",
+        lambda: drain(extract_terms(spread(published, int(cpus), "doc_id"), big, "doc_id", "first", "text", {"lang": "lang"})),
+    )
     marts = job.read_marts(spark, lake)
     questions = {
         "top_terms_overall": analytics.top_terms_overall(marts["top_competences"]),

@@ -438,6 +438,14 @@ FROM raw GROUP BY ALL ORDER BY nb_offres DESC, source_part, mois_part LIMIT 10""
   list(DISTINCT source_part ORDER BY source_part) AS sources_found,
   list(DISTINCT mois_part ORDER BY mois_part) AS mois_couverts,
   CAST(0 AS BIGINT) AS enregistrements_corrompus FROM raw"""
+    )
+    o["envelope_integrity"] = with_ads(
+        select="""SELECT count(DISTINCT (source_part, mois_part)) FILTER (good) AS partitions_found,
+  count(*) FILTER (good) AS total_offres,
+  list(DISTINCT source_part ORDER BY source_part) FILTER (good) AS sources_found,
+  list(DISTINCT mois_part ORDER BY mois_part) FILTER (good) AS mois_couverts,
+  count(DISTINCT (source_part, mois_part)) FILTER (NOT good) AS fichiers_corrompus
+FROM (SELECT *, NOT ends_with(mois_part, '_06') AS good FROM raw)"""
     )
     o["bronze_manifest"] = with_ads(
         select="""SELECT source_part, mois_part, source_part || '/' || mois_part AS partition,
@@ -516,7 +524,7 @@ GROUP BY anomalie ORDER BY nb DESC, anomalie LIMIT 5"""
     o["document_terms"] = ctes(*DOC_TERMS) + """
 SELECT row_id AS id_offre, skill_normalise, famille, alias_trouve, source, nb_mentions_desc, lang
 FROM terms"""
-    o["document_terms_joined"] = o["document_terms_from_file"] = o["document_terms"]
+    o["document_terms_large"] = o["document_terms_from_file"] = o["document_terms"]
     o["conversation_terms"] = ctes(*CONV_TERMS) + """
 SELECT row_id AS id_offre, skill_normalise, famille, alias_trouve, source, nb_mentions_desc, role
 FROM terms"""

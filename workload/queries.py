@@ -24,7 +24,7 @@ from adstrata.operators.joins import lookup_join
 from adstrata.plans import analytics, gold, job, quality, silver
 from adstrata.schemas import CLEAN_ADS
 from adstrata.sources import bronze, tables
-from adstrata.sources.envelope import read_lines, typed_ads
+from adstrata.sources.envelope import read_envelopes, read_lines, typed_ads
 from adstrata.sources.terms import dictionary_from_mapping, read_dictionary
 from workload import cases as K
 from workload import relations
@@ -133,6 +133,28 @@ def bronze_integrity(spark: SparkSession, sf: str) -> DataFrame:
     return bronze.integrity_report(bronze.read_bronze(spark, _land(spark, sf)))
 
 
+def _envelopes(spark: SparkSession, sf: str) -> DataFrame:
+    """One envelope file per source and month of the ads; those of every June are cut short."""
+    path = scratch(spark, "integrity")
+    records = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    ads = messy_ads(spark, sf)
+    keyed = bronze.with_partition_keys(ads.withColumn("r", records), F.col("source"), F.col("date_publication"))
+    partition = F.concat_ws("/", *bronze.PARTITION)
+    files = keyed.groupBy(*bronze.PARTITION).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("r")), ", ").alias("r"))
+    text = F.concat(
+        F.lit('{"metadata": {"partition": "'), partition, F.lit('", "nb_offres": '), F.col("n").cast("string"),
+        F.lit('}, "offres": ['), F.col("r"), F.when(F.col("mois_part").endswith("_06"), "").otherwise("]}"),
+    )
+    # A folder and so a file per row: an envelope is one JSON document.
+    files.select(text.alias("value"), F.md5(partition).alias("k")).write.partitionBy("k").text(path)
+    return read_envelopes(spark, path, "*.txt")
+
+
+def envelope_integrity(spark: SparkSession, sf: str) -> DataFrame:
+    """Files, records and keys of envelope files of which some are corrupt."""
+    return bronze.envelope_integrity_report(_envelopes(spark, sf))
+
+
 def bronze_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return bronze.manifest(bronze.read_bronze(spark, _land(spark, sf))).drop("date_ingestion")
 
@@ -496,6 +518,7 @@ def queries() -> dict[str, Query]:
         "bronze_sources": lambda s, d: bronze.source_stats(_keyed(s, d)),
         "bronze_largest": lambda s, d: bronze.largest_partitions(_keyed(s, d)),
         "bronze_integrity": bronze_integrity,
+        "envelope_integrity": envelope_integrity,
         "bronze_manifest": bronze_manifest,
         "bronze_pruned": bronze_pruned,
         # Silver
@@ -521,7 +544,7 @@ def queries() -> dict[str, Query]:
         # Terms
         "ad_terms": extract_ad_terms,
         "document_terms": document_terms,
-        "document_terms_joined": document_terms_large,
+        "document_terms_large": document_terms_large,
         "document_terms_from_file": document_terms_from_file,
         "conversation_terms": conversation_terms,
         "term_coverage": lambda s, d: coverage(
