@@ -1,28 +1,38 @@
 """Secret scan with a recursive decoding worklist.
 
 Each text is a layer. Layers are scanned for secrets and for encoded runs (percent escapes, Unicode
-escapes, character references, base64, gzip or zlib below base64 or hex); each run that decodes to
-text is a new layer, until none is new. A digest of every layer's content stops cycles and repeats.
-A layer keeps, for its run in the parent, the span of the original text it came from, so what is
-found in it is reported there; findings of escape layers map through the exact place of every
+escapes, character references, base64 in either alphabet, hex, gzip or zlib below any of them); each
+run that decodes is a new layer, until none is new. A digest of every layer's content stops cycles and
+repeats. A layer keeps, for its run in the parent, the span of the original text it came from, so what
+is found in it is reported there; findings of escape layers map through the exact place of every
 character.
 
-Decoded layers of one text may hold `max_expansion` bytes in all, which bounds the memory of a
-malicious archive; runs beyond it are counted in `n_unscanned`, not dropped unseen. The first layer
-is always scanned whole.
+Nothing is judged by a sample of it. A run of base64 letters is tried from its start and behind every
+`/`, `_`, `-`, `+` in it, since a path may stand before it, and joined over line breaks; decoded bytes make a layer
+if any dozen of them in a row is printable, which every secret and every further wrapping needs;
+bytes that are no text stay in the layer as marks between its readable pieces. All members of an
+archive are read, and what a cut-off one still gives.
 
-Nulls: a null text is empty; ids may be null or repeat, every row is scanned by itself.
+An archive may grow a thousandfold, so its contents are scanned in windows of `window` bytes that
+overlap by a sixteenth: memory is bounded, nothing is skipped, and only a single wrapped run longer than the overlap
+that lies across a border of windows is seen in parts. `n_unscanned` counts archives that end early or break off.
+
+Nulls: a null text is empty; ids may be null or repeat, every row is scanned by itself. Columns of
+other names are not read; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
+from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,9 +48,14 @@ _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ESCAPES = re.compile(
     r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&#(?:x[0-9A-Fa-f]{1,6}|[0-9]{1,7});"
 )
-PACKED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/=_-])")
-_NOT_LETTERS = re.compile(r"[^a-z]|[A-Z]")
-MAX_EXPANSION = 64 << 20
+#: Letters of base64 in both alphabets, hex among them; a run goes on in the next line.
+PACKED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]+)*={0,2}")
+_BREAK = re.compile(r"[\x20\t]*\r?\n[\x20\t]*")
+_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9._~+-])+")
+_PRINTABLE = re.compile(rb"[\x20-\x7e\t\r\n]{12}")
+_HEX = re.compile(r"[0-9a-fA-F]{24,}")
+STEP = 1 << 16
+WINDOW = 64 << 20
 
 
 class Span(NamedTuple):
@@ -74,59 +89,92 @@ def _unescape(run: str) -> str | None:
         return None
 
 
-def _unzip(data: bytes, room: int) -> bytes | None:
-    """Decompressed gzip or zlib data; None if it is neither. Raises OverflowError beyond `room`."""
-    if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0):
-        unpack = zlib.decompressobj(47)
-        try:
-            out = unpack.decompress(data, room)
-        except zlib.error:
-            return None
-        if unpack.unconsumed_tail:
-            raise OverflowError
-        return out if unpack.eof else None
-    return None
+def _archive(data: bytes) -> bool:
+    return data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0)
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    bad = sum(not (c.isprintable() or c in "\t\n\r") for c in text[:4096])
-    return text if text and bad * 20 <= len(text[:4096]) else None
-
-
-def _unpack(run: str, room: int) -> str | None:
-    """A base64 (either alphabet) or hex run as text, decompressed if it holds an archive."""
-    tries = []
-    if len(run) % 2 == 0 and re.fullmatch(r"[0-9a-fA-F]+", run):
-        tries.append(bytes.fromhex(run))
-    body = run.rstrip("=").translate({45: 43, 95: 47})
-    if len(body) % 4 != 1:
-        try:
-            tries.append(base64.b64decode(body + "=" * (-len(body) % 4), validate=True))
-        except binascii.Error:
-            pass
-    for data in tries:
-        text = _readable(_unzip(data, room) or data)
-        if text is not None:
-            return text
-    return None
-
-
-def _might_be_packed(run: str) -> bool:
-    """Ordinary words are letters of one case; encoded bytes mix cases or digits."""
-    return _NOT_LETTERS.search(run, 1) is not None and not run.isupper()
-
-
-def scan(text: str | None, max_expansion: int = MAX_EXPANSION) -> dict:
+class _Cut(Exception):
+    """An archive that ends early or breaks off."""
+
+
+def _unzipped(data: bytes, window: int) -> Iterator[bytes]:
+    """Contents of gzip or zlib data, all members, in overlapping windows; _Cut at the end of a damaged one."""
+    kept = b""
+    while _archive(data):
+        unpack, at, step = zlib.decompressobj(47), 0, STEP
+        while not unpack.eof:
+            if at >= len(data):
+                yield kept
+                raise _Cut
+            before, piece = unpack.copy(), data[at : at + step]
+            try:
+                kept += unpack.decompress(piece, window - len(kept))
+            except zlib.error:
+                if step == 1:
+                    yield kept
+                    raise _Cut from None
+                unpack, step = before, 1  # go up to the broken place byte by byte
+                continue
+            at += len(piece) - len(unpack.unconsumed_tail) - len(unpack.unused_data)
+            if len(kept) >= window:
+                yield kept
+                kept = kept[-(window // 16) :]
+        data = data[at:]
+    yield kept
+
+
+def _contents(data: bytes, window: int) -> Iterator[str]:
+    """Layers that decoded bytes hold: the bytes themselves, or what they unpack to."""
+    for part in _unzipped(data, window) if _archive(data) else (data,):
+        if _PRINTABLE.search(part):
+            yield part.decode("utf-8", "replace")
+
+
+def _unpacked(run: str) -> Iterator[tuple[bytes, int, int]]:
+    """Bytes that a run may stand for, as hex and as base64, with their place in the run."""
+    lines, at = [], 0
+    for m in [*_BREAK.finditer(run), None]:
+        end = m.start() if m else len(run.rstrip("="))
+        lines.append((at, run[at:end]))
+        at = m.end() if m else end
+    # The line behind a block may be plain text, and lines may be runs of their own.
+    choices = [lines] if len(lines) == 1 else [lines, *([lines[:-1]] if len(lines) > 2 else []), *([x] for x in lines)]
+    for chosen in choices:
+        body = "".join(part for _, part in chosen)
+        if len(body) < 16:
+            continue
+        firsts = list(accumulate((len(part) for _, part in chosen), initial=0))
+        last = len(run) if chosen[-1] is lines[-1] else chosen[-1][0] + len(chosen[-1][1])
+
+        def place(i: int, chosen=chosen, firsts=firsts) -> int:
+            line = bisect_right(firsts, i) - 1
+            return chosen[line][0] + i - firsts[line]
+
+        for m in _HEX.finditer(body):
+            # A letter beside a hex run may be one of hex too, so both alignments are tried.
+            for cut in {0, len(m[0]) % 2}:
+                digits = m[0][cut : cut + len(m[0]) // 2 * 2]
+                yield bytes.fromhex(digits), place(m.start() + cut), place(m.start() + cut + len(digits) - 1) + 1
+        letters = body.translate({45: 43, 95: 47})
+        known: set[int] = set()
+        for start in [0, *(m.end() for m in re.finditer("[/+]", letters))]:
+            if len(letters) - start < 16:
+                break
+            # Later starts of one alignment give the same bytes, but an archive has to begin at its start.
+            if start % 4 not in known or _archive(base64.b64decode(letters[start : start + 4])):
+                known.add(start % 4)
+                whole, more = divmod(len(letters) - start, 4)
+                taken = letters[start:] + "=" * (4 - more) if more > 1 else letters[start : start + 4 * whole]
+                yield base64.b64decode(taken), place(start), last
+
+
+def scan(text: str | None, window: int = WINDOW) -> dict:
     """Base spans, all spans in code points of the text, the number of layers, and runs not decoded."""
     text = text or ""
     base = base_spans(text)
-    spans, seen, room, skipped = set(base), set(), max_expansion, 0
+    spans, seen, cut = set(base), set(), 0
     # (layer, place): place is the original span for a packed layer, or the map of an escape layer.
-    work: list[tuple[str, tuple[int, int] | tuple[list[int], list[int]] | None]] = [(text, None)]
+    work: list[tuple[str, tuple[int, int] | tuple[array, array] | None]] = [(text, None)]
     layers = 0
     while work:
         layer, place = work.pop()
@@ -143,26 +191,32 @@ def scan(text: str | None, max_expansion: int = MAX_EXPANSION) -> dict:
             for start, kind, end in base_spans(layer):
                 a, b = original(start, end)
                 spans.add(Span(a, kind, b))
+        found: list[tuple[bytes, tuple[int, int]]] = []
         # escapes: one new layer with all runs of the text replaced
         if "%" in layer or "\\" in layer or "&#" in layer:
-            parts, starts, ends, at, changed = [], [], [], 0, False
+            parts, starts, ends, at, changed = [], array("q"), array("q"), 0, False
             for m in ESCAPES.finditer(layer):
                 plain = _unescape(m[0])
                 if not plain:
+                    if m[0][0] in "%\\" and m[0][1] != "u":
+                        # Bytes that are no text: an archive perhaps, with its letters left as they are.
+                        whole = _PERCENT.match(layer, m.start()) if m[0][0] == "%" else m
+                        data = unquote_to_bytes(whole[0]) if m[0][0] == "%" else bytes.fromhex(m[0].replace("\\x", ""))
+                        found.append((data, original(*whole.span())))
                     continue
                 changed = True
                 for lo, hi, piece in ((at, m.start(), layer[at : m.start()]), (m.start(), m.end(), plain)):
                     parts.append(piece)
                     if piece is plain:
                         a, b = original(lo, hi)
-                        starts += [a] * len(piece)
-                        ends += [b] * len(piece)
+                        starts.extend([a] * len(piece))
+                        ends.extend([b] * len(piece))
                     elif place is None:
-                        starts += range(lo, hi)
-                        ends += range(lo + 1, hi + 1)
+                        starts.extend(range(lo, hi))
+                        ends.extend(range(lo + 1, hi + 1))
                     elif isinstance(place[0], int):
-                        starts += [place[0]] * len(piece)
-                        ends += [place[1]] * len(piece)
+                        starts.extend([place[0]] * len(piece))
+                        ends.extend([place[1]] * len(piece))
                     else:
                         starts += place[0][lo:hi]
                         ends += place[1][lo:hi]
@@ -173,40 +227,28 @@ def scan(text: str | None, max_expansion: int = MAX_EXPANSION) -> dict:
                     a, b = original(lo, lo + 1)
                     starts.append(a)
                     ends.append(b)
-                room, ok = _admit("".join([*parts, rest]), seen, room)
-                if ok is None:
-                    skipped += 1
-                elif ok:
-                    work.append(("".join([*parts, rest]), (starts, ends)))
+                whole = "".join([*parts, rest])
+                if _is_new(whole, seen):
+                    work.append((whole, (starts, ends)))
         # packed runs: a layer each
         for m in PACKED.finditer(layer):
-            if not _might_be_packed(m[0]):
-                continue
+            found += [(data, original(m.start() + lo, m.start() + hi)) for data, lo, hi in _unpacked(m[0])]
+        for data, span in found:
             try:
-                plain = _unpack(m[0], max(room, 1))
-            except OverflowError:
-                skipped += 1
-                continue
-            if plain is None:
-                continue
-            room, ok = _admit(f"{original(*m.span())}\n{plain}", seen, room, len(plain))
-            if ok is None:
-                skipped += 1
-            elif ok:
-                work.append((plain, original(*m.span())))
-    return {"base": base, "spans": sorted(spans), "layers": layers, "unscanned": skipped}
+                for plain in _contents(data, window):
+                    if _is_new(f"{span}\n{plain}", seen):
+                        work.append((plain, span))
+            except _Cut:
+                cut += 1
+    return {"base": base, "spans": sorted(spans), "layers": layers, "unscanned": cut}
 
 
-def _admit(content: str, seen: set[bytes], room: int, size: int | None = None) -> tuple[int, bool | None]:
-    """Room left, and whether the layer is new (None: no room for it)."""
+def _is_new(content: str, seen: set[bytes]) -> bool:
     digest = hashlib.blake2b(content.encode("utf-8", "surrogatepass"), digest_size=16).digest()
     if digest in seen:
-        return room, False
-    size = len(content) if size is None else size
-    if size > room:
-        return room, None
+        return False
     seen.add(digest)
-    return room - size, True
+    return True
 
 
 def written(spans: list[Span]) -> str:
@@ -219,12 +261,12 @@ RESULT = (
 )
 
 
-def _scanner(max_expansion: int):
+def _scanner(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {n: [] for n in ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_layers", "n_unscanned")}
             for value in batch.column(1):
-                found = scan(value.as_py(), max_expansion)
+                found = scan(value.as_py(), window)
                 for kind, name in enumerate(("n_assign", "n_access", "n_hex")):
                     out[name].append(sum(s.kind == kind for s in found["base"]))
                 out["base_sha256"].append(hashlib.sha256(written(found["base"]).encode()).hexdigest())
@@ -236,7 +278,7 @@ def _scanner(max_expansion: int):
     return run
 
 
-def scan_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_expansion: int = MAX_EXPANSION) -> DataFrame:
+def scan_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """One row per document with counts and spans; narrow, nothing is shuffled."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(doc_id, text).mapInArrow(_scanner(max_expansion), RESULT.format(id=kind))
+    return docs.select(doc_id, text).mapInArrow(_scanner(window), RESULT.format(id=kind))

@@ -118,10 +118,70 @@ def test_wrapped_secrets(wrap):
     assert not [s for s in found["base"] if s.kind == 0] and found["unscanned"] == 0
 
 
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+WRAPS = {
+    "percent": lambda s, r: urllib.parse.quote(s, safe=""),
+    "percent all": lambda s, r: "".join(f"%{b:02x}" for b in s.encode()),
+    "unicode": lambda s, r: "".join(f"\\u{ord(c):04X}" for c in s),
+    "bytes": lambda s, r: "".join(f"\\x{b:02x}" for b in s.encode()),
+    "references": lambda s, r: "".join(r.choice([f"&#{ord(c)};", f"&#x{ord(c):x};"]) for c in s),
+    "base64": lambda s, r: b64(s.encode()),
+    "base64 for urls": lambda s, r: base64.urlsafe_b64encode(s.encode()).decode().rstrip("="),
+    "base64 in lines": lambda s, r: "\n".join(re.findall(".{1,64}", b64(s.encode()))),
+    "base64 in windows lines": lambda s, r: "\r\n".join(re.findall(".{1,20}", b64(s.encode()))),
+    "path": lambda s, r: f"https://example.com/d/{'x' * r.randrange(4)}/{b64(s.encode())}",
+    "hex": lambda s, r: s.encode().hex(),
+    "hex in capitals": lambda s, r: s.encode().hex().upper(),
+    "gzip": lambda s, r: b64(gzip.compress(s.encode())),
+    "zlib": lambda s, r: b64(zlib.compress(s.encode(), r.randint(1, 9))),
+    "second member": lambda s, r: b64(gzip.compress(b"nothing here") + gzip.compress(s.encode())),
+    "gzip in hex": lambda s, r: gzip.compress(s.encode()).hex(),
+    "gzip in percents": lambda s, r: urllib.parse.quote_from_bytes(gzip.compress(s.encode()), safe=""),
+    "zlib in bytes": lambda s, r: "".join(f"\\x{b:02x}" for b in zlib.compress(s.encode())),
+    "among control characters": lambda s, r: b64(bytes(r.randrange(32) for _ in range(6000)) + s.encode() + b"\xff\xfe"),
+}
+
+
+@pytest.mark.parametrize("outer", sorted(WRAPS))
+def test_nested_wrappings(outer):
+    """Random wrappings within wrappings: the secret is reported inside the outermost run."""
+    rng = random.Random(outer)
+    for _ in range(25):
+        # Real prose stands around every layer, as around the text itself.
+        inner = SECRET
+        names = rng.choices(sorted(WRAPS), k=rng.randint(0, 3))
+        for name in names:
+            inner = f"say {WRAPS[name](inner, rng)} now"
+        run = WRAPS[outer](inner, rng)
+        text = f"Zwölf words before\n{run}\nand after it."
+        found = secrets.scan(text)
+        start = text.index(run)
+        assert [s for s in found["spans"] if s.kind == 0 and start <= s.start < s.end <= start + len(run)], (outer, names)
+        # The word in the next line may belong to a run, so a second span may take it in.
+        end = start + len(run) + len("\nand")
+        assert not [s for s in found["spans"] if s.kind == 0 and not start <= s.start < s.end <= end], (outer, names)
+
+
+def test_cut_archives_are_counted_and_read():
+    noise = "".join(random.Random(2).choices("abcdefghij ", k=4000))
+    data = gzip.compress(f"{SECRET} {noise}".encode())
+    for broken in (data[:-200], data[:900] + b"\x00" * 40 + data[940:], data[:-6] + b"xxxxxx"):
+        found = secrets.scan(b64(broken))
+        assert found["unscanned"] == 1 and [s for s in found["spans"] if s.kind == 0]
+
+
 def test_cycles_and_bombs_end():
     assert secrets.scan("%2525252541" * 50)["layers"] < 10
     bomb = base64.b64encode(zlib.compress(b"a" * 5_000_000)).decode()
-    assert secrets.scan(bomb, max_expansion=1000)["unscanned"] == 1
+    assert secrets.scan(bomb, window=4096)["unscanned"] == 0
+    inside = zlib.compress(b"a" * 5_000_000 + b" " + SECRET.encode() + b" " + b"b" * 5_000_000)
+    text = base64.b64encode(inside).decode()
+    for window in (1 << 12, 1 << 16, 1 << 26):
+        found = secrets.scan(text, window=window)
+        assert (0, 0, len(text)) in [(s.start, s.kind, s.end) for s in found["spans"]]
     assert secrets.scan(None) == {"base": [], "spans": [], "layers": 1, "unscanned": 0}
 
 
