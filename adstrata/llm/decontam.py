@@ -1,22 +1,30 @@
 """Benchmark decontamination with an Aho-Corasick automaton over all test items.
 
-The windows of the benchmark (`window` consecutive words of an item, or the whole item if it has
-fewer) are normalised and put into one automaton, which every task builds for itself and runs once
-over each normalised text. Word numbers of the hits map back to code points of the original text.
-
-The benchmark is shipped in automata of at most `shard_bytes` of text each: it is cut into ranges by
-item id, one pass per range, and the hits of a document are merged afterwards. A benchmark below the
-bound, which is measured first, takes one pass without any shuffle.
+Items are normalised to words, and every word of an item enters the automaton once: items are cut
+into blocks of half a window, and since each window of `window` consecutive words holds a whole block,
+a text that has a window meets a block of it in the one scan. A met block is extended word by word
+along its item in both directions; a match of `window` words or more is the union of the windows in
+it. Items with fewer words are patterns as a whole. Word numbers of the matches map back to code
+points of the original text. Words are spelled as three letters of three small alphabets, which keeps
+the automaton's nodes few and its matches aligned.
+
+Every task builds the automaton for itself. A benchmark above `shard_bytes` of text is cut into ranges by a hash of
+the item id, each with an automaton of its own; the table then passes through them one after the other,
+written to the shared folder in between, and each pass adds to what a row has found so far. Rows are
+never grouped, so repeated and null ids need no care, and results are the same for any `shard_bytes`.
+About 30 bytes of memory a task go with each byte of the benchmark, and the driver holds one range at a time.
 
 Nulls: a null text has no words; an item without words has no window; a null item id is written as
 the empty string. Repeated items count once per id. Documents keep their row each, also repeated ones
-and those of null id. An empty benchmark marks nothing; an empty table gives no row.
+and those of null id. An empty benchmark marks nothing; an empty table gives no row. Columns of other
+names pass through `find_items` and `clean`.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,10 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RAW_WORD, words_of
+from .common import RAW_WORD, stored, words_of
 
 WINDOW = 10
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 16 << 20
+#: Letters that spell the numbers of words, three a word, from alphabets that share none.
+_BASE = 96
+_UNKNOWN = "\x00\x00\x00"
 FOUND = (
     "n_words long, words array<struct<first:int,end:int>>, items array<string>,"
     " spans array<struct<start:int,end:int>>"
@@ -40,78 +51,110 @@ _TYPE = pa.struct([
 ])
 
 
-def windows_of(text: str | None, window: int = WINDOW) -> set[tuple[str, int]]:
-    """Windows of an item as texts with one blank around each word, and their number of words."""
-    words = [w.decode("utf-8", "surrogatepass") for w in words_of(text)]
-    size = min(window, len(words))
-    return {(f" {' '.join(words[i : i + size])} ", size) for i in range(len(words) - size + 1) if size}
-
-
-def automaton(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> ahocorasick.Automaton | None:
-    owners: dict[tuple[str, int], set[str]] = {}
-    for item_id, text in items:
-        for found in windows_of(text, window):
-            owners.setdefault(found, set()).add("" if item_id is None else str(item_id))
-    if not owners:
-        return None
-    machine = ahocorasick.Automaton()
-    for (pattern, size), ids in owners.items():
-        machine.add_word(pattern, (len(pattern), size, tuple(sorted(ids))))
-    machine.make_automaton()
-    return machine
-
-
-def scan_text(machine: ahocorasick.Automaton | None, text: str | None, with_spans: bool = False) -> dict:
-    """Words, runs of hit words (end exclusive), items, and the runs' code points in the text."""
+def _spelled(number: int) -> str:
+    if number >= _BASE**3:
+        raise ValueError("too many different words for one automaton; lower shard_bytes")
+    return chr(0x100 + number % _BASE) + chr(0x200 + number // _BASE % _BASE) + chr(0x300 + number // _BASE**2)
+
+
+class Index:
+    """The automaton over blocks of items, and the items to extend them along."""
+
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
+        self.window, self.block = window, (window + 1) // 2
+        self.numbers: dict[bytes, int] = {}
+        owners: dict[tuple[int, ...], set[str]] = {}
+        for item_id, text in items:
+            words = tuple(self.numbers.setdefault(w, len(self.numbers)) for w in words_of(text))
+            if words:
+                owners.setdefault(words, set()).add("" if item_id is None else str(item_id))
+        self.spelling = {w: _spelled(n) for w, n in self.numbers.items()}
+        letters = list(self.spelling.values())
+        self.items = [array("I", words) for words in owners]
+        self.owners = [sorted(ids) for ids in owners.values()]
+        places: dict[str, list[tuple[int, int]]] = {}
+        for i, words in enumerate(self.items):
+            size = self.block if len(words) >= window else len(words)
+            for at in range(0, len(words) - size + 1, size):
+                places.setdefault("".join(letters[n] for n in words[at : at + size]), []).append((i, at))
+        self.machine = ahocorasick.Automaton()
+        for pattern, found in places.items():
+            self.machine.add_word(pattern, (len(pattern) // 3, found))
+        if places:
+            self.machine.make_automaton()
+        self.empty = not places
+
+    def matches(self, words: list[bytes]) -> Iterator[tuple[int, int, int]]:
+        """(item, first word, end) of the maximal matches that hold a window."""
+        if self.empty or not words:
+            return
+        spelled = self.spelling
+        known = [spelled.get(w, _UNKNOWN) for w in words]
+        numbers, reached = None, {}
+        for last, (size, places) in self.machine.iter("".join(known)):
+            at = last // 3 + 1 - size
+            if numbers is None:
+                numbers = [self.numbers.get(w, -1) for w in words]
+            for item, place in places:
+                body = self.items[item]
+                if len(body) < self.window:
+                    yield item, at, at + size
+                    continue
+                # One extension serves all blocks of a match, which lie on one diagonal.
+                if reached.get((item, at - place), -1) > at:
+                    continue
+                first, end = at, at + size
+                while first > 0 and first - at + place > 0 and numbers[first - 1] == body[first - 1 - at + place]:
+                    first -= 1
+                while end < len(numbers) and end - at + place < len(body) and numbers[end] == body[end - at + place]:
+                    end += 1
+                reached[item, at - place] = end
+                if end - first >= self.window:
+                    yield item, first, end
+
+
+def scan_text(index: Index, text: str | None, with_spans: bool = False, before: dict | None = None) -> dict:
+    """Words, runs of hit words (end exclusive), items, and the runs' code points in the text; with what
+    another index found in it before."""
     words = words_of(text)
-    found = {"n_words": len(words), "words": [], "items": [], "spans": []}
-    if machine is None or not words:
-        return found
-    plain = f" {b' '.join(words).decode('utf-8', 'surrogatepass')} "
-    hits, items = [], set()
-    for last, (length, size, ids) in machine.iter(plain):
-        hits.append((last - length + 1, size))
-        items.update(ids)
-    if not hits:
-        return found
-    # Hits come by their end; count blanks up to each start in order.
+    hits = {(r["first"], r["end"]) for r in before["words"]} if before else set()
+    items = set(before["items"]) if before else set()
+    for item, first, end in index.matches(words):
+        hits.add((first, end))
+        items.update(index.owners[item])
     runs: list[list[int]] = []
-    at = blanks = 0
-    for start, size in sorted(set(hits)):
-        blanks += plain.count(" ", at, start)
-        at = start
-        if runs and blanks <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], blanks + size)
+    for first, end in sorted(hits):
+        if runs and first <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], end)
         else:
-            runs.append([blanks, blanks + size])
-    found["words"] = [{"first": a, "end": b} for a, b in runs]
-    found["items"] = sorted(items)
-    if with_spans:
+            runs.append([first, end])
+    found = {"n_words": len(words), "words": [{"first": a, "end": b} for a, b in runs], "items": sorted(items), "spans": []}
+    if with_spans and runs:
         places = [m.span() for m in RAW_WORD.finditer(text)]
         found["spans"] = [{"start": places[a][0], "end": places[b - 1][1]} for a, b in runs]
     return found
 
 
-def _scanner(items: list, window: int, with_spans: bool, text_at: int):
+def _scanner(items: list, window: int, text: str, again: bool, drop: list[str], with_spans: bool):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(items, window)
+        index = Index(items, window)
         for batch in batches:
-            found = [scan_text(machine, t.as_py(), with_spans) for t in batch.column(text_at)]
-            columns = [c for i, c in enumerate(batch.columns) if i != text_at or with_spans]
-            names = [n for i, n in enumerate(batch.schema.names) if i != text_at or with_spans]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, _TYPE)], [*names, "__found"])
+            earlier = batch.column("__found").to_pylist() if again else [None] * batch.num_rows
+            found = [scan_text(index, t.as_py(), with_spans, f) for t, f in zip(batch.column(text), earlier, strict=True)]
+            kept = [n for n in batch.schema.names if n != "__found" and n not in drop]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(found, _TYPE)], [*kept, "__found"])
 
     return scan
 
 
-def _shards(benchmark: DataFrame, item_id: str, text: str, shard_bytes: int) -> Iterator[list]:
-    """The items in lists of bounded size; ranges of the hashed id decide who goes where."""
+def _shards(benchmark: DataFrame, item_id: str, text: str, shard_bytes: int) -> Iterator[tuple[list, bool]]:
+    """The items in lists of bounded size, and whether it is the last; a hash of the id decides who goes where."""
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null")
     size = items.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = -(-size // shard_bytes) or 1
     for shard in range(n):
-        part = items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == shard) if n > 1 else items
-        yield [(r["i"], r["t"]) for r in part.collect()]
+        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == shard) if n > 1 else items
+        yield [(r["i"], r["t"]) for r in part.collect()], shard == n - 1
 
 
 def find_items(
@@ -119,34 +162,19 @@ def find_items(
     window: int = WINDOW, with_spans: bool = True, shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """The given rows (without the text unless spans are asked for) and a struct `__found`."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text or with_spans)
-    text_at = docs.columns.index(text)
-    parts = [
-        docs.mapInArrow(_scanner(items, window, with_spans, text_at), f"{schema}, __found struct<{_struct(FOUND)}>")
-        for items in _shards(benchmark, item_id, item_text, shard_bytes)
-    ]
-    if len(parts) == 1:
-        return parts[0]
-    # Several automata: merge what each found in a row. Repeated rows are told apart by a number.
-    raise_on = [c for c in docs.columns if c != text]
-    merged = parts[0].withColumn("_part", F.lit(0))
-    for i, part in enumerate(parts[1:], 1):
-        merged = merged.unionByName(part.withColumn("_part", F.lit(i)))
-    keys = [*raise_on, *([text] if with_spans else [])]
-    copies = F.count("*") / len(parts)
-    return (
-        merged.groupBy(*keys, F.col("__found.n_words").alias("_n"))
-        .agg(
-            copies.cast("int").alias("_copies"),
-            F.flatten(F.collect_list("__found.words")).alias("_w"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("__found.items")))).alias("_i"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("__found.spans")))).alias("_s"),
+    for items, is_last in _shards(benchmark, item_id, item_text, shard_bytes):
+        again = "__found" in docs.columns
+        drop = [text] if is_last and not with_spans else []
+        schema = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "__found" and f.name not in drop
         )
-        .select(*keys, F.named_struct(F.lit("n_words"), F.col("_n"), F.lit("words"), F.array_sort(F.array_distinct("_w")),
-                                      F.lit("items"), F.col("_i"), F.lit("spans"), F.col("_s")).alias("__found"),
-                F.explode(F.array_repeat(F.lit(1), F.col("_copies"))).alias("_c"))
-        .drop("_c")
-    )
+        docs = docs.mapInArrow(
+            _scanner(items, window, text, again, drop, with_spans and is_last),
+            f"{schema + ', ' if schema else ''}__found struct<{_struct(FOUND)}>",
+        )
+        if not is_last:
+            docs = stored(docs, "decontam")
+    return docs
 
 
 def _struct(fields: str) -> str:
@@ -154,16 +182,8 @@ def _struct(fields: str) -> str:
 
 
 def n_hit(words: F.Column) -> F.Column:
-    """Words in the union of the runs (runs of several automata may overlap)."""
-    step = F.aggregate(
-        F.array_sort(words),
-        F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
-        lambda a, r: F.struct(
-            F.greatest(a["end"], r["end"]).alias("end"),
-            (a["n"] + F.greatest(r["end"] - F.greatest(a["end"], r["first"]), F.lit(0))).alias("n"),
-        ),
-    )
-    return step["n"].cast("long")
+    """Words in the runs, which do not overlap."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, r: a + (r["end"] - r["first"]))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

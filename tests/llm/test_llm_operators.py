@@ -334,10 +334,36 @@ def test_decontamination(spark, shard_bytes):
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == sorted((e[0] or -1) for e in expected if not e[5])
 
 
+def test_shards_agree_on_repeated_and_null_ids(spark):
+    rng = random.Random(3)
+    items = [(i % 7, " ".join(rng.choices(WORDS, k=12))) for i in range(20)]
+    clean = " ".join(f"clean{i}" for i in range(12))
+    rows = [(i, t) for i in (1, None) for t in (items[0][1], clean, items[0][1], items[4][1])] * 2
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, items string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    results = [
+        sorted(map(tuple, decontam.report(docs, bench, shard_bytes=b).collect()), key=str) for b in (1 << 20, 300, 100)
+    ]
+    assert results[0] == results[1] == results[2] and sum(r[-1] for r in results[0]) == 12
+    assert [decontam.clean(docs, bench, shard_bytes=b).count() for b in (1 << 20, 100)] == [4, 4]
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 9, 10])
+def test_windows_by_brute_force(window):
+    rng = random.Random(window)
+    few = WORDS[:3]  # repeated words make matches overlap on many diagonals
+    for _ in range(150):
+        items = [(i, " ".join(rng.choices(few, k=rng.randint(0, 16)))) for i in range(4)]
+        text = " ".join(rng.choices([*few, "other"], k=rng.randint(0, 40)))
+        found = decontam.scan_text(decontam.Index(items, window), text)
+        n, hits, ids = brute_hits(text, items, window)
+        assert (found["n_words"], sum(r["end"] - r["first"] for r in found["words"]), found["items"]) == (n, hits, ids)
+
+
 def test_spans_point_into_the_text():
-    machine = decontam.automaton([(1, "one two three")])
+    index = decontam.Index([(1, "one two three")])
     text = "É one, TWO -- three! and one two three"
-    found = decontam.scan_text(machine, text, True)
+    found = decontam.scan_text(index, text, True)
     assert [text[s["start"] : s["end"]] for s in found["spans"]] == ["one, TWO -- three", "one two three"]
 
 
