@@ -12,7 +12,8 @@ committed manifest count, so a lost executor or a second attempt leaves no half
 
 Nulls: a null payload is empty, a null url is left out, a null id is kept and comes after all
 others when the smallest is sought. Repeated ids are separate records; rows that repeat both the
-smallest id and its payload are all responses. An empty table gives no archive and no record.
+smallest id and its payload are all responses. An empty table gives no archive and no record. Damaged
+places of an archive raise an error or come as rows, see `read_archives`.
 """
 
 from __future__ import annotations
@@ -158,31 +159,42 @@ def _page(value: bytes | None) -> int | None:
     return int(found[1]) if found else None
 
 
-def _decode(file, start: int) -> tuple[bytes, int] | None:
-    """The member that starts there and the offset behind it; None if it is not a WARC record."""
-    unpack, file_at, parts, believed = zlib.decompressobj(31), start, [], False
+class Damage(ValueError):
+    """A place of an archive where a record has to start and none can be read."""
+
+
+def _begins(file, at: int) -> bool:
+    """Whether a member that holds a WARC record begins there."""
+    file.seek(at)
+    head, unpack, parts = file.read(4096), zlib.decompressobj(31), b""
+    if not head.startswith(MAGIC):
+        return False
+    try:
+        parts = unpack.decompress(head, 4096)
+    except zlib.error:
+        return False
+    return parts.startswith(VERSION)
+
+
+def _decode(file, start: int) -> tuple[bytes, int]:
+    """The record that begins there and the offset behind its member."""
+    unpack, file_at, parts = zlib.decompressobj(31), start, []
     file.seek(start)
     while not unpack.eof:
-        data = file.read(STEP if believed else 4096)
+        data = file.read(STEP)
         if not data:
-            return None
+            raise Damage("the record ends early")
         file_at += len(data)
         try:
             parts.append(unpack.decompress(data))
-        except zlib.error:
-            return None
-        if not believed:
-            head = b"".join(parts)
-            if len(head) >= len(VERSION) or unpack.eof:
-                if not head.startswith(VERSION):
-                    return None
-                believed = True
+        except zlib.error as broken:
+            raise Damage(f"the record cannot be decoded: {broken}") from None
     return b"".join(parts), file_at - len(unpack.unused_data)
 
 
-def records_of_range(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, decoded record) of the records that start in [start, end)."""
-    at, base, block = start, start, b""
+def _find(file, at: int, end: int) -> int | None:
+    """The first record that begins in [at, end)."""
+    base, block = at, b""
     while at < end:
         if not base <= at < base + len(block) - 2:
             file.seek(at)
@@ -193,46 +205,91 @@ def records_of_range(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
             continue
         at = base + found
         if at >= end:
-            return
-        decoded = _decode(file, at)
-        if decoded is None:
-            at += 1
+            return None
+        if _begins(file, at):
+            return at
+        at += 1
+    return None
+
+
+def records_of_range(file, start: int, end: int, size: int, report: bool = False) -> Iterator[tuple[int, bytes | None]]:
+    """(offset, decoded record) of the records that start in [start, end) of a file of `size` bytes.
+
+    Members follow each other without gaps, so whoever reads a record also sees to it that one begins
+    behind it (or the file ends there), and the first range sees to the file's beginning. Where that fails, or a
+    record that has begun cannot be decoded, Damage is raised, or with `report` (offset, None) is
+    given and reading goes on with the next record that begins behind.
+    """
+
+    def damaged(at: int, what: str) -> tuple[int, None]:
+        if not report:
+            raise Damage(f"at {at}: {what}")
+        return at, None
+
+    if start == 0 < end and size and not _begins(file, 0):
+        yield damaged(0, "no record begins there")
+    at = _find(file, start, end)
+    while at is not None and at < end:
+        try:
+            record, behind = _decode(file, at)
+        except Damage as broken:
+            yield damaged(at, str(broken))
+            at = _find(file, at + 1, end)
             continue
-        yield at, decoded[0]
-        at = decoded[1]
+        yield at, record
+        if behind < size and not _begins(file, behind):
+            yield damaged(behind, "no record begins there")
+            behind = _find(file, behind + 1, end)
+        at = behind
+
+
+def _row(record: bytes, with_payload: bool, where: tuple) -> tuple:
+    head, _, rest = record.partition(b"\r\n\r\n")
+    fields = _fields(head)
+    block = rest[: int(fields[b"Content-Length"])]
+    kind, payload = fields[b"WARC-Type"].decode(), None
+    digest = fields[b"WARC-Payload-Digest"].decode().removeprefix("sha256:")
+    length = int(fields[b"WARC-Payload-Length"])
+    if kind == "response":
+        payload = block.partition(b"\r\n\r\n")[2]
+        if len(payload) != length or hashlib.sha256(payload).hexdigest() != digest:
+            raise Damage("the payload does not match its digest")
+    url = fields.get(b"WARC-Target-URI")
+    if url is not None:
+        url = re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), url.decode("utf-8", "surrogatepass"))
+    return (
+        _page(fields.get(b"WARC-Record-ID")), url, kind, length, digest, _page(fields.get(b"WARC-Refers-To")),
+        payload if with_payload else None, *where,
+    )
 
 
-def _reader(with_payload: bool, batch_bytes: int = 8 << 20):
+def _reader(with_payload: bool, report: bool, batch_bytes: int = 8 << 20):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ranges in batches:
-            for path, start, end in zip(ranges["path"], ranges["start"], ranges["end"], strict=True):
+            for path, start, end, length in zip(*(ranges[c] for c in ("path", "start", "end", "length")), strict=True):
                 store, name = fs.FileSystem.from_uri(path)
-                rows, size = [], 0
+                rows, held = [], 0
+                lost = lambda at, path=path: (None, None, "damaged", None, None, None, None, path, at)
                 with store.open_input_file(name) as file:
-                    for offset, record in records_of_range(file, int(start), int(end)):
-                        head, _, rest = record.partition(b"\r\n\r\n")
-                        fields = _fields(head)
-                        block = rest[: int(fields[b"Content-Length"])]
-                        kind, payload = fields[b"WARC-Type"].decode(), None
-                        digest = fields[b"WARC-Payload-Digest"].decode().removeprefix("sha256:")
-                        length = int(fields[b"WARC-Payload-Length"])
-                        if kind == "response":
-                            payload = block.partition(b"\r\n\r\n")[2]
-                            if len(payload) != length or hashlib.sha256(payload).hexdigest() != digest:
-                                raise ValueError(f"{path} at {offset}: the payload does not match its digest")
-                        url = fields.get(b"WARC-Target-URI")
-                        if url is not None:
-                            url = re.sub(
-                                r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), url.decode("utf-8", "surrogatepass")
-                            )
-                        rows.append(
-                            (_page(fields.get(b"WARC-Record-ID")), url, kind, length, digest,
-                             _page(fields.get(b"WARC-Refers-To")), payload if with_payload else None, path, offset)
-                        )
-                        size += len(record) if with_payload else 300
-                        if size >= batch_bytes:
-                            yield _frame(rows)
-                            rows, size = [], 0
+                    size = file.size()
+                    if size != length and end == length:
+                        if not report:
+                            raise Damage(f"{path} has {size} bytes, not {length}")
+                        rows.append(lost(min(size, length)))
+                    try:
+                        for offset, record in records_of_range(file, int(start), int(min(end, size)), size, report):
+                            try:
+                                rows.append(lost(offset) if record is None else _row(record, with_payload, (path, offset)))
+                            except (Damage, KeyError, ValueError) as broken:
+                                if not report:
+                                    raise Damage(f"at {offset}: {broken}") from None
+                                rows.append(lost(offset))
+                            held += len(record or b"") if with_payload else 300
+                            if held >= batch_bytes:
+                                yield _frame(rows)
+                                rows, held = [], 0
+                    except Damage as broken:
+                        raise Damage(f"{path} {broken}") from None
                 yield _frame(rows)
 
     return read
@@ -244,9 +301,17 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return frame.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64", "offset": "Int64"})
 
 
-def read_archives(manifest: DataFrame, split_bytes: int = 8 << 20, with_payload: bool = True) -> DataFrame:
-    """All records of the files (path, length), read by byte ranges of `split_bytes`."""
+def read_archives(
+    manifest: DataFrame, split_bytes: int = 8 << 20, with_payload: bool = True, damage: str = "raise"
+) -> DataFrame:
+    """All records of the files (path, length), read by byte ranges of `split_bytes`.
+
+    A place where a record should be and cannot be read, and a file whose length is not the manifest's, raise an
+    error; with `damage="report"` each is a row of record_type `damaged` with its path and offset.
+    """
+    if damage not in ("raise", "report"):
+        raise ValueError(f"damage must be raise or report, not {damage!r}")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
     ranges = manifest.where("length > 0").select("path", "length", F.explode(starts).alias("start"))
-    ranges = ranges.select("path", "start", F.least(F.col("length"), F.col("start") + split_bytes).alias("end"))
-    return ranges.repartition("path", "start").mapInPandas(_reader(with_payload), RECORDS)
+    ranges = ranges.select("path", "start", F.least(F.col("length"), F.col("start") + split_bytes).alias("end"), "length")
+    return ranges.repartition("path", "start").mapInPandas(_reader(with_payload, damage == "report"), RECORDS)
