@@ -25,14 +25,15 @@ WORDS = [f"w{i}" for i in range(60)]
 
 
 def brute_top(rows, k, asked):
+    """Row by row: a query leaves out its own row only."""
     good = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
             good.append((i, [math.floor(64 * x) for x in v]))
     out = []
-    for q, v in good:
+    for at, (q, v) in enumerate(good):
         if asked(q):
-            hits = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in good if i != q and len(w) == len(v))
+            hits = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for n, (i, w) in enumerate(good) if n != at and len(w) == len(v))
             out += [(q, r, i, -s) for r, (s, i) in enumerate(hits[:k], 1)]
     return sorted(out)
 
@@ -43,6 +44,7 @@ def test_top_k(spark, options):
     centres = rng.normal(0, 3, (4, 6))
     rows = [(i, (centres[i % 4] + rng.normal(0, 0.1, 6)).tolist()) for i in range(160)]
     rows += [(200 + i, rows[0][1]) for i in range(30)]  # ties
+    rows += rows[:6] + [(4, rows[9][1]), (4, rows[70][1])] + [(250, rows[1][1])] * 40  # repeated ids, equal vectors or not
     rows += [(300, None), (301, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (302, [float("nan")] * 6), (304, [float("inf")] * 6),
              (None, rows[3][1]), (306, [1.0, 2.0]), (308, [2.0, 2.0]), (310, [])]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, dim int")
@@ -50,6 +52,23 @@ def test_top_k(spark, options):
     assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 5, lambda i: i % 2 == 0)
 
 
+@pytest.mark.parametrize("size", [1e3, 1e5, 1e7])
+def test_top_k_of_large_components(spark, size):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(0, 1, 3) * size).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 3 == 0, 4, block_rows=16, query_rows=8)
+    assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 4, lambda i: i % 3 == 0)
+
+
+def test_top_k_beyond_64_bits(spark):
+    df = spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(df, F.col("vec_id") % 2 == 0).collect()
+    small = spark.createDataFrame([(0, [1e9]), (1, [2.0])], "vec_id long, embedding array<double>")
+    assert topk.top_k(small, F.col("vec_id") % 2 == 0).first()["score"] == 64 * 10**9 * 128
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 2 == 0).count() == 0
@@ -283,8 +302,53 @@ def test_warc_scan_skips_false_magic():
     noise = warc.MAGIC + b"no member" + gzip.compress(b"not a record")
     data = noise + record + warc.MAGIC + record
     for cut in range(0, len(data), 7):
-        found = [o for a, b in ((0, cut), (cut, len(data))) for o, _ in warc.records_of_range(io.BytesIO(data), a, b)]
-        assert found == [len(noise), len(noise) + len(record) + 3]
+        read = [x for a, b in ((0, cut), (cut, len(data))) for x in warc.records_of_range(io.BytesIO(data), a, b, len(data), True)]
+        assert [o for o, r in read if r is not None] == [len(noise), len(noise) + len(record) + 3]
+        assert [o for o, r in read if r is None] == [0, len(noise) + len(record)]
+
+
+def test_warc_tells_damage():
+    records = [warc._member(warc._record("response", i, "u", "d", 500, warc.HTTP + bytes(random.Random(i).randbytes(500)))) for i in range(6)]
+    data, starts = b"".join(records), list(itertools.accumulate(map(len, records), initial=0))[:-1]
+    kinds = {
+        "inside": (starts[3] + 300, b"\0" * 8), "header": (starts[3], b"\0" * 8), "first": (0, b"\0" * 4), "checksum": (starts[4] - 7, b"\1\2"),
+    }
+    for name, (at, zeros) in kinds.items():
+        broken = data[:at] + zeros + data[at + len(zeros):]
+        lost = 0 if name == "first" else 3
+        for cut in range(1, len(data), 41):
+            read = lambda report, cut=cut, broken=broken: [
+                x for a, b in ((0, cut), (cut, len(data))) for x in warc.records_of_range(io.BytesIO(broken), a, b, len(data), report)
+            ]
+            got = read(True)
+            assert [o for o, r in got if r is not None] == [s for i, s in enumerate(starts) if i != lost], (name, cut)
+            assert [o for o, r in got if r is None] == [starts[lost]]
+            with pytest.raises(warc.Damage):
+                read(False)
+    cut_off = data[: starts[5] + 200]
+    got = list(warc.records_of_range(io.BytesIO(cut_off), 0, len(cut_off), len(cut_off), True))
+    assert [o for o, r in got if r is None] == [starts[5]] and len(got) == 6
+
+
+def test_warc_files_against_their_manifest(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"page {i} " * 40) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    manifest = warc.write_archives(df, folder=f"file://{tmp_path}/archive")
+    entry = manifest.first()
+    name = entry["path"].removeprefix("file://")
+    data = open(name, "rb").read()
+    whole = {r["offset"]: r["page_id"] for r in warc.read_archives(manifest).collect()}
+    offsets = sorted(whole)
+    for broken, lost in ((data[: offsets[-1]], {offsets[-1]}), (data[: offsets[9] + 20] + b"\0" * 8 + data[offsets[9] + 28 :], {offsets[9]})):
+        with open(name, "wb") as file:
+            file.write(broken)
+        for split in (100, 1 << 20):
+            got = warc.read_archives(manifest, split_bytes=split, damage="report").collect()
+            good = [r["page_id"] for r in got if r["record_type"] != "damaged"]
+            assert sorted(good) == sorted(p for o, p in whole.items() if o not in lost)
+            assert {r["offset"] for r in got if r["record_type"] == "damaged"} == lost
+            with pytest.raises(Exception, match="Damage"):
+                warc.read_archives(manifest, split_bytes=split).collect()
 
 
 def test_warc_of_nothing(spark):
