@@ -89,14 +89,15 @@ class CoverTree:
         return node
 
 
-def product(a: np.ndarray, b: np.ndarray, bound: float) -> np.ndarray:
-    """Exact inner products, of which none exceeds `bound` by much."""
+def product(a: np.ndarray, b: np.ndarray, bound: float, own: np.ndarray) -> np.ndarray:
+    """Exact inner products, of which none exceeds `bound` by much; those of a row with itself (`own`) may be anything."""
     if bound * 2 < 2.0**53:
         return (a @ b.T).astype(np.int64)
     if bound < 2.0**62:
         return a.astype(np.int64) @ b.astype(np.int64).T
     exact = lambda x: np.array([[int(c) for c in row] for row in x], dtype=object).reshape(x.shape)
     found = exact(a) @ exact(b).T
+    found[own] = 0
     if found.size and (found.max() >= 2**63 or found.min() < -(2**63)):
         raise OverflowError("an inner product does not fit 64 bits")
     return found.astype(np.int64)
@@ -152,8 +153,8 @@ def dual_search(queries: Points, data: Points, best: Best) -> None:
             work += [(x, b) for x in below_a]
         else:
             columns = d.order[d.start[b] : d.end[b]]
-            scores = product(q.points[rows], d.points[columns], bound)
             ids, places = data.ids[columns], data.rows[columns]
+            scores = product(q.points[rows], d.points[columns], bound, queries.rows[rows][:, None] == places)
             for i, row in enumerate(rows):
                 fits = (scores[i] >= best.worst[row]) & (places != queries.rows[row])
                 if fits.any():
