@@ -1,10 +1,14 @@
 """License scan by diagonal voting, in DataFrame operations only.
 
 All word k-grams of all texts are joined, by hash and then word for word, to the k-gram positions of
-license templates. A hit votes for its diagonal (place in the text minus place in the template);
-diagonals at most `drift` apart are one region, so a few added or dropped words do not split it. A
-region whose distinct template places reach `min_share` of the template within a span of
-`max_stretch` template lengths is a verified span. Phrases are looked up besides, as the base.
+license templates: notices, whole paragraphs of licenses, and the Creative Commons names in all
+versions. A hit votes for its diagonal (place in the text minus place in the template); diagonals at
+most `drift` apart are one region, so a few added or dropped words do not split it. A region is
+judged by its words, not by its k-grams: those of the template that its hits cover are its matching
+words, and their share of the template, or of the region where that is longer, has to reach `min_share`
+within a span of `max_stretch` template lengths. So a changed word costs a long template one word and
+not k k-grams. Of spans that overlap only the best stay, as names of related licenses differ in a word.
+Phrases are looked up besides, as the base.
 
 The k-grams live for one row each inside the scan stage; only hits are shuffled, by document.
 
@@ -14,6 +18,7 @@ rows are scanned alike and each keeps its row. Other columns are ignored; an emp
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import SEPARATORS, once
+from .license_texts import PARAGRAPHS, creative_commons
 
-K, DRIFT, MIN_SHARE, MAX_STRETCH = 4, 2, 0.6, 1.5
+K, DRIFT, MIN_SHARE, MAX_STRETCH = 4, 4, 0.75, 1.5
 BROADCAST_GRAMS = 100_000
 
 #: Base phrases and their labels.
@@ -33,7 +39,7 @@ PHRASES = (
     ("mit license", "mit"),
 )
 
-#: Notices as their licenses word them, already as words.
+#: Notices as their licenses word them, already as words; then paragraphs and names.
 TEMPLATES = (
     ("apache", "licensed under the apache license version 2 0"),
     ("apache", "you may obtain a copy of the license at http www apache org licenses license 2 0"),
@@ -55,6 +61,7 @@ TEMPLATES = (
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
+    *((label, " ".join(re.findall("[a-z0-9]+", text.lower()))) for label, text in (*PARAGRAPHS, *creative_commons())),
 )
 
 
@@ -77,7 +84,8 @@ def template_grams(spark: SparkSession, templates: Sequence[tuple[str, str]] = T
 
 def plain_text(text: Column) -> Column:
     """The words of a text with one blank between them."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS, " "))
+    folded = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.trim(F.regexp_replace(folded, SEPARATORS, " "))
 
 
 def words(plain: Column) -> Column:
@@ -123,13 +131,20 @@ def spans(
         votes.withColumn("_gap", gap)
         .withColumn("region", F.sum("_gap").over(by))
         .groupBy(*keys, "template", "label", "grams", "length", "region")
-        .agg(F.size(F.collect_set("tpos")).alias("places"), F.min("dpos").alias("first_word"),
+        .agg(F.collect_set("tpos").alias("places"), F.min("dpos").alias("first_word"),
              (F.max("dpos") + k).alias("end_word"))
     )
-    share = F.col("places") / F.col("grams")
-    return regions.where(
+    covered = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + k - 1)))))
+    share = covered / F.greatest(F.col("length"), F.col("end_word") - F.col("first_word"))
+    verified = regions.where(
         (share >= min_share) & (F.col("end_word") - F.col("first_word") <= max_stretch * F.col("length"))
     ).select(*keys, "label", "template", "first_word", "end_word", share.alias("share"))
+    # Spans are not longer than this, so those that overlap one begin within it on either side.
+    reach = int(max_stretch * max(len(text.split()) for _, text in templates)) + 1
+    near = Window.partitionBy(*keys).orderBy("first_word").rangeBetween(-reach, reach)
+    better = F.exists("_near", lambda o: (o["share"] > F.col("share")) & (o["first_word"] < F.col("end_word")) & (F.col("first_word") < o["end_word"]))
+    around = F.collect_list(F.struct("share", "first_word", "end_word")).over(near)
+    return verified.withColumn("_near", around).where(~better).drop("_near")
 
 
 def _joined(labels: Column) -> Column:
@@ -142,8 +157,8 @@ def scan(
 ) -> DataFrame:
     """One row per document: base phrases, the method's labels, and a score.
 
-    The score is the largest share of a template that a verified span covers, at least 0.5 where a
-    base phrase stands.
+    The score is the largest share of matching words of a verified span, at least 0.5 where a base
+    phrase stands.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"),
                        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_row"))

@@ -189,9 +189,13 @@ with d as (
   from votes
 ), regions as (
   select *, sum(gap) over (partition by r, template order by diagonal, dpos rows unbounded preceding) as region from gaps
+), verified as (
+  select r, label, min(dpos) as a, max(dpos) + {K} as b, count(distinct tpos + j) / greatest(length, max(dpos) + {K} - min(dpos)) as share
+  from regions, range({K}) as k(j) group by r, template, label, length, region
+  having share >= {MIN_SHARE} and max(dpos) + {K} - min(dpos) <= {MAX_STRETCH} * length
 ), spans as (
-  select r, label, count(distinct tpos) / grams as share from regions group by r, template, label, grams, length, region
-  having count(distinct tpos) / grams >= {MIN_SHARE} and max(dpos) + {K} - min(dpos) <= {MAX_STRETCH} * length
+  select r, label, share from verified v
+  where not exists (from verified o where o.r = v.r and o.share > v.share and o.a < v.b and v.a < o.b)
 ), labelled as (
   select r, string_agg(distinct label, ',' order by label) filter (is_base) as base_labels, string_agg(distinct label, ',' order by label) as labels
   from (select r, label, true as is_base from base union all select r, label, false from spans) group by 1
