@@ -37,6 +37,8 @@ from .common import once, stored
 
 LONG_WORDS, MIN_WORDS, DIVISOR = 50, 8, 2
 PIECE = 8
+#: Lines that make more than 1/HOT of all repeated ones are looked up in so many parts.
+HOT, PARTS = 1000, 64
 #: Most runs end within so many lines; longer ones are looked for only where these do not reach.
 NEAR = 8
 
@@ -75,8 +77,16 @@ def _stretches(marks: DataFrame) -> DataFrame:
     each = marks.select("__key", "__id", F.posexplode(F.arrays_zip(*fields)).alias("i", "l"))
     lines = each.select("__key", "__id", "i", *(f"l.{f}" for f in fields))
     counted = marks.select(F.explode(F.arrays_zip("h1", "n")).alias("l")).select("l.h1", "l.n").where("n > 0")
-    repeated = counted.groupBy("h1").agg(F.count("*").alias("c")).where("c > 1").select("h1")
-    found = lines.where("n > 0").join(repeated.hint("shuffle_hash"), "h1").select(*lines.columns).unionByName(lines.where("n = 0"))
+    repeated = stored(counted.groupBy("h1").agg(F.count("*").alias("c")).where("c > 1"), "line-repeated")
+    # Lines that make more than a thousandth of all repeats are a thousand at most; they meet in parts.
+    most = repeated.agg(F.sum("c")).first()[0] or 0
+    hot = repeated.where(F.col("c") > max(most / HOT, 1000)).select("h1", F.lit(True).alias("hot"))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("__key"), F.lit(PARTS))).otherwise(0).cast("int")
+    dealt = lines.where("n > 0").join(F.broadcast(hot), "h1", "left").withColumn("part", part)
+    parts = repeated.join(F.broadcast(hot), "h1", "left").select(
+        "h1", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))).alias("part")
+    )
+    found = dealt.join(parts.hint("shuffle_hash"), ["h1", "part"]).select(*lines.columns).unionByName(lines.where("n = 0"))
     in_doc = Window.partitionBy("__key").orderBy("i")
     # Rows that repeat id and text are one: equal places rank alike and are one element of a set.
     numbered = found.withColumn("island", F.col("i") - F.dense_rank().over(in_doc))

@@ -583,6 +583,24 @@ def test_licenses(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+@pytest.mark.parametrize("text,labels", [
+    ("Licensed under CC BY-NC 3.0", "cc-by,cc-by-nc"), ("CC BY-SA 4.0", "cc-by,cc-by-sa"), ("CC BY-NC-SA 2.5 here", "cc-by,cc-by-nc-sa"),
+    ("Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "cc-by-nc-nd"),
+    ("* Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "bsd"),
+    ("The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of"
+     " merchantability, fitness for any purpose and noninfringement. In no event shall the authors or copyright holders be liable for"
+     " any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection"
+     " with the software or the use or other dealings in the software.", "mit"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as"
+     " published by the Free Software Foundation; either version 2 of the License, or any later version.", "gpl"),
+    ("software you can use for any purpose under a license", ""), ("\u212aELVIN \u0130 Mit Licens\u00c9", ""),
+])
+def test_license_texts(spark, text, labels):
+    df = spark.createDataFrame([(1, f"Intro words of the file. {text} And then some more words follow here.")], "doc_id long, text string")
+    assert licenses.scan(df).first()["labels"] == labels
+
+
 # --- line dedup ---------------------------------------------------------------------------
 
 
