@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,27 +19,18 @@ RAW_WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-_test_folders: dict[str, str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see, from spark.checkpoint.dir.
+    """The folder that all executors see: spark.checkpoint.dir, or else the session's warehouse.
 
-    Only a session of one JVM (tests) may leave it unset; it then gets a temporary folder.
+    Intermediate tables of a session go into one folder below it, named by the application, so that they can
+    be removed together when the application is done; later readers of a result need them until then.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _test_folders:
-            _test_folders[app] = "file://" + tempfile.mkdtemp(prefix="adstrata-llm-")
-        folder = _test_folders[app]
-    return folder.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/adstrata-llm-{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

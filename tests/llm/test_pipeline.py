@@ -66,3 +66,28 @@ def test_every_operator_is_registered():
     names = entry_module.queries()
     for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
+
+
+def test_stages_on_odd_rows(spark, sf_dir):
+    """Nulls, repeated rows and columns of other names, stage by stage; then nothing at all."""
+    line = "some words that make a line of their own and are long enough " * 5
+    rows = [
+        (1, line, "en", "a", 5, 1), (1, line, "en", "a", 5, 1), (2, f"before\n{line}", "en", "a", 5, 2), (3, None, None, None, None, 3),
+        (3, None, None, None, None, 3), (None, "a text without an id", "de", "b", 20, 4), (4, "", "fr", "b", 0, 5), (5, "other words", "en", "a", 11, 6),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, n_lines int")
+    docs = docs.withColumn("n_removed", docs["n_lines"])
+    expected = {
+        "toxicity": [1, 1, 2, 3, 3, None, 4, 5], "line_dedup": [1, 1, 2, 3, 3, None, 4, 5],
+        "near_duplicates": [1, 1, 2, 3, 3, None, 4, 5], "decontamination": [1, 1, 2, 3, 3, None, 4, 5],
+    }
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"odd-{name}")
+        assert sorted((r["doc_id"] for r in docs.collect()), key=str) == sorted(expected[name], key=str), name
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_lines", "n_removed"]
+    texts = {r["doc_id"]: r for r in docs.collect()}
+    assert texts[2]["text"] == "before" and texts[2]["n_chars"] == 6 and texts[2]["n_lines"] == 2 and texts[3]["text"] is None
+    mixed = corpus_pipeline.mix_sources(spark, docs, sf_dir).collect()
+    assert all(texts[r["doc_id"]]["text"] == r["text"] for r in mixed)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
