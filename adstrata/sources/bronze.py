@@ -80,6 +80,11 @@ def ingest(
             .write.mode(mode).parquet(feed_path(rejects, feed))
         )
         records = records.where(is_record())
+    write_partitioned(bronze_rows(records), feed_path(path, feed), PARTITION, mode, "static")
+
+
+def bronze_rows(records: DataFrame) -> DataFrame:
+    """Bronze columns of (raw, file) records, batch or stream."""
     # One parse per record for both keys; the record itself is written as it came.
     keys = F.from_json("raw", "source string, date_publication string")
     keyed = with_partition_keys(
@@ -87,14 +92,13 @@ def ingest(
         F.col("_keys.source"),
         F.col("_keys.date_publication"),
     )
-    rows = keyed.select(
+    return keyed.select(
         "raw",
         F.col("file").alias("source_fichier"),
         F.current_timestamp().alias("date_ingestion"),
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         *PARTITION,
     )
-    write_partitioned(rows, feed_path(path, feed), PARTITION, mode, "static")
 
 
 def read_bronze(

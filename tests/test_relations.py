@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from adstrata.operators import changes, cubes, intervals, running, sketches
+from adstrata.operators import changes, cubes, intervals, members, running, sketches
 from adstrata.operators.asof import asof_join
 
 NONE = object()
@@ -184,3 +184,29 @@ def test_changes(spark):
         of = lambda c, k=r["k"]: sum(n for (x, _), n in c.items() if x == k)
         assert (r["kept"], r["gone"], r["added"]) == (of(a & b), of(a - b), of(b - a))
         assert r["kind"] == {7: "changed", 8: "inserted"}.get(r["k"], r["kind"])
+
+
+# --- Members --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, members.BITS])
+def test_members(spark, bits):
+    rng = random.Random(bits)
+    rows = [(i, rng.choice([None, *range(200)]), rng.choice(["a", "b", None])) for i in range(400)]
+    listed = [(rng.choice([None, *range(400)]), rng.choice(["a", "b", None])) for _ in range(60)] * 2
+    df, keys = spark.createDataFrame(rows, "id long, k int, s string"), spark.createDataFrame(listed, "k int, s string")
+    known = {x for x in listed if None not in x}
+    semi = members.semi_join(df, keys, ["k", "s"], ["k", "s"], bits)
+    anti = members.anti_join(df, keys, ["k", "s"], ["k", "s"], bits)
+    assert semi.columns == anti.columns == df.columns
+    assert sorted(r["id"] for r in semi.collect()) == [i for i, k, s in rows if (k, s) in known]
+    assert sorted(r["id"] for r in anti.collect()) == [i for i, k, s in rows if (k, s) not in known]
+    assert members.semi_join(df, keys.limit(0), ["k", "s"], ["k", "s"], bits).count() == 0
+    assert members.anti_join(df, keys.limit(0), ["k", "s"], ["k", "s"], bits).count() == 400
+
+
+def test_filter_keeps_most_rows_from_the_join(spark):
+    df, keys = spark.range(50_000), spark.range(0, 50_000, 100)
+    words = members.bloom_filter(keys, ["id"])
+    passed = df.where(members.may_contain(words, [F.col("id")])).count()
+    assert 500 <= passed < 600

@@ -451,6 +451,7 @@ FROM (SELECT *, NOT ends_with(mois_part, '_06') AS good FROM raw)"""
         select="""SELECT source_part, mois_part, source_part || '/' || mois_part AS partition,
   count(*) AS nb_offres, '1.0' AS schema_version FROM raw GROUP BY ALL"""
     )
+    o["streamed_manifest"] = o["bronze_manifest"]
     o["bronze_pruned"] = with_ads(
         select="""SELECT id_offre, source_part, mois_part FROM raw
 WHERE source_part IN ('1-urgent', '4-not_specified') AND mois_part BETWEEN '1996_01' AND '1996_12'"""

@@ -26,6 +26,7 @@ from adstrata.schemas import CLEAN_ADS
 from adstrata.sources import bronze, tables
 from adstrata.sources.envelope import read_envelopes, read_lines, typed_ads
 from adstrata.sources.terms import dictionary_from_mapping, read_dictionary
+from adstrata.streaming import landing as streaming
 from workload import cases as K
 from workload import relations
 from workload.ads import messy_ads, scratch, stored, table
@@ -159,6 +160,19 @@ def bronze_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return bronze.manifest(bronze.read_bronze(spark, _land(spark, sf))).drop("date_ingestion")
 
 
+def streamed_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ads landed as a stream: they arrive in two parts, and each run is followed by one that finds nothing."""
+    inbox, zone, checkpoint = (scratch(spark, f"stream-{n}") for n in ("inbox", "zone", "checkpoint"))
+    text = messy_ads(spark, sf).select(
+        "source", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
+    )
+    for part in (F.col("source").isNull(), F.col("source").isNotNull()):
+        text.where(part).select("value").write.mode("append").text(inbox)
+        streaming.land(spark, inbox, zone, checkpoint)
+        streaming.land(spark, inbox, zone, checkpoint)
+    return bronze.manifest(streaming.read_landed(spark, zone)).drop("date_ingestion")
+
+
 def bronze_pruned(spark: SparkSession, sf: str) -> DataFrame:
     rows = bronze.read_bronze(
         spark, _land(spark, sf), ["1-urgent", "4-not_specified"], ("1996_01", "1996_12")
@@ -519,6 +533,7 @@ def queries() -> dict[str, Query]:
         "bronze_largest": lambda s, d: bronze.largest_partitions(_keyed(s, d)),
         "bronze_integrity": bronze_integrity,
         "envelope_integrity": envelope_integrity,
+        "streamed_manifest": streamed_manifest,
         "bronze_manifest": bronze_manifest,
         "bronze_pruned": bronze_pruned,
         # Silver

@@ -13,6 +13,7 @@ from adstrata.operators.changes import change_report, except_all, intersect_all
 from adstrata.operators.cubes import grouping_sets, rollup_sets
 from adstrata.operators.instants import DAY, SECOND
 from adstrata.operators.intervals import overlap_join
+from adstrata.operators.members import anti_join, semi_join
 from adstrata.operators.running import in_global_order, moving
 from workload.ads import scratch, table
 
@@ -194,11 +195,26 @@ def months_of_both(spark: SparkSession, sf: str) -> DataFrame:
     return intersect_all(*_months(spark, sf))
 
 
+def _returned(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of which a dear item came back."""
+    return table(spark, sf, "lineitem").where("l_returnflag = 'R' and l_extendedprice > 90000")
+
+
+def orders_with_returns(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return semi_join(orders, _returned(spark, sf), ["o_orderkey"], ["l_orderkey"])
+
+
+def orders_without_returns(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return anti_join(orders, _returned(spark, sf), ["o_orderkey"], ["l_orderkey"])
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         asof_last_view, asof_next_purchase, asof_last_order, purchases_after_errors, orders_while_shipping, customer_spans,
         orders_in_time, orders_of_a_week, events_of_a_day, orders_cube, items_rollup, sketched_events, month_changes,
-        months_not_shipped, months_of_both,
+        months_not_shipped, months_of_both, orders_with_returns, orders_without_returns,
     )}
 
 
@@ -265,5 +281,11 @@ keys AS (SELECT orderkey, CAST(sum(least(o, n)) AS BIGINT) AS kept, CAST(sum(gre
 SELECT *, CASE WHEN gone + added = 0 THEN 'same' WHEN gone + kept = 0 THEN 'inserted' WHEN added + kept = 0 THEN 'deleted'
   ELSE 'changed' END AS kind FROM keys""",
         "months_not_shipped": f"SELECT * FROM {_PLACED} EXCEPT ALL SELECT * FROM {_SHIPPED}",
+        **{
+            f"orders_{word}_returns": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o WHERE {negation} EXISTS (SELECT 1 FROM lineitem
+  WHERE l_orderkey = o.o_orderkey AND l_returnflag = 'R' AND l_extendedprice > 90000)"""
+            for word, negation in (("with", ""), ("without", "NOT"))
+        },
         "months_of_both": f"SELECT * FROM {_PLACED} INTERSECT ALL SELECT * FROM {_SHIPPED}",
     }
