@@ -3,8 +3,10 @@
 import json
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from adstrata.sources import bronze
-from adstrata.streaming import landing
+from adstrata.streaming import landing, windows
 
 
 def write(inbox, name, ids):
@@ -64,3 +66,36 @@ def test_records_that_are_none(spark, tmp_path):
     landing.land(spark, str(inbox), zone, str(tmp_path / "check"))
     report = bronze.integrity_report(landing.read_landed(spark, zone)).first()
     assert (report["total_offres"], report["enregistrements_corrompus"]) == (3, 2)
+
+
+def test_windows_and_sessions_of_streams_are_those_of_tables(spark, tmp_path):
+    schema = "t timestamp, k string, v int"
+    at = lambda minutes: f"2024-05-01 {minutes // 60:02d}:{minutes % 60:02d}:00"
+    rows = [(m, "ab"[m % 2] if m % 7 else None, m) for m in [*range(0, 90, 3), *range(200, 260, 9), *range(400, 410)]]
+    inbox = tmp_path / "in"
+
+    def arrive(part):
+        frame = spark.createDataFrame([(at(m) if m is not None else None, k, v) for m, k, v in part], "t string, k string, v int")
+        frame.withColumn("t", F.to_timestamp("t")).coalesce(1).write.mode("append").parquet(str(inbox))
+
+    arrive(rows[:20])
+    forms = {
+        "windows": lambda df, delay=None: windows.windows(df, "t", "20 minutes", ["k"], {"n": F.count("*"), "s": F.sum("v")}, delay),
+        "sessions": lambda df, delay=None: windows.sessions(df, "t", "15 minutes", ["k"], {"n": F.count("*"), "s": F.sum("v")}, delay),
+    }
+    run = lambda name: windows.write_final(
+        forms[name](spark.readStream.schema(schema).parquet(str(inbox)), "30 minutes"), str(tmp_path / name), str(tmp_path / f"{name}-check")
+    )
+    assert [run(name) for name in forms] == [0, 0]
+    arrive([*rows[20:], (None, "a", 1)])
+    assert [run(name) for name in forms] == [0, 0]
+    whole = spark.createDataFrame([(at(m), k, v) for m, k, v in rows], "t string, k string, v int").withColumn("t", F.to_timestamp("t"))
+    for name, form in forms.items():
+        closed = form(whole).where(F.col("window_end") <= F.to_timestamp(F.lit(at(409 - 30))))
+        got = spark.read.parquet(str(tmp_path / name))
+        assert sorted(map(str, got.collect())) == sorted(map(str, closed.collect())) and closed.count()
+    # Events of a closed window are late: counted, and nothing that was written changes.
+    before = sorted(map(str, spark.read.parquet(str(tmp_path / "windows")).collect()))
+    arrive([(5, "a", 1), (6, "a", 1)])
+    assert run("windows") > 0
+    assert sorted(map(str, spark.read.parquet(str(tmp_path / "windows")).collect())) == before

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adstrata.operators import sketches
@@ -15,6 +15,7 @@ from adstrata.operators.instants import DAY, SECOND
 from adstrata.operators.intervals import overlap_join
 from adstrata.operators.members import anti_join, semi_join
 from adstrata.operators.running import in_global_order, moving
+from adstrata.streaming import windows as W
 from workload.ads import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +196,30 @@ def months_of_both(spark: SparkSession, sf: str) -> DataFrame:
     return intersect_all(*_months(spark, sf))
 
 
+def _measures() -> dict:
+    return {"nb_events": F.count("*"), "first_id": F.min("event_id"), "top_value": F.max("value")}
+
+
+def _minute(column: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd HH:mm").alias(column)
+
+
+def user_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of a user's events less than six hours apart."""
+    found = W.sessions(table(spark, sf, "events"), "ts", "6 hours", ["user_id"], _measures())
+    return found.select("user_id", _minute("window_start"), *_measures())
+
+
+def streamed_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly counts by event type from a stream of the events: those hours that the watermark has closed."""
+    inbox, out, checkpoint = (scratch(spark, f"hours-{n}") for n in ("inbox", "out", "checkpoint"))
+    events = table(spark, sf, "events")
+    events.write.parquet(inbox)
+    stream = spark.readStream.schema(events.schema).parquet(inbox)
+    W.write_final(W.windows(stream, "ts", "1 hour", ["event_type"], _measures(), "2 hours"), out, checkpoint)
+    return spark.read.parquet(out).select("event_type", _minute("window_start"), *_measures())
+
+
 def _returned(spark: SparkSession, sf: str) -> DataFrame:
     """Orders of which a dear item came back."""
     return table(spark, sf, "lineitem").where("l_returnflag = 'R' and l_extendedprice > 90000")
@@ -215,6 +240,7 @@ def queries() -> dict[str, Query]:
         asof_last_view, asof_next_purchase, asof_last_order, purchases_after_errors, orders_while_shipping, customer_spans,
         orders_in_time, orders_of_a_week, events_of_a_day, orders_cube, items_rollup, sketched_events, month_changes,
         months_not_shipped, months_of_both, orders_with_returns, orders_without_returns,
+        user_sessions, streamed_hours,
     )}
 
 
@@ -281,6 +307,17 @@ keys AS (SELECT orderkey, CAST(sum(least(o, n)) AS BIGINT) AS kept, CAST(sum(gre
 SELECT *, CASE WHEN gone + added = 0 THEN 'same' WHEN gone + kept = 0 THEN 'inserted' WHEN added + kept = 0 THEN 'deleted'
   ELSE 'changed' END AS kind FROM keys""",
         "months_not_shipped": f"SELECT * FROM {_PLACED} EXCEPT ALL SELECT * FROM {_SHIPPED}",
+        "user_sessions": """
+WITH marked AS (SELECT *, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 6 HOURS THEN 1 ELSE 0 END AS cut
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+numbered AS (SELECT *, sum(cut) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM marked)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M') AS window_start, count(*) AS nb_events, min(event_id) AS first_id,
+  max(value) AS top_value FROM numbered GROUP BY user_id, n""",
+        "streamed_hours": """
+SELECT event_type, strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS window_start, count(*) AS nb_events,
+  min(event_id) AS first_id, max(value) AS top_value
+FROM events WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOURS
+GROUP BY ALL""",
         **{
             f"orders_{word}_returns": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus FROM orders o WHERE {negation} EXISTS (SELECT 1 FROM lineitem
