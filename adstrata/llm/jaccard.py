@@ -4,7 +4,9 @@ A document is the set of its distinct word shingles, as 64-bit hashes; documents
 one node from the start. Two nodes link when 100 * |intersection| >= threshold * |union|.
 
 1. Document frequencies. Shingle hashes travel in blocks of nodes, packed by hash buckets of bounded
-   size, and only those in two nodes or more come back to their block. A node links with nothing unless three quarters of its
+   size, and only those in two nodes or more come back to their block. A shingle that many nodes of one
+   block hold stays there and its bucket gets their number only, so a footer of a third of all documents
+   is one entry per block and not one per document. A node links with nothing unless three quarters of its
    shingles did (it must share that many), which leaves few nodes.
 2. Prefixes. Shingles are ordered by (frequency, hash). At most tau = n - ceil(0.75 n) shingles of a
    node are missing from a partner, so a prefix is extended until removing any tau of its shingles
@@ -12,10 +14,12 @@ one node from the start. Two nodes link when 100 * |intersection| >= threshold *
    of `S` hash classes, and a class of c frequent shingles yields c - 1 towards the count. Signatures
    live in size bands a factor 4/3 apart; a node writes into its own and the next band, where every
    partner of a possible size meets it and S is the same for both.
-3. Verification. Nodes that share signatures form candidate clusters. A cluster is cut into blocks of
-   bounded size, block pairs are checked exactly by products of 0/1 matrices, and a block pair
-   returns link counts and a spanning forest, never its pairs. Components of the forests are the
-   components of all links.
+3. Verification. Nodes that share signatures form candidate clusters. A small cluster is checked as it
+   is. A large one is cut into blocks of bounded size, each of nodes that share most signatures with the
+   same node, and only blocks with a common signature meet: chance candidates may chain clusters into one
+   without making their blocks meet. Blocks are checked exactly by products of 0/1 matrices and return
+   link counts and a spanning forest, never their pairs. Components of the forests are the components
+   of all links.
 
 Nulls: a null text has no words, hence no shingles and no link; a null id is kept, a component's id is
 its smallest id that is not null (null if there is none). Repeated rows are members of one node. Other
@@ -42,6 +46,7 @@ SHINGLE, THRESHOLD = 5, 75
 RARE = 32
 BUCKET_SHINGLES = 2_000_000
 BLOCK = 512
+OFTEN = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
@@ -104,16 +109,25 @@ def _memberships(size: int):
 
 
 _PACKED = pa.schema(
-    [("bucket", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()), ("at", pa.binary()), ("nodes", pa.binary()), ("ns", pa.binary())]
+    [
+        ("bucket", pa.int32()), ("block", pa.int64()), ("hashes", pa.binary()), ("at", pa.binary()), ("nodes", pa.binary()),
+        ("ns", pa.binary()), ("uses", pa.binary()), ("head", pa.bool_()),
+    ]
 )
-_SPREAD = "bucket int, block long, hashes binary, at binary, nodes binary, ns binary"
+_SPREAD = "bucket int, block long, hashes binary, at binary, nodes binary, ns binary, uses binary, head boolean"
 _RETURNED = "block long, hashes binary, dfs binary, at binary, nodes binary, ns binary"
 
 
-def _spread(size: int, buckets: int, flush: int = 1_000_000, block_nodes: int = 60_000):
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where the runs of a sorted array begin."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, np.int64)
+
+
+def _spread(size: int, buckets: int, often: int, flush: int, block_nodes: int = 60_000):
     """Shingle hashes in blocks of nodes, packed by bucket; each node once per task.
 
-    A block has one more row, its head, with all its nodes and their sizes.
+    A block has one more row, its head: all its nodes, their sizes, and the shingles that `often` of them
+    or more hold. Of these the buckets get the number of nodes only.
     """
 
     def pack(sets: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
@@ -123,21 +137,33 @@ def _spread(size: int, buckets: int, flush: int = 1_000_000, block_nodes: int =
         names = np.array(nodes, np.int64)
         # Blocks of equal nodes are one block, number them alike.
         block = xxhash.xxh64_intdigest(names.tobytes()) - (1 << 63)
-        bucket = (h % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        h, owner, bucket = h[order], owner[order], bucket[order]
-        cuts = np.flatnonzero(np.diff(bucket)) + 1
+        order = np.argsort(h)
+        h, owner = h[order], owner[order]
+        starts = _runs(h)
+        uses = np.diff(np.append(starts, len(h)))
+        many = uses >= often
+        hot, held = h[starts[many]], uses[many].astype(np.uint32)
+        stays = np.repeat(many, uses)
         rows: dict[str, list] = {n: [] for n in _PACKED.names}
 
         def add(*values) -> None:
             for name, value in zip(_PACKED.names, values, strict=True):
                 rows[name].append(value)
 
-        add(block % buckets, block, None, None, names.tobytes(), ns.tobytes())
-        for a, b in zip([0, *cuts], [*cuts, len(h)], strict=True):
-            used, at = np.unique(owner[a:b], return_inverse=True)
+        def buckets_of(hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+            # ranges of hashes, so sorted hashes are in order of their buckets
+            bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            begin = _runs(bucket)
+            yield from zip(bucket[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(bucket)], strict=False)
+
+        add(block % buckets, block, h[stays].tobytes(), owner[stays].tobytes(), names.tobytes(), ns.tobytes(), None, True)
+        for bucket, i, j in buckets_of(hot):
+            add(bucket, block, hot[i:j].tobytes(), None, None, None, held[i:j].tobytes(), False)
+        h, owner = h[~stays], owner[~stays]
+        for bucket, i, j in buckets_of(h):
+            used, at = np.unique(owner[i:j], return_inverse=True)
             # `ns` of these rows: the nodes' places in the block
-            add(int(bucket[a]), block, h[a:b].tobytes(), at.astype(np.uint16).tobytes(), names[used].tobytes(), used.tobytes())
+            add(bucket, block, h[i:j].tobytes(), at.astype(np.uint16).tobytes(), names[used].tobytes(), used.tobytes(), None, False)
         return pa.RecordBatch.from_pydict(rows, schema=_PACKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,36 +191,62 @@ def _spread(size: int, buckets: int, flush: int = 1_000_000, block_nodes: int =
 
 
 def _shared(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: the shingles that stand in two nodes or more, back to the nodes' blocks."""
-    heads = frame[frame["hashes"].isna()]
-    out = [(int(r.block), None, None, None, r.nodes, r.ns) for r in heads.itertuples(index=False)]
-    hashes, owners, places, blocks = [], [], [], []
-    rows = frame[frame["hashes"].notna()].sort_values("block", kind="stable")
+    """Of one bucket: the shingles that stand in two nodes or more, back to the nodes' blocks.
+
+    Frequencies count a node again in every further block that holds the shingle often; they only order
+    shingles, and a shingle has one frequency everywhere.
+    """
+    head = frame["head"].astype(bool)
+    out = [(int(r.block), r.hashes, None, r.at, r.nodes, r.ns) for r in frame[head].itertuples(index=False)]
+    rows = frame[~head].sort_values("block", kind="stable")
     names = sorted(set(rows["block"].tolist()))
     number = {b: i for i, b in enumerate(names)}
+    empty = lambda *types: [[np.empty(0, t)] for t in types]
+    hashes, owners, places, blocks = empty(np.uint64, np.int64, np.uint16, np.uint32)
+    hot, held, hot_blocks = empty(np.uint64, np.uint32, np.uint32)
     for row in rows.itertuples(index=False):
+        h = np.frombuffer(row.hashes, np.uint64)
+        block = np.full(len(h), number[row.block], np.uint32)
+        if row.at is None:
+            hot.append(h)
+            held.append(np.frombuffer(row.uses, np.uint32))
+            hot_blocks.append(block)
+            continue
         at = np.frombuffer(row.at, np.uint16)
-        hashes.append(np.frombuffer(row.hashes, np.uint64))
+        hashes.append(h)
         owners.append(np.frombuffer(row.nodes, np.int64)[at])
         places.append(np.frombuffer(row.ns, np.uint16)[at])
-        blocks.append(np.full(len(at), number[row.block], np.uint32))
-    if hashes:
-        h, node, place, block = (np.concatenate(x) for x in (hashes, owners, places, blocks))
-        # A node of several blocks answers to the smallest: the same one in every bucket.
-        order = np.lexsort((block, node, h))
-        h, node, place, block = h[order], node[order], place[order], block[order]
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
-        h, place, block = h[fresh], place[fresh], block[fresh]
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        df = np.diff(np.concatenate([starts, [len(h)]]))
-        df = np.repeat(df, df)
-        h, place, block, df = h[df > 1], place[df > 1], block[df > 1], df[df > 1].astype(np.uint32)
+        blocks.append(block)
+    h, node, place, block = (np.concatenate(x) for x in (hashes, owners, places, blocks))
+    # A node of several blocks answers to the smallest: the same one in every bucket.
+    order = np.lexsort((block, node, h))
+    h, node, place, block = h[order], node[order], place[order], block[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[1:] != h[:-1]) | (node[1:] != node[:-1])
+    h, place, block = h[fresh], place[fresh], block[fresh]
+    # Blocks of equal nodes are one block and say the same.
+    hot, held, hot_block = (np.concatenate(x) for x in (hot, held, hot_blocks))
+    order = np.lexsort((hot_block, hot))
+    hot, held, hot_block = hot[order], held[order], hot_block[order]
+    fresh = np.ones(len(hot), bool)
+    fresh[1:] = (hot[1:] != hot[:-1]) | (hot_block[1:] != hot_block[:-1])
+    hot, held, hot_block = hot[fresh], held[fresh], hot_block[fresh]
+
+    known, at = np.unique(np.concatenate([h, hot]), return_inverse=True)
+    df = np.bincount(at, weights=np.concatenate([np.ones(len(h)), held]), minlength=len(known)).astype(np.uint32)[at]
+    df, hot_df = df[: len(h)], df[len(h) :]
+    h, place, block, df = h[df > 1], place[df > 1], block[df > 1], df[df > 1]
+
+    def back(block: np.ndarray, h: np.ndarray, df: np.ndarray, place: np.ndarray | None) -> None:
         order = np.argsort(block, kind="stable")
-        h, place, block, df = h[order], place[order], block[order], df[order]
-        cuts = np.flatnonzero(np.diff(block)) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(h)], strict=True) if len(h) else []:
-            out.append((names[block[a]], h[a:b].tobytes(), df[a:b].tobytes(), place[a:b].tobytes(), None, None))
+        block, h, df = block[order], h[order], df[order]
+        begin = _runs(block).tolist()
+        for a, b in zip(begin, [*begin[1:], len(h)], strict=False):
+            at = None if place is None else place[order[a:b]].tobytes()
+            out.append((names[block[a]], h[a:b].tobytes(), df[a:b].tobytes(), at, None, None))
+
+    back(block, h, df, place)
+    back(hot_block, hot, hot_df, None)
     return pd.DataFrame(out, columns=["block", "hashes", "dfs", "at", "nodes", "ns"])
 
 
@@ -205,24 +257,30 @@ def _sets(threshold: int):
         rows = table.to_pylist()
         head = next(r for r in rows if r["nodes"] is not None)
         names, ns = np.frombuffer(head["nodes"], np.int64), np.frombuffer(head["ns"], np.uint32)
-        parts = [r for r in rows if r["hashes"] is not None]
-        kept: dict[str, list] = {"node": [], "n": [], "tokens": [], "dfs": []}
-        if parts:
-            h, df, at = (
-                np.concatenate([np.frombuffer(r[c], t) for r in parts])
-                for c, t in (("hashes", np.uint64), ("dfs", np.uint32), ("at", np.uint16))
-            )
-            order = np.argsort(at, kind="stable")
-            h, df, at = h[order], df[order], at[order]
-            cuts = np.flatnonzero(np.diff(at)) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(h)], strict=True):
-                n = int(ns[at[a]])
-                if (b - a) * 100 >= n * threshold:
-                    for name, value in zip(kept, (int(names[at[a]]), n, h[a:b].tobytes(), df[a:b].tobytes()), strict=True):
-                        kept[name].append(value)
-        return pa.Table.from_pydict(
-            kept, schema=pa.schema([("node", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("dfs", pa.binary())])
-        )
+        joined = lambda part, c, t: np.concatenate([np.empty(0, t), *(np.frombuffer(r[c], t) for r in part)])
+        parts = [r for r in rows if r["nodes"] is None and r["at"] is not None]
+        hot = [r for r in rows if r["nodes"] is None and r["at"] is None]
+        h, df, at = (joined(parts, c, t) for c, t in (("hashes", np.uint64), ("dfs", np.uint32), ("at", np.uint16)))
+        # the shingles that stayed, with the frequencies their buckets found
+        stayed = np.frombuffer(head["hashes"], np.uint64)
+        if len(stayed):
+            hot_h, hot_df = joined(hot, "hashes", np.uint64), joined(hot, "dfs", np.uint32)
+            order = np.argsort(hot_h)
+            found = hot_df[order][np.searchsorted(hot_h[order], stayed)]
+            h, df, at = np.append(h, stayed), np.append(df, found), np.append(at, np.frombuffer(head["at"], np.uint16))
+        order = np.argsort(at, kind="stable")
+        h, df, at = h[order], df[order], at[order]
+        kept: dict[str, list] = {"block": [], "node": [], "n": [], "tokens": [], "dfs": []}
+        begin = _runs(at).tolist()
+        for a, b in zip(begin, [*begin[1:], len(h)], strict=False):
+            n = int(ns[at[a]])
+            if (b - a) * 100 >= n * threshold:
+                values = (head["block"], int(names[at[a]]), n, h[a:b].tobytes(), df[a:b].tobytes())
+                for name, value in zip(kept, values, strict=True):
+                    kept[name].append(value)
+        return pa.Table.from_pydict(kept, schema=pa.schema([
+            ("block", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("dfs", pa.binary()),
+        ]))
 
     return run
 
@@ -356,7 +414,33 @@ def _result(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(a, np.int64), "b": pd.array(b, dtype="Int64"), "links": np.array(links, np.int64)})
 
 
-def _checked(clusters: DataFrame, sizes: DataFrame, threshold: int, block: int) -> DataFrame:
+def _placed(many: DataFrame, meets: DataFrame, block: int) -> DataFrame:
+    """The nodes of large clusters with `spot`, the number of their block.
+
+    A node's home is the node it shares most signatures with, among the smallest ones of signatures. Large
+    homes are cut into blocks by node, small ones of a cluster share blocks.
+    """
+    homes = meets.groupBy(F.col("b").alias("node")).agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("home"))
+    spots = many.select("node", "root").join(homes, "node")
+    sizes = spots.groupBy("root", "home").agg(F.count("*").alias("held"))
+    small = F.when(F.col("held") <= block, F.col("held"))
+    bins = sizes.groupBy("root").agg(F.ceil(F.coalesce(F.sum(small), F.lit(0)) / F.lit(block)).alias("bins"))
+    pieces = F.ceil(F.col("held") / F.lit(block))
+    spot = F.when(
+        F.col("held") > block, F.xxhash64(F.lit(0), "root", "home", F.pmod(F.xxhash64("node"), pieces))
+    ).otherwise(F.xxhash64(F.lit(1), "root", F.lit(0).cast("long"), F.pmod(F.xxhash64("home"), F.greatest("bins", F.lit(1)))))
+    return spots.join(sizes, ["root", "home"]).join(bins, "root").select("node", spot.alias("spot"))
+
+
+def _meeting(placed: DataFrame, signed: DataFrame) -> DataFrame:
+    """Pairs (i, j) of different blocks that have a signature in common, each once."""
+    spots = signed.join(placed, "node").groupBy("sig").agg(F.array_sort(F.collect_set("spot")).alias("spots"))
+    spots = spots.where(F.size("spots") > 1).select("spots").distinct()
+    first = spots.select("spots", F.posexplode("spots").alias("at", "i")).where(F.col("at") < F.size("spots") - 1)
+    return first.select("i", F.explode(F.slice("spots", F.col("at") + 2, F.size("spots"))).alias("j")).distinct()
+
+
+def _checked(clusters: DataFrame, sizes: DataFrame, signed: DataFrame, meets: DataFrame, threshold: int, block: int) -> DataFrame:
     """Exact links inside the clusters (node, root, n, copies, tokens), as `_verify` returns them."""
     cut = clusters.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("int"))
     # small clusters share tasks; large ones are cut into blocks
@@ -369,13 +453,16 @@ def _checked(clusters: DataFrame, sizes: DataFrame, threshold: int, block: int)
         return _result(rows)
 
     inside = few.groupBy("task").applyInPandas(alone, FOUND)
-    many = cut.where("blocks > 1").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    many = cut.where("blocks > 1")
+    placed = stored(_placed(many, meets, block), "jaccard-placed")
     packed = stored(
-        many.groupBy("root", "blocks", "block").agg(F.collect_list(F.struct("node", "n", "copies", "tokens")).alias("members")),
+        many.join(placed, "node").groupBy("spot").agg(F.collect_list(F.struct("node", "n", "copies", "tokens")).alias("members")),
         "jaccard-blocks",
     )
-    asked = packed.select("root", F.col("block").alias("i"), F.col("members").alias("left"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
-    pairs = asked.join(packed.select(F.col("root").alias("r"), "block", F.col("members").alias("right")), (F.col("root") == F.col("r")) & (F.col("j") == F.col("block")))
+    pairs = _meeting(placed, signed).unionByName(packed.select(F.col("spot").alias("i"), F.col("spot").alias("j")))
+    pairs = pairs.join(packed.select(F.col("spot").alias("i"), F.col("members").alias("left")), "i").join(
+        packed.select(F.col("spot").alias("j"), F.col("members").alias("right")), "j"
+    )
 
     def frame_of(members) -> pd.DataFrame:
         return pd.DataFrame([(m["node"], m["n"], m["copies"], m["tokens"]) for m in members], columns=["node", "n", "copies", "tokens"])
@@ -392,9 +479,12 @@ def _checked(clusters: DataFrame, sizes: DataFrame, threshold: int, block: int)
 
 def link(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, shingle: int = SHINGLE,
-    rare: int = RARE, bucket_shingles: int = BUCKET_SHINGLES, block: int = BLOCK,
+    rare: int = RARE, bucket_shingles: int = BUCKET_SHINGLES, block: int = BLOCK, often: int = OFTEN, flush: int = 1_000_000,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (documents it links with) of every document."""
+    """doc_id, n_shingles, component_id, n_links (documents it links with) of every document.
+
+    `flush` is the number of shingles in a block of nodes; shingles of `often` nodes of a block stay with it.
+    """
     kind = docs.schema[doc_id].dataType.simpleString()
     members = stored(
         docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(
@@ -411,19 +501,24 @@ def link(
     if clash:
         raise ValueError("two different sets have the same 64-bit node number")
     buckets = max(1, -(-(total or 0) // bucket_shingles))
-    spread = docs.select(text).mapInArrow(_spread(shingle, buckets), _SPREAD)
-    shared = spread.groupBy("bucket").applyInPandas(_shared, _RETURNED)
-    sets = shared.groupBy("block").applyInArrow(_sets(threshold), "node long, n long, tokens binary, dfs binary")
+    spread = docs.select(text).mapInArrow(_spread(shingle, buckets, often, flush), _SPREAD)
+    # one task per bucket, however many there are
+    shared = spread.repartitionById(buckets, "bucket").groupBy("bucket").applyInPandas(_shared, _RETURNED)
+    held = shared.groupBy("block").applyInArrow(_sets(threshold), "block long, node long, n long, tokens binary, dfs binary")
+    held = stored(held, "jaccard-held")
+    # a node of several blocks is whole in the smallest
+    sets = held.join(held.groupBy("node").agg(F.min("block").alias("block")), ["node", "block"]).drop("block")
     sets = stored(sets, "jaccard-sets")
     signed = stored(sets.mapInArrow(_signed(threshold, rare), "sig long, node long"), "jaccard-signatures")
     leaders = signed.groupBy("sig").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1").select("sig", "leader")
-    meets = signed.join(leaders, "sig").select(F.col("leader").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
-    clusters = stored(components(meets), "jaccard-clusters")
+    meets = signed.join(leaders, "sig").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+    meets = stored(meets, "jaccard-meets")
+    clusters = stored(components(meets.select("a", "b")), "jaccard-clusters")
     n_clustered = clusters.count()
     sizes = clusters.groupBy("root").agg(F.count("*").alias("size")).withColumn("total", F.lit(n_clustered).cast("long"))
     sizes = stored(sizes, "jaccard-sizes")
     ready = clusters.join(sets.select("node", "n", "tokens"), "node").join(nodes.select("node", "copies"), "node")
-    found = stored(_checked(ready, sizes, threshold, block), "jaccard-links")
+    found = stored(_checked(ready, sizes, signed, meets, threshold, block), "jaccard-links")
     roots = components(found.where("b is not null").select("a", "b"))
     degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = nodes.join(roots, "node", "left").join(degree, "node", "left").select(

@@ -63,14 +63,56 @@ def documents(seed=3):
     return [(i * 3 % 1001, t) for i, t in enumerate(rows)] + [(7777, rows[0]), (7777, rows[0]), (None, rows[0]), (None, "lone words of no id here")]
 
 
-@pytest.mark.parametrize("options", [{}, {"rare": 1, "block": 16, "bucket_shingles": 500}])
+@pytest.mark.parametrize(
+    "options",
+    [
+        {},
+        {"rare": 1, "block": 16, "bucket_shingles": 500},
+        # shingles of two nodes of a block stay in it, and copies of a node are in several blocks
+        {"rare": 4, "block": 8, "bucket_shingles": 700, "often": 2, "flush": 400},
+        {"block": 4, "bucket_shingles": 300, "often": 3, "flush": 1},
+    ],
+)
 def test_against_all_pairs(spark, options):
     rows = documents()
+    if "often" in options:
+        rows = [*rows, *((i + 5000, t) for i, t in reversed(rows) if i is not None)]
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, node string, n int")
     got = sorted((tuple(r) for r in jaccard.link(df, **options).collect()), key=str)
     assert got == brute(rows)
 
 
+def test_blocks_of_large_clusters(spark):
+    """Blocks hold nodes of one home; only blocks with a common signature meet, and every pair of nodes with one is asked."""
+    rng = random.Random(8)
+    signed, sizes = [], {}
+    for home in range(6):
+        for i in range(sizes.setdefault(home, rng.choice([3, 5, 40]))):
+            node = home * 1000 + i
+            signed += [(home * 10 + k, node) for k in range(3)]
+    signed += [(900 + k, k * 1000) for k in range(6)] + [(900 + k, (k + 1) * 1000 + 1) for k in range(5)]  # a chain of homes
+    s = spark.createDataFrame(signed, "sig long, node long")
+    by_sig = {}
+    for sig, node in signed:
+        by_sig.setdefault(sig, set()).add(node)
+    counts = {}
+    for nodes in by_sig.values():
+        if len(nodes) > 1:
+            for node in nodes:
+                counts[min(nodes), node] = counts.get((min(nodes), node), 0) + 1
+    meets = spark.createDataFrame([(a, b, c) for (a, b), c in counts.items()], "a long, b long, shared long")
+    many = spark.createDataFrame([(n, 0) for n in sorted({n for _, n in signed})], "node long, root long")
+    placed = jaccard._placed(many, meets, 8)
+    spot = {r["node"]: r["spot"] for r in placed.collect()}
+    assert sorted(spot) == sorted({n for _, n in signed})
+    for home, size in sizes.items():
+        own = {spot[home * 1000 + i] for i in range(size)}
+        assert len(own) == 1 if size <= 8 else 1 < len(own) <= 5
+    got = [tuple(r) for r in jaccard._meeting(placed, s).collect()]
+    expected = {tuple(sorted((spot[x], spot[y]))) for nodes in by_sig.values() for x in nodes for y in nodes if spot[x] != spot[y]}
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
 def test_empty_table(spark):
     assert jaccard.link(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
