@@ -47,6 +47,7 @@ RARE = 32
 BUCKET_SHINGLES = 2_000_000
 BLOCK = 512
 OFTEN = 8
+MOST_PARTS = 20_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
@@ -502,8 +503,8 @@ def link(
         raise ValueError("two different sets have the same 64-bit node number")
     buckets = max(1, -(-(total or 0) // bucket_shingles))
     spread = docs.select(text).mapInArrow(_spread(shingle, buckets, often, flush), _SPREAD)
-    # one task per bucket, however many there are
-    shared = spread.repartitionById(buckets, "bucket").groupBy("bucket").applyInPandas(_shared, _RETURNED)
+    # one task per bucket; a shuffle of more parts than that would be slow to plan, so tasks take several then
+    shared = spread.repartitionById(min(buckets, MOST_PARTS), "bucket").groupBy("bucket").applyInPandas(_shared, _RETURNED)
     held = shared.groupBy("block").applyInArrow(_sets(threshold), "block long, node long, n long, tokens binary, dfs binary")
     held = stored(held, "jaccard-held")
     # a node of several blocks is whole in the smallest
