@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .components import components
+from .components import components, with_groups
 
 SHINGLE, THRESHOLD = 5, 75
 RARE = 32
@@ -441,11 +441,11 @@ def _meeting(placed: DataFrame, signed: DataFrame) -> DataFrame:
     return first.select("i", F.explode(F.slice("spots", F.col("at") + 2, F.size("spots"))).alias("j")).distinct()
 
 
-def _checked(clusters: DataFrame, sizes: DataFrame, signed: DataFrame, meets: DataFrame, threshold: int, block: int) -> DataFrame:
-    """Exact links inside the clusters (node, root, n, copies, tokens), as `_verify` returns them."""
-    cut = clusters.join(sizes, "root").withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("int"))
+def _checked(clusters: DataFrame, total: int, signed: DataFrame, meets: DataFrame, threshold: int, block: int) -> DataFrame:
+    """Exact links inside the clusters (node, root, size, n, copies, tokens), as `_verify` returns them."""
+    cut = clusters.withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("int"))
     # small clusters share tasks; large ones are cut into blocks
-    few = cut.where("blocks = 1").withColumn("task", F.pmod(F.xxhash64("root"), F.ceil(F.col("total") / F.lit(block))))
+    few = cut.where("blocks = 1").withColumn("task", F.pmod(F.xxhash64("root"), F.lit(-(-total // block) or 1)))
 
     def alone(frame: pd.DataFrame) -> pd.DataFrame:
         rows = []
@@ -514,20 +514,19 @@ def link(
     leaders = signed.groupBy("sig").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1").select("sig", "leader")
     meets = signed.join(leaders, "sig").groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
     meets = stored(meets, "jaccard-meets")
-    clusters = stored(components(meets.select("a", "b")), "jaccard-clusters")
+    clusters = components(meets.select("a", "b"))
+    clusters = stored(with_groups(clusters, "root", "node", {"size": F.count("*")}, {"size": F.sum("size")}), "jaccard-clusters")
     n_clustered = clusters.count()
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("size")).withColumn("total", F.lit(n_clustered).cast("long"))
-    sizes = stored(sizes, "jaccard-sizes")
     ready = clusters.join(sets.select("node", "n", "tokens"), "node").join(nodes.select("node", "copies"), "node")
-    found = stored(_checked(ready, sizes, signed, meets, threshold, block), "jaccard-links")
+    found = stored(_checked(ready, n_clustered, signed, meets, threshold, block), "jaccard-links")
     roots = components(found.where("b is not null").select("a", "b"))
     degree = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = nodes.join(roots, "node", "left").join(degree, "node", "left").select(
         "node", "first_id", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")
     )
     joined = stored(joined, "jaccard-joined")
-    least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stored(joined.join(least, "root").select("node", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "jaccard-named")
+    least = {"component_id": F.min("first_id")}, {"component_id": F.min("component_id")}
+    named = stored(with_groups(joined, "root", "node", *least).select("node", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "jaccard-named")
     full = members.where("n > 0").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
     empty = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(empty)

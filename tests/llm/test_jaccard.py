@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from adstrata.llm import jaccard
+from adstrata.llm.components import components
 
 
 def shingles(text, k=5):
@@ -82,6 +83,26 @@ def test_against_all_pairs(spark, options):
     assert got == brute(rows)
 
 
+def test_components_with_a_hub(spark):
+    rng = random.Random(4)
+    edges = [(50, n) for n in range(51, 400)] + [(n, 399) for n in range(100, 200)]  # hubs as smaller and as larger end
+    edges += [(n, n + 1) for n in range(1000, 1060)] + [(7, 7), (3, 1060)] + [(rng.randrange(2000, 2100),) * 2 for _ in range(5)]
+    edges += [(rng.randrange(3000, 3200), rng.randrange(3000, 3200)) for _ in range(120)] + edges[:20]
+    root = {n: n for e in edges for n in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    linked_nodes = {n for a, b in edges if a != b for n in (a, b)}
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted(tuple(r) for r in got) == sorted((n, find(n)) for n in linked_nodes)
+
+
 def test_blocks_of_large_clusters(spark):
     """Blocks hold nodes of one home; only blocks with a common signature meet, and every pair of nodes with one is asked."""
     rng = random.Random(8)
