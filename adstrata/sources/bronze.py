@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adstrata import dictionaries as D
@@ -70,17 +71,30 @@ def ingest(
 
     Each feed has its own folder: landing it again replaces it as a whole, so a record whose month
     changed leaves no older copy, and no other feed is touched. With ``rejects``, records that are
-    not one JSON object go to that zone instead.
+    not one JSON object go to that zone instead, once the others are landed.
     """
-    if rejects is not None:
-        (
-            records.where(~is_record())
-            .select("raw", F.col("file").alias("source_fichier"),
-                    F.current_timestamp().alias("date_ingestion"))
-            .write.mode(mode).parquet(feed_path(rejects, feed))
-        )
-        records = records.where(is_record())
-    write_partitioned(bronze_rows(records), feed_path(path, feed), PARTITION, mode, "static")
+    if rejects is None:
+        write_partitioned(bronze_rows(records), feed_path(path, feed), PARTITION, mode, "static")
+        return
+    # The write counts the rejects on its way; only a feed that has some is read once more for them.
+    seen = Observation()
+    checked = records.withColumn("_fits", is_record()).observe(
+        seen, F.coalesce(F.sum(F.when(~F.col("_fits"), 1)), F.lit(0)).alias("rejects")
+    )
+    fitting = checked.where("_fits").drop("_fits")
+    write_partitioned(bronze_rows(fitting), feed_path(path, feed), PARTITION, mode, "static")
+    bad = records.where(~is_record()) if _any_rejects(seen) else records.limit(0)
+    bad.select(
+        "raw", F.col("file").alias("source_fichier"), F.current_timestamp().alias("date_ingestion")
+    ).write.mode(mode).parquet(feed_path(rejects, feed))
+
+
+def _any_rejects(seen: Observation) -> bool:
+    """Whether the observed write met rejects; true where its plan went, and the count with it, as no record fitted."""
+    try:
+        return seen.get["rejects"] > 0
+    except Py4JJavaError:
+        return True
 
 
 def bronze_rows(records: DataFrame) -> DataFrame:

@@ -267,6 +267,20 @@ def test_broken_files_and_records(spark, tmp_path):
     assert job.count_rejects(spark, lake) == 3
     job.run_silver(spark, lake)
     assert _ids(spark, lake) == ["A", "L"]
+    # landing a feed again replaces its rejects too, also by none, and a feed may be empty
+    good = tmp_path / "good.jsonl"
+    good.write_text('{"id_offre": "L"}\n', encoding="utf-8")
+    assert job.run_bronze(spark, lake, str(good), "lines", feed="lines") == 2
+    assert job.count_rejects(spark, lake) == 0
+    zone = str(tmp_path / "empty")
+    bronze.ingest(read_lines(spark, str(good)).where("raw is null"), zone, rejects=zone + "-rejects")
+    assert spark.read.parquet(zone + "-rejects").count() == 0
+    # of a feed of rejects alone none is lost
+    bad = tmp_path / "bad.jsonl"
+    bad.write_text('{"id_offre": \n[1]\n', encoding="utf-8")
+    zone = str(tmp_path / "bad-zone")
+    bronze.ingest(read_lines(spark, str(bad)), zone, rejects=zone + "-rejects")
+    assert spark.read.parquet(zone + "-rejects").count() == 2
     # without a rejects zone the report finds them
     zone = str(tmp_path / "zone")
     bronze.ingest(read_lines(spark, str(lines)), zone)
