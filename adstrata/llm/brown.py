@@ -2,13 +2,16 @@
 
 Probability of a token after another: P(class | class before) * P(word | class).
 
-1. Unigram counts of all training tokens. Words that make up at least 1 / `frequent` of them (so never
-   more than `frequent` words) are exchanged one by one; all others, the rare words, start in the
-   class of their ending, and their class as context stays that one, which needs no lookup.
+1. Unigram counts of all training tokens. Words that make up at least 1 / `frequent` of them, and beyond
+   them every word used `bucket_uses` times, are exchanged one by one; all others, the rare words, start in
+   the class of their ending, and their class as context stays that one, which needs no lookup. So the
+   exchanged vocabulary grows with the input, and no rare word is a large group.
 2. Exchange of the frequent words: from the table of bigram counts every word's neighbour counts are
    gathered once; a sweep computes, for all words in parallel, the move that gains most average mutual
    information against the class bigram matrix (at most `classes` + `shapes` squared, the only shared
-   state). Each sweep moves a half of the words; one that lowers the objective is undone and ends it.
+   state). All these moves are tried together; as long as they do not raise the objective, only the half of
+   them with the larger gains is tried again. The next sweep begins with twice the share that did. A single
+   move always gains, so exchange ends when no word gains by moving, or after `sweeps` sweeps.
 3. Exchange of the rare words: their uses travel in blocks of documents, packed by hash bucket, so
    that a bucket holds every use of its words; it counts them, moves each to the rare class that gains
    most, and sends back to the blocks what scoring needs.
@@ -24,6 +27,7 @@ Without training tokens every probability is that of an unknown word.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-FREQUENT, CLASSES, SHAPES, SWEEPS = 50_000, 64, 16, 4
+FREQUENT, CLASSES, SHAPES, SWEEPS = 50_000, 64, 64, 4
 BUCKET_USES = 1_500_000
 END = b"\n"
 PRIOR = 50.0
@@ -195,17 +199,15 @@ def exchange(pairs: DataFrame, n_words: int, classes: int, shapes: int, sweeps:
         both.where(F.col("w") < n_words).groupBy("w").agg(F.collect_list("code").alias("codes"), F.collect_list("n").alias("ns")),
         "brown-contexts",
     )
-    m = _class_matrix(pairs, cls, g)
-    for sweep in range(sweeps):
+    m, share = _class_matrix(pairs, cls, g), 1.0
+    for _ in range(sweeps):
 
-        def move(batches: Iterator[pa.RecordBatch], cls=cls, m=m, sweep=sweep) -> Iterator[pa.RecordBatch]:
+        def move(batches: Iterator[pa.RecordBatch], cls=cls, m=m) -> Iterator[pa.RecordBatch]:
             doubled = np.concatenate([cls, cls + g])
             for batch in batches:
-                words, to = [], []
+                words, to, gains = [], [], []
                 for w, codes, ns in zip(*batch.columns, strict=True):
                     w = w.as_py()
-                    if sweep and (w + sweep) % 2:
-                        continue
                     codes, ns = codes.values.to_numpy(), ns.values.to_numpy()
                     counts = np.bincount(doubled[codes], weights=ns, minlength=2 * g)
                     own = float(ns[codes == w].sum())
@@ -213,18 +215,25 @@ def exchange(pairs: DataFrame, n_words: int, classes: int, shapes: int, sweeps:
                     if gain > 1e-6 and best != cls[w]:
                         words.append(w)
                         to.append(best)
-                yield pa.RecordBatch.from_pydict({"w": pa.array(words, pa.int32()), "to": pa.array(to, pa.int32())})
+                        gains.append(gain)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words, pa.int32()), pa.array(to, pa.int32()), pa.array(gains, pa.float64())], ["w", "to", "gain"]
+                )
 
-        moves = contexts.mapInArrow(move, "w int, to int").collect()  # at most one row per frequent word
+        # at most one row per frequent word
+        moves = sorted(contexts.mapInArrow(move, "w int, to int, gain double").collect(), key=lambda r: (-r["gain"], r["w"]))
+        moves = moves[: math.ceil(len(moves) * share)]
+        while moves:
+            tried = cls.copy()
+            for row in moves:
+                tried[row["w"]] = row["to"]
+            after = _class_matrix(pairs, tried, g)
+            if objective(after) > objective(m):
+                cls, m, share = tried, after, min(1.0, 2 * share)
+                break
+            moves, share = moves[: len(moves) // 2], share / 2
         if not moves:
             break
-        tried = cls.copy()
-        for row in moves:
-            tried[row["w"]] = row["to"]
-        after = _class_matrix(pairs, tried, g)
-        if objective(after) <= objective(m):
-            break
-        cls, m = tried, after
     return cls, m
 
 
@@ -313,7 +322,7 @@ _RARE = (
 )
 
 
-def _rare_words(m: np.ndarray, classes: int, shapes: int, n_tokens: int, n_types: int):
+def _rare_words(m: np.ndarray, classes: int, shapes: int, n_tokens: int, n_types: int, slice_rows: int = 50_000):
     """Of one bucket: counts and classes of its words, and per block what its documents need of them."""
     g = classes + shapes
     start = m[:, classes:]
@@ -338,21 +347,19 @@ def _rare_words(m: np.ndarray, classes: int, shapes: int, n_tokens: int, n_types
         is_train = train[doc].astype(bool)
         count = np.bincount(word[is_train], minlength=len(begin))
         cls = kind[begin].astype(np.int64)
-        # exchange: the class whose place in the contexts gains most; words by slices, to bound memory
-        w, b = word[is_train], before[is_train]
-        for lo in range(0, len(w), 200_000):
-            # a slice starts and ends between words
-            a = int(np.searchsorted(w, w[lo])) if lo else 0
-            e = len(w) if lo + 200_000 >= len(w) else int(np.searchsorted(w, w[lo + 200_000]))
-            if a >= e:
-                continue
-            part = w[a:e]
-            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            gains = np.add.reduceat(log_to[b[a:e]], first, axis=0) - count[part[first]][:, None] * log_size
-            own = cls[part[first]]
-            best = gains.argmax(1)
-            better = gains[np.arange(len(first)), best] > gains[np.arange(len(first)), own] + 1e-9
-            cls[part[first]] = np.where(better, best, own)
+        # exchange: the class whose place in the contexts gains most. A word has at most g different contexts,
+        # so slices between words bound the memory however often one word is used.
+        context, uses = np.unique(word[is_train] * g + before[is_train], return_counts=True)
+        w, b = context // g, context % g
+        edges = np.searchsorted(w, np.append(w[::slice_rows], len(begin)))
+        for a, e in zip(edges[:-1], edges[1:], strict=True):
+            if a < e:
+                first = a + np.flatnonzero(np.diff(w[a:e], prepend=-1))
+                gains = np.add.reduceat(log_to[b[a:e]] * uses[a:e, None], first - a, axis=0) - count[w[first]][:, None] * log_size
+                own = cls[w[first]]
+                best = gains.argmax(1)
+                better = gains[np.arange(len(first)), best] > gains[np.arange(len(first)), own] + 1e-9
+                cls[w[first]] = np.where(better, best, own)
         counts = np.zeros((g, shapes))
         np.add.at(counts, (before[is_train], cls[word[is_train]]), 1)
         types = np.bincount(cls[count > 0], minlength=shapes).astype(np.float64)
@@ -452,8 +459,9 @@ def score(
         train.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "brown-counts"
     )
     n_tokens, n_types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # at most `frequent` words can make up 1 / frequent of all tokens
-    common = counts.where((F.col("n") * frequent >= n_tokens) | (F.col("word") == F.lit(bytearray(END)))).orderBy(F.desc("n"), "word").collect()
+    # at most `frequent` words can make up 1 / frequent of all tokens, and tokens / bucket_uses be used so often
+    often = (F.col("n") * frequent >= n_tokens) | (F.col("n") >= bucket_uses) | (F.col("word") == F.lit(bytearray(END)))
+    common = counts.where(often).orderBy(F.desc("n"), "word").collect()
     words, word_counts = [bytes(r["word"]) for r in common], np.array([r["n"] for r in common], np.int64)
     if END not in words:  # no training rows
         words, word_counts = [*words, END], np.append(word_counts, 0).astype(np.int64)

@@ -1,6 +1,7 @@
 """The other operators against brute force, round trips and edge cases."""
 
 import base64
+import collections
 import gzip
 import hashlib
 import io
@@ -268,6 +269,100 @@ def test_exchange_gain_is_the_objective():
         assert to == int(np.argmax(scores)) and gain == pytest.approx(max(scores) - scores[cls[w]])
 
 
+def brute_class_scores(texts, held, frequent, classes, shapes, bucket_uses, sweeps):
+    """Scores by the definitions: every move judged by the whole objective, every probability by its formula."""
+    docs = [brown.tokens_of(t) for t in texts]
+    train = [d for d, h in zip(docs, held, strict=True) if not h]
+    counts = collections.Counter(itertools.chain.from_iterable(train))
+    n = sum(counts.values())
+    often = sorted((w for w, c in counts.items() if c * frequent >= n or c >= bucket_uses or w == brown.END), key=lambda w: (-counts[w], w))
+    cls = {w: i % classes for i, w in enumerate(often)}
+    at = lambda w, cls: cls[w] if w in cls else classes + brown.shape(w, shapes)
+    pairs = collections.Counter(p for d in train for p in zip([brown.END, *d], d, strict=False))
+    xlogx = lambda values: sum(v * math.log(v) for v in values if v)
+
+    def cells(cls):
+        m = np.zeros((classes + shapes,) * 2)
+        for (a, b), c in pairs.items():
+            m[at(a, cls), at(b, cls)] += c
+        return m
+
+    def value(cls):
+        m = cells(cls)
+        return xlogx(m.ravel()) - xlogx(m.sum(0)) - xlogx(m.sum(1))
+
+    share = 1.0
+    for _ in range(sweeps):
+        now, moves = value(cls), []
+        for i, w in enumerate(often):
+            options = [value(cls | {w: c}) for c in range(classes)]
+            best = max(range(classes), key=lambda c: options[c])
+            if options[best] - now > 1e-6:
+                moves.append((now - options[best], i, w, best))
+        moves = sorted(moves)[: math.ceil(len(moves) * share)]
+        while moves and value(cls | {w: c for *_, w, c in moves}) <= now:
+            moves, share = moves[: len(moves) // 2], share / 2
+        if not moves:
+            break
+        cls, share = cls | {w: c for *_, w, c in moves}, min(1.0, 2 * share)
+    m = cells(cls)
+    start = m[:, classes:]
+    contexts = collections.defaultdict(list)
+    for (a, b), c in pairs.items():
+        if b not in cls:
+            contexts[b] += [at(a, cls)] * c
+    place = {}
+    for w, before in contexts.items():
+        likely = [
+            sum(
+                math.log((start[b, k] + brown.PRIOR * (start[:, k].sum() + 0.5) / (start.sum() + 0.5 * shapes)) / (start[b].sum() + brown.PRIOR))
+                - math.log(start[:, k].sum() + 1)
+                for b in before
+            )
+            for k in range(shapes)
+        ]
+        own, best = brown.shape(w, shapes), int(np.argmax(likely))
+        place[w] = best if likely[best] > likely[own] + 1e-9 else own
+    m[:, classes:] = 0
+    for w, before in contexts.items():
+        for b in before:
+            m[b, classes + place[w]] += 1
+    size, types = m.sum(0), collections.Counter(place.values())
+    total, g = m.sum(), classes + shapes
+
+    def log10_of(before, w):
+        b = at(before, cls)
+        if w in cls:
+            k, emitted = cls[w], counts[w] / size[cls[w]]
+        else:
+            kind = place.get(w, brown.shape(w, shapes))
+            k, emitted = classes + kind, (counts[w] + 0.5) / (size[classes + kind] + 0.5 * (types[kind] + 1))
+        share = (size[k] + 0.5) / (total + 0.5 * g)
+        return math.log10((m[b, k] + brown.PRIOR * share) / (m[b].sum() + brown.PRIOR)) + math.log10(emitted)
+
+    return [sum(log10_of(a, b) for a, b in zip([brown.END, *d], d, strict=False)) for d in docs]
+
+
+@pytest.mark.parametrize(("frequent", "bucket_uses"), [(25, 100_000), (10, 40), (12, 25)])
+def test_class_scores_match_brute_force(spark, frequent, bucket_uses):
+    rng = random.Random(bucket_uses)
+    follows = {i: [rng.randrange(60) for _ in range(6)] for i in range(60)}
+
+    def text():
+        w, out = rng.randrange(60), []
+        for _ in range(rng.randrange(40)):
+            out.append(f"w{w}" if rng.random() < 0.9 else f"once{rng.randrange(10**6)}")
+            w = rng.choice(follows[w]) if rng.random() < 0.8 else int(rng.random() ** 2 * 60)
+        return " ".join(out)
+
+    texts = [text() for _ in range(90)] + ["", None, "w1 " * 60]
+    held = [i % 5 == 1 for i in range(len(texts))]
+    expected = brute_class_scores(texts, held, frequent, 4, 3, bucket_uses, 4)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = brown.score(df, F.col("doc_id") % 5 == 1, frequent=frequent, classes=4, shapes=3, sweeps=4, bucket_uses=bucket_uses)
+    assert {r["doc_id"]: r["score"] for r in got.collect()} == pytest.approx(dict(enumerate(expected)))
+
+
 def test_class_scores_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert brown.score(df, F.lit(False)).count() == 0
