@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from adstrata.operators.instants import instant
 
@@ -86,3 +87,26 @@ def overlap_join(
         & (F.col("at") == F.greatest("l_level", "r_level"))
         & (F.col("cell") == _cells(F.col("at"), F.greatest("l_start", "r_start"), widths))
     ).select(F.col("l_row").alias("l"), F.col("r_row").alias("r"))
+
+
+def overlap_counts(df: DataFrame, span: tuple[str, str], by: Sequence[str], weight: str, count: str) -> DataFrame:
+    """Rows of `df` with the sum of `weight` of all rows of their key whose intervals overlap theirs, their own included.
+
+    No pairs are formed: of the intervals that start up to a row's end, those that end before its start are taken
+    off. Both are running totals over the distinct starts and ends of a key. Rows that match nothing are left out.
+    """
+    start, end = (instant(df, c) for c in span)
+    rows = df.withColumns({"__start": F.coalesce(start, F.lit(_LOW)), "__end": F.coalesce(end, F.lit(_HIGH))})
+    rows = rows.where("__start <= __end").dropna(subset=list(by))
+    at = lambda c, s, e: F.struct(F.col(c).alias("__at"), s.cast("long").alias("__s"), e.cast("long").alias("__e"))
+    ends = F.array(at("__start", F.col(weight), F.lit(0)), at("__end", F.lit(0), F.col(weight)))
+    points = rows.select(*by, F.inline(ends))
+    upto = Window.partitionBy(*by).orderBy("__at")
+    totals = points.groupBy(*by, "__at").agg(F.sum("__s").alias("__s"), F.sum("__e").alias("__e")).select(
+        *by, "__at", F.sum("__s").over(upto.rowsBetween(Window.unboundedPreceding, 0)).alias("__started"),
+        F.coalesce(F.sum("__e").over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__ended"),
+    )
+    started = totals.select(*by, F.col("__at").alias("__end"), "__started")
+    ended = totals.select(*by, F.col("__at").alias("__start"), "__ended")
+    found = rows.join(started, [*by, "__end"]).join(ended, [*by, "__start"])
+    return found.select(*df.columns, (F.col("__started") - F.col("__ended")).alias(count))
