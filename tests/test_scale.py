@@ -83,3 +83,11 @@ def test_feed_of_lines_is_compressed(spark, sf_dir, monkeypatch):
     queries.bronze_manifest(spark, sf_dir)
     names = [r["name"] for r in spark.read.format("binaryFile").load(paths[0]).select(F.col("path").alias("name")).collect()]
     assert names and all(n.endswith(".txt.gz") for n in names)
+
+
+def test_marts_of_ads_do_not_wait_for_terms(spark, sf_dir, monkeypatch):
+    found = queries.queries()
+    monkeypatch.setattr(queries, "ad_terms", lambda s, d: (_ for _ in ()).throw(AssertionError("terms")))
+    monkeypatch.setattr("workload.ads._stored", {})
+    for name in ("summary_cities", "city_volume_pivot", "top_recruiters"):
+        assert found[name](spark, sf_dir).count() > 0
