@@ -11,7 +11,8 @@ At scale: documents are cut into blocks of about `BLOCK_BYTES` of text, and a bl
 arrays: its documents' numbers and the distinct id pairs of each. Pairs are counted first per block,
 so a pair that every document holds is one row per block; counts and each A id's highest count meet
 the blocks' distinct pairs by key and go back as one array per block. Nothing is broadcast, and what a
-task holds is bounded by the block, or by the one document that is longer.
+task holds is bounded by the block, or by the one document that is longer: the links of a block are packed
+into bytes, and its file has a row group every `GROUP_BLOCKS` blocks, as a reader holds a whole one.
 
 Long texts are encoded in pieces of about `PIECE_BYTES`, cut only before a space between two ASCII
 letters: neither tokenizer has a token across that place (of B this is checked in its vocabulary).
@@ -42,6 +43,8 @@ from .common import stored
 BLOCK_BYTES = 3 << 19
 BLOCK_ROWS = 8_192
 PIECE_BYTES = 64 << 10
+#: Blocks of a row group: readers take up to 4096 rows of one at once, whatever their size.
+GROUP_BLOCKS = 8
 #: Links are listed in slices of at most about this many.
 SLICE = 1 << 20
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -265,6 +268,17 @@ class Block:
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 on as little-endian unsigned integers of the fewest bytes that hold all of them."""
+    most = int(values.max()) if len(values) else 0
+    return values.astype(f"<u{next(n for n in (1, 2, 4, 8) if most >> 8 * n == 0)}").tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    """The n numbers of `packed`."""
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.empty(0, np.int64)
+
+
 def _blocks(docs: DataFrame, doc_id: str, text: str, folder: str) -> DataFrame:
     """One row per block: its documents' numbers, hashes and pairs, and the distinct pairs with their documents."""
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -283,7 +297,8 @@ def _blocks(docs: DataFrame, doc_id: str, text: str, folder: str) -> DataFrame:
                 "ids": pa.ListArray.from_arrays(pa.array([0, len(known)], pa.int32()), known),
                 **{n: one(getattr(block, n), pa.int64()) for n in NUMBERS},
                 "hashes": one(block.hashes, pa.string()),
-                "per_doc": one(per_doc, pa.int32()), "at": one(at, pa.int32()), "uses": one(block.uses, pa.int64()),
+                "per_doc": one(per_doc, pa.int32()),
+                "at": pa.array([packed(at)], pa.binary()), "uses": pa.array([packed(block.uses)], pa.binary()),
                 "pairs": one(pairs, pa.int64()), "docs": one(np.bincount(at, minlength=len(pairs)), pa.int64()),
             }
             return pa.RecordBatch.from_pydict(columns)
@@ -309,8 +324,11 @@ def _blocks(docs: DataFrame, doc_id: str, text: str, folder: str) -> DataFrame:
             yield finish(ids, ids_a, ids_b)
 
     numbers = ", ".join(f"{n} array<long>" for n in NUMBERS)
-    schema = f"block long, ids array<{kind}>, {numbers}, hashes array<string>, per_doc array<int>, at array<int>, uses array<long>"
-    return stored(docs.select(doc_id, text).mapInArrow(run, f"{schema}, pairs array<long>, docs array<long>"), "alignment")
+    schema = f"block long, ids array<{kind}>, {numbers}, hashes array<string>, per_doc array<int>, at binary, uses binary"
+    made = docs.select(doc_id, text).mapInArrow(run, f"{schema}, pairs array<long>, docs array<long>")
+    # Pages are else looked at every hundred rows, and row groups are closed by size only.
+    limits = {"parquet.block.row.count.limit": GROUP_BLOCKS, "parquet.page.size.row.check.min": 1}
+    return stored(made, "alignment", limits)
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
@@ -341,9 +359,11 @@ def align(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folder: s
         for batch in batches:
             for row in range(batch.num_rows):
                 cell = lambda name: batch.column(name)[row].values  # noqa: E731, B023
-                ids, per_doc, at, uses = cell("ids"), cell("per_doc").to_numpy(), cell("at").to_numpy(), cell("uses").to_numpy()
+                ids, per_doc = cell("ids"), cell("per_doc").to_numpy()
+                links = int(per_doc.sum())
+                at, uses = (unpacked(batch.column(name)[row].as_buffer(), links) for name in ("at", "uses"))  # noqa: B023
                 n_best = count_sum = np.zeros(len(ids), np.int64)
-                if len(at):
+                if links:
                     known = cell("known")
                     count = known.field("count").to_numpy()
                     best = known.field("is_best").to_numpy(zero_copy_only=False)

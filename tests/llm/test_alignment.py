@@ -111,3 +111,29 @@ def test_pointer_jumping():
     label = alignment.terminals(ends_a, ends_b)
     assert label[:5].tolist() == [6, 6, 9, 9, 10] and label[5:].tolist() == [6, 6, 9, 9, 9, 10]
     assert alignment.terminals(np.empty(0, np.int64), np.empty(0, np.int64)).tolist() == []
+
+
+def test_readers_of_blocks_hold_few_of_them(spark, monkeypatch):
+    """A reader takes up to 4096 rows of a row group at once, so a file of all blocks of a task must have many."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(alignment, "BLOCK_ROWS", 1)
+    rows = [r for r in texts() if r[1]][:30]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted((tuple(r) for r in alignment.align(df).collect()), key=str) == brute(rows)
+    blocks = alignment._blocks(df, "doc_id", "text", FOLDER)
+    files = [pq.ParquetFile(f) for path in blocks.inputFiles() for f in glob.glob(path.removeprefix("file:"))]
+    sizes = [f.metadata.row_group(i).num_rows for f in files for i in range(f.metadata.num_row_groups)]
+    assert sum(sizes) == 30 and max(sizes) <= 8
+    # A link takes no more bytes than its numbers need.
+    assert all(len(b.at) <= 2 * sum(b.per_doc) for b in blocks.select("at", "per_doc").collect())
+
+
+def test_packed_numbers():
+    for most in (0, 1, 255, 256, 65_535, 65_536, 2**32 - 1, 2**32, 2**62):
+        data = alignment.packed(np.array([most, 0, most // 2]))
+        assert alignment.unpacked(data, 3).tolist() == [most, 0, most // 2]
+        assert len(data) == 3 * next(n for n in (1, 2, 4, 8) if most < 2 ** (8 * n))
+    assert alignment.unpacked(alignment.packed(np.empty(0, np.int64)), 0).tolist() == []
