@@ -1,15 +1,20 @@
 """Work that must grow no faster than the input: reads, tasks, patterns and pairs."""
 
+import contextlib
+import io
 import json
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from adstrata.operators.cubes import grouping_sets
 from adstrata.operators.extraction import extract_terms
 from adstrata.operators.intervals import overlap_counts
-from adstrata.sources.envelope import read_envelope_records, read_lines
+from adstrata.plans import silver
+from adstrata.sources.envelope import read_envelope_records, read_lines, typed_ads
 from adstrata.sources.terms import dictionary_from_mapping
+from workload import cases as K
 from workload import queries, relations
 from workload.ads import messy_ads
 
@@ -91,3 +96,50 @@ def test_marts_of_ads_do_not_wait_for_terms(spark, sf_dir, monkeypatch):
     monkeypatch.setattr("workload.ads._stored", {})
     for name in ("summary_cities", "city_volume_pivot", "top_recruiters"):
         assert found[name](spark, sf_dir).count() > 0
+
+
+def _explained(df, mode):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode)
+    return text.getvalue()
+
+
+def test_text_stages_are_compiled(spark, sf_dir):
+    """The JVM interprets methods of more than 8000 bytes, so no projection of the ads may become one."""
+    ads = messy_ads(spark, sf_dir)
+    raw = ads.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("raw"))
+    stored = raw.localCheckpoint()
+    silver_plan = silver.clean_ads(typed_ads(stored))
+    terms = extract_terms(silver_plan, dictionary_from_mapping(spark, K.AD_TERMS))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (raw, silver_plan, terms):
+            sizes = re.findall(r"maxMethodCodeSize:(\d+)", _explained(df, "codegen"))
+            assert sizes and max(map(int, sizes)) <= 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_keys_of_a_record_are_read_once(spark):
+    df = typed_ads(spark.createDataFrame([('{"id_offre": "a", "nb_postes": null}',), ("[1]",), ("x",), (None,)], "raw string"))
+    assert [(r.id_offre, r.nb_postes, r.ville) for r in df.collect()] == [("a", None, "")]
+    assert _explained(df, "formatted").count("jsonObjectKeys") == 1
+    kept = typed_ads(spark.createDataFrame([('{"id_offre": "a"}', "k")], "raw string, part string"), keep=("raw", "part"))
+    assert [(r.raw, r.part, r.id_offre) for r in kept.collect()] == [('{"id_offre": "a"}', "k", "a")]
+
+
+def test_extraction_carries_numbers_of_entries(spark):
+    """Entries are tried by skill and priority, with those of equal skill in two families as one skill."""
+    terms = {"f": {"é": ["data lake", "data"], "z": ["c++", "+++"]}, "g": {"é": ["lake"], "a": ["data lake x"]}}
+    rows = [("1", "data lake", "+++ c++ c++"), ("2", "", "a lake, Data lake data"), ("3", None, None)]
+    ads = spark.createDataFrame(rows, "id string, listed string, text string")
+    found = extract_terms(ads, dictionary_from_mapping(spark, terms), "id", "listed", "text", {}, keep_unmatched=True)
+    got = sorted(tuple(r) for r in found.where("famille is not null").collect())
+    assert got == [
+        ("1", "z", "f", "c++", "description", 2), ("1", "é", "f", "data lake", "competences_brut", 0),
+        ("2", "é", "f", "data lake", "description", 1),
+    ]
+    assert [tuple(r) for r in found.where("famille is null").collect()] == [("3", None, None, None, None, 0)]
+    plan = _explained(found, "extended")
+    assert "_candidates" in plan and "split(" not in plan
